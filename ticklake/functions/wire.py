@@ -39,35 +39,33 @@ def encode_wire(df: DataFrame, partitions: int = 6) -> DataFrame:
               .withColumn("partition", partition_of(F.col("instrument"), partitions)))
 
 
-def decode_wire(df: DataFrame, value_col: str = "value",
-                cutoff_micros: int = FUTURE_CUTOFF_MICROS,
-                reject_non_finite: bool = False) -> DataFrame:
-    """Parse wire bytes, drop order messages, attach the validation verdict.
-
-    Output: raw, msg_id, instrument, ts_micros, price, volume, side,
-    msg_type, error (null = valid).  Messages with 7+ fields whose type is
-    not 'T' are removed before parsing (they are neither valid nor dead).
-    Rules, first failure wins: parse_error, negative_price (<= 0),
-    zero_volume (<= 0), future_timestamp (> cutoff); optionally
-    non_finite (NaN / infinite price or volume).
+def parse_wire(df: DataFrame, value_col: str = "value",
+               cutoff_micros: int = FUTURE_CUTOFF_MICROS,
+               reject_non_finite: bool = False) -> DataFrame:
+    """Parse wire bytes and attach ``skipped`` and the validation verdict.
+
+    Output: the input's other columns, raw, msg_id, instrument, ts_micros,
+    price, volume, side, msg_type, skipped, error (null = valid).
+    ``skipped``: 7+ fields and a type other than 'T' (an order message,
+    neither valid nor dead; its error is null).  Rules, first failure
+    wins: parse_error, negative_price (<= 0), zero_volume (<= 0),
+    future_timestamp (> cutoff); optionally non_finite (NaN/inf).
     """
     raw = F.make_valid_utf8(F.col(value_col).cast("string"))
-    parts = F.split(raw, ",")
-    n = F.size(parts)
-    out = (df.withColumn("raw", raw)
-             .withColumn("_p", parts)
-             .filter((n < 7) | (F.get(F.col("_p"), 6) == "T")))
+    p = F.split(F.col("raw"), ",")
+    out = df.withColumn("raw", raw).withColumn("_p", p)
     p = F.col("_p")
-    ts = F.expr("try_cast(get(_p, 2) AS BIGINT)")
-    price = F.expr("try_cast(get(_p, 3) AS DOUBLE)")
-    vol = F.expr("try_cast(get(_p, 4) AS DOUBLE)")
     out = out.select(
         *[c for c in df.columns if c != value_col], "raw",
         F.get(p, 0).alias("msg_id"), F.get(p, 1).alias("instrument"),
-        ts.alias("ts_micros"), price.alias("price"), vol.alias("volume"),
+        F.expr("try_cast(get(_p, 2) AS BIGINT)").alias("ts_micros"),
+        F.expr("try_cast(get(_p, 3) AS DOUBLE)").alias("price"),
+        F.expr("try_cast(get(_p, 4) AS DOUBLE)").alias("volume"),
         F.get(p, 5).alias("side"),
-        F.coalesce(F.get(p, 6), F.lit("T")).alias("msg_type"))
-    err = (F.when(F.col("ts_micros").isNull() | F.col("price").isNull() | F.col("volume").isNull(),
+        F.coalesce(F.get(p, 6), F.lit("T")).alias("msg_type"),
+        ((F.size(p) >= 7) & F.coalesce(F.get(p, 6) != "T", F.lit(True))).alias("skipped"))
+    err = (F.when(F.col("skipped"), F.lit(None).cast("string"))
+            .when(F.col("ts_micros").isNull() | F.col("price").isNull() | F.col("volume").isNull(),
                   F.lit("parse_error"))
             .when(F.col("price") <= 0, F.lit("negative_price"))
             .when(F.col("volume") <= 0, F.lit("zero_volume"))
@@ -79,6 +77,21 @@ def decode_wire(df: DataFrame, value_col: str = "value",
     return out.withColumn("error", err)
 
 
+def decode_wire(df: DataFrame, value_col: str = "value",
+                cutoff_micros: int = FUTURE_CUTOFF_MICROS,
+                reject_non_finite: bool = False) -> DataFrame:
+    """``parse_wire`` without the skipped order messages."""
+    return parse_wire(df, value_col, cutoff_micros, reject_non_finite) \
+        .filter(~F.col("skipped")).drop("skipped")
+
+
+def status_counts(wire: DataFrame, value_col: str = "value") -> DataFrame:
+    """Messages per status: valid, skipped, or the dead-letter reason."""
+    s = parse_wire(wire, value_col)
+    st = F.when(F.col("skipped"), F.lit("skipped")).otherwise(F.coalesce(F.col("error"), F.lit("valid")))
+    return s.groupBy(st.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def to_ticks(decoded: DataFrame) -> DataFrame:
     """Valid decoded rows as a trade table (timestamp as TIMESTAMP_NTZ)."""
     from ticklake.functions.timefn import from_epoch_micros
