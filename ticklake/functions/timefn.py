@@ -25,8 +25,15 @@ def add_interval(ts: Column, days: int = 0, hours: int = 0, seconds: int = 0,
 
 
 def window_start(ts: Column, seconds: int) -> Column:
-    """Epoch-aligned tumbling window start (left-closed), same type as ts."""
-    return F.window(ts, f"{seconds} seconds").start
+    """Epoch-aligned tumbling window start (left-closed) as TIMESTAMP_NTZ.
+
+    Plain arithmetic rather than ``F.window``: the latter adds an
+    ``isnotnull`` filter that is pushed into the child plan, which makes
+    otherwise identical sub-plans (e.g. the 1s candles under each roll-up)
+    differ and defeats exchange reuse."""
+    us = epoch_micros(ts)
+    size = F.lit(seconds * 1_000_000)
+    return from_epoch_micros(us - F.pmod(us, size))
 
 
 def millis_between(a: Column, b: Column) -> Column:

@@ -52,8 +52,12 @@ def parse_wire(df: DataFrame, value_col: str = "value",
     future_timestamp (> cutoff); optionally non_finite (NaN/inf).
     """
     raw = F.make_valid_utf8(F.col(value_col).cast("string"))
-    p = F.split(F.col("raw"), ",")
-    out = df.withColumn("raw", raw).withColumn("_p", p)
+    # The fields are split once per message.  explode(array(x)) yields x
+    # once; filters on the derived columns cannot be pushed below it, so
+    # the optimizer does not substitute split(...) into every predicate
+    # (it would re-split the line per reference).
+    out = df.withColumn("raw", raw).select(
+        "*", F.explode(F.array(F.split(F.col("raw"), ","))).alias("_p"))
     p = F.col("_p")
     out = out.select(
         *[c for c in df.columns if c != value_col], "raw",

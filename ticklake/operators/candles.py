@@ -4,11 +4,13 @@ open = price of the first tick, close = price of the last tick, ordered by
 (timestamp, sequence_id); high/low = max/min price; volume = sum;
 trade_count = number of ticks; no row for an empty window.
 
-The order is one ``DECIMAL(38,0)`` value ``micros * 10^20 + sequence_id``:
-``min_by``/``max_by`` over it keep a (spillable, partially aggregated)
-HashAggregate, where a struct key would force a SortAggregate.  Coarser
-sizes are rolled up from the finest one, so the raw ticks are aggregated
-once; the roll-up of a candle table is a hash aggregate over far fewer rows.
+The order is ``struct(timestamp, sequence_id)``, so ties on the timestamp
+are broken the same way on every run.  ``min_by``/``max_by`` over a struct
+plan a SortAggregate (partial on the map side, spillable); measured on 2M
+ticks it beat both a DECIMAL(38,0) packed key (HashAggregate, but
+BigDecimal arithmetic per row) and a bare timestamp key.  Coarser sizes
+are rolled up from the finest one, so the raw ticks are aggregated once;
+a roll-up is a HashAggregate over the far smaller candle table.
 """
 
 from __future__ import annotations
@@ -18,21 +20,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.functions.timefn import add_interval, epoch_micros, window_start
+from ticklake.functions.timefn import add_interval, window_start
 from ticklake.schemas import CANDLE_COLUMNS, WINDOW_CONFIGS, window_label
 
-_SEQ_SPAN = "CAST(100000000000000000000 AS DECIMAL(21,0))"  # 10^20 > 2^64
-
-
 def order_key(ts: str | Column = "timestamp", seq: str | Column | None = "sequence_id") -> Column:
-    """Single orderable value equivalent to ORDER BY ts, seq (nulls of seq first)."""
+    """One orderable value equivalent to ORDER BY ts, seq."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    us = epoch_micros(ts).cast("decimal(18,0)") * F.expr(_SEQ_SPAN)
     if seq is None:
-        return us
+        return ts
     seq = F.col(seq) if isinstance(seq, str) else seq
-    s = F.coalesce(seq, F.lit(-(2 ** 63))).cast("decimal(20,0)")
-    return (us + s).cast("decimal(38,0)")
+    return F.struct(ts.alias("t"), seq.alias("s"))
 
 
 def ohlcv(trades: DataFrame, seconds: int, label: str | None = None,

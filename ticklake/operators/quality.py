@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions.timefn import millis_between, window_start
-from ticklake.operators.candles import order_key
 from ticklake.operators.sequence import lag_across_slices, ordered_position, rolling_previous
 from ticklake.schemas import GAP_LEVELS, OUTLIER_THRESHOLD, OUTLIER_WINDOW
 
@@ -30,7 +29,8 @@ def _time_slice(slice_seconds: int):
 def with_previous_time(trades: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     """Adds ``prev_trade_time`` (previous tick of the instrument) and
     ``gap_ms`` (whole milliseconds since it, truncated)."""
-    out = lag_across_slices(trades, ["instrument"], TRADE_ORDER, order_key(),
+    # the lagged value is the timestamp that leads the order: max per slice
+    out = lag_across_slices(trades, ["instrument"], TRADE_ORDER, None,
                             _time_slice(slice_seconds), "timestamp", "prev_trade_time")
     return out.withColumn("gap_ms", millis_between(F.col("prev_trade_time"), F.col("timestamp")))
 

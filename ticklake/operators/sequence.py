@@ -71,18 +71,21 @@ def ordered_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
 
 
 def lag_across_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                      order_key: Column, slice_expr: Column, value: str,
+                      order_key: Column | None, slice_expr: Column, value: str,
                       name: str) -> DataFrame:
     """Adds ``name`` = ``value`` of the previous row of the key in ``order``.
 
-    ``order_key`` is one orderable column equivalent to ``order`` (used by
-    ``max_by`` in the summary; a long or decimal keeps it a hash aggregate).
+    ``order_key`` is one orderable column equivalent to ``order``; the
+    last value of a slice is ``max_by(value, order_key)``.  Pass None when
+    ``value`` itself never decreases along ``order`` (e.g. the timestamp
+    that leads the order): the summary is then a plain ``max``.
     """
     d = _prepare(df, keys, slice_expr)
     wl = Window.partitionBy(_G).orderBy(*order)
     local = (d.withColumn("__lag", F.lag(value).over(wl))
               .withColumn("__first", F.row_number().over(wl) == 1))
-    last = d.groupBy(_G).agg(F.max_by(F.col(value), order_key).alias("__last"))
+    last_val = F.max(value) if order_key is None else F.max_by(F.col(value), order_key)
+    last = d.groupBy(_G).agg(last_val.alias("__last"))
     last = last.select(_G, F.col(f"{_G}.{_K}").alias(_K), F.col(f"{_G}.{_S}").alias(_S), "__last")
     prev = last.select(_G, F.lag("__last").over(_summary_window()).alias("__prev"))
     out = local.join(prev, _G, "left")

@@ -21,8 +21,21 @@ from ticklake.operators.sequence import ordered_position
 TRADE_COLS = [f.name for f in TRADES.fields]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-spread an input that arrives in fewer splits than the cluster
+    has cores (a single small file is one task).  A large input already
+    has enough splits and is returned unchanged, so no shuffle is added
+    where it would only cost."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, spread_key) if spread_key else df
 
 
 def read_trades(spark: SparkSession, path: str, with_msg_type: bool = False) -> DataFrame:
@@ -32,7 +45,7 @@ def read_trades(spark: SparkSession, path: str, with_msg_type: bool = False) ->
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades plus order messages: 80% 'T', 10% 'A', 10% 'C' by event id."""
-    e = read_table(spark, sf_dir, "events")
+    e = read_table(spark, sf_dir, "events", spread_key="event_id")
     eid = F.col("event_id")
     return e.select(
         eid.cast("string").alias("trade_id"),

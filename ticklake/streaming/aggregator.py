@@ -28,7 +28,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ticklake.functions.timefn import add_interval, epoch_micros, from_epoch_micros
 from ticklake.functions.wire import decode_wire
-from ticklake.operators.candles import _SEQ_SPAN
 from ticklake.operators.sequence import running_max_across_slices
 from ticklake.schemas import CANDLE_COLUMNS, WINDOW_CONFIGS, WIRE, WindowConfig
 
@@ -54,8 +53,7 @@ def valid_ticks(decoded: DataFrame) -> DataFrame:
     """Valid decoded rows with an event-time column usable by watermarks
     (TIMESTAMP) and a stable order key (timestamp, numeric message id)."""
     seq = F.expr("try_cast(msg_id AS BIGINT)")
-    key = (F.col("ts_micros").cast("decimal(18,0)") * F.expr(_SEQ_SPAN)
-           + F.coalesce(seq, F.lit(-(2 ** 63))).cast("decimal(20,0)")).cast("decimal(38,0)")
+    key = F.struct(F.col("ts_micros").alias("t"), seq.alias("s"))
     return (decoded.filter(F.col("error").isNull())
                    .select("instrument", F.timestamp_micros("ts_micros").alias("event_time"),
                            "price", "volume", key.alias("_ord")))
