@@ -44,3 +44,12 @@ def millis_between(a: Column, b: Column) -> Column:
 def partition_columns(ts: Column) -> list[Column]:
     return [F.year(ts).alias("year"), F.month(ts).alias("month"),
             F.dayofmonth(ts).alias("day")]
+
+
+def parse_iso(text: Column, strict: bool = True) -> Column:
+    """ISO-8601 text -> TIMESTAMP_NTZ (UTC wall time; an offset is applied).
+
+    strict: malformed text raises (ANSI); lenient: malformed text -> null.
+    """
+    ts = F.to_timestamp(text) if strict else F.try_to_timestamp(text)
+    return F.to_timestamp_ntz(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))

@@ -109,3 +109,19 @@ def dead_letter_json(decoded: DataFrame) -> DataFrame:
     """The dead-letter record: JSON {raw, error} per rejected message."""
     bad = decoded.filter(F.col("error").isNotNull())
     return bad.select("raw", "error", F.to_json(F.struct("raw", "error")).alias("json"))
+
+
+def kafka_records(df: DataFrame, partitions: int = 6) -> DataFrame:
+    """Rows for the Kafka sink: key = instrument bytes, value = wire line
+    bytes, explicit partition (keyed, deterministic)."""
+    e = encode_wire(df, partitions)
+    return e.select(F.col("instrument").cast("binary").alias("key"),
+                    F.col("line").cast("binary").alias("value"), "partition")
+
+
+def write_kafka(records: DataFrame, servers: str, topic: str,
+                compression: str = "lz4", acks: str = "all") -> None:
+    """Publish records (needs the Kafka connector on the classpath)."""
+    (records.write.format("kafka").option("kafka.bootstrap.servers", servers)
+     .option("topic", topic).option("kafka.compression.type", compression)
+     .option("kafka.acks", acks).save())

@@ -123,3 +123,33 @@ def latest_candle(candles: DataFrame) -> DataFrame:
 
 def distinct_values(candles: DataFrame, col: str) -> DataFrame:
     return candles.select(col).distinct()
+
+
+def load_candles(spark, path: str) -> DataFrame:
+    """Read a candle table; ``window_start``/``window_end`` stored as ISO
+    text (as live snapshots do) are parsed leniently to TIMESTAMP_NTZ."""
+    from ticklake.functions.timefn import parse_iso
+    df = spark.read.parquet(path)
+    for c in ("window_start", "window_end"):
+        if c in df.columns and df.schema[c].dataType.simpleString() == "string":
+            df = df.withColumn(c, parse_iso(F.col(c), strict=False))
+    return df
+
+
+def newest_per_size(candles: DataFrame, k: int, sizes: Sequence[str]) -> DataFrame:
+    """The ``k`` newest candles of each window size (ties by instrument).
+
+    One ``orderBy().limit(k)`` per size: each task keeps only its own top
+    k (TakeOrderedAndProject), so a size with billions of candles never
+    lands in one window partition."""
+    parts = [candles.filter(F.col("window_size") == s)
+                    .orderBy(F.desc("window_start"), F.asc("instrument")).limit(k) for s in sizes]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def first_messages(messages: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` messages in (timestamp, sequence_id) order."""
+    return messages.orderBy("timestamp", "sequence_id").limit(n)

@@ -71,3 +71,8 @@ def drift_by_window(drift: DataFrame) -> DataFrame:
 
 def matched(drift: DataFrame) -> DataFrame:
     return drift.filter(~F.col("missing_realtime") & ~F.col("missing_batch"))
+
+
+def write_drift(drift: DataFrame, path: str) -> None:
+    """Persist the detailed drift table (Parquet, replacing ``path``)."""
+    drift.write.mode("overwrite").parquet(path)

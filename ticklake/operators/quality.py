@@ -177,3 +177,25 @@ def quality_summary(trades: DataFrame, outliers_df: DataFrame, dups: DataFrame,
                     pct("duplicate_count").alias("duplicate_pct"),
                     pct("clean_count").alias("clean_pct"),
                     (F.lit(100.0) - pct("outlier_count") - pct("duplicate_count")).alias("clean_pct_reference"))
+
+
+def fingerprint(trades: DataFrame) -> DataFrame:
+    """Adds ``fingerprint``: xxhash64 of the five fingerprint columns (for
+    display; grouping always uses the columns themselves, so a hash
+    collision can never merge two different ticks)."""
+    return trades.withColumn("fingerprint", F.xxhash64(*FINGERPRINT))
+
+
+def quality_report(trades: DataFrame, slice_seconds: int = 3600) -> dict[str, DataFrame]:
+    """The report's tables: summary, gaps per level, gaps per instrument
+    at the finest level, top 10 outliers (text layout is left to callers)."""
+    n = number_duplicates(trades)
+    o = outliers(trades, slice_seconds=slice_seconds)
+    d = duplicates(n)
+    clean = clean_trades(deduplicated(n), o)
+    finest = min(GAP_LEVELS, key=lambda lv: lv[1])[0]
+    return {"summary": quality_summary(trades, o, d, clean),
+            "gap_levels": gap_level_counts(trades, slice_seconds=slice_seconds),
+            "gaps_by_instrument": gap_counts(gaps_by_level(trades, slice_seconds=slice_seconds), finest),
+            "top_outliers": top_outliers(o, 10),
+            "outliers": o, "duplicates": d, "clean": clean}

@@ -230,6 +230,11 @@ def oracle_sql() -> dict[str, str]:
     q["latest_candle"] = w(*BASE, allc) + (
         f"SELECT {_CANDLE_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY instrument, window_size "
         "ORDER BY window_start DESC) AS rn FROM allc) WHERE rn = 1")
+    q["snapshot_candles"] = w(*BASE, allc) + (
+        f"SELECT {_CANDLE_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY window_size "
+        "ORDER BY window_start DESC, instrument ASC) AS rn FROM allc) WHERE rn <= 500")
+    q["distinct_instruments"] = w(*BASE) + "SELECT DISTINCT instrument FROM trades"
+    q["first_messages"] = w(_MESSAGES) + "SELECT * FROM messages ORDER BY timestamp, sequence_id LIMIT 1000"
     q["gaps_by_level"] = w(*BASE, _PREV, _GAPS) + "SELECT * FROM gaps"
     q["gap_counts"] = w(*BASE, _PREV, _GAPS) + (
         "SELECT instrument, count(*) AS gap_count FROM gaps WHERE threshold_name = 'HFT' "
@@ -281,6 +286,7 @@ def oracle_sql() -> dict[str, str]:
         "FROM checked GROUP BY 1")
     q["msg_type_counts"] = w(_MESSAGES) + "SELECT msg_type, count(*) AS count FROM messages GROUP BY msg_type"
     q["drift"] = w(*_DRIFT_BASE) + "SELECT * FROM dr"
+    q["drift_matched"] = w(*_DRIFT_BASE) + "SELECT * FROM dr WHERE NOT missing_realtime AND NOT missing_batch"
     q["drift_summary"] = w(*_DRIFT_BASE, _REPORT) + (
         "SELECT total_candles, missing_in_realtime, round(missing_in_realtime_pct, 6) AS missing_in_realtime_pct, "
         "missing_in_batch, matched_candles, round(close_drift_mean_pct, 6) AS close_drift_mean_pct, "

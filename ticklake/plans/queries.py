@@ -56,6 +56,18 @@ def latest_candle(spark, sf):
     return C.latest_candle(ohlcv_all_sizes(spark, sf))
 
 
+def snapshot_candles(spark, sf):
+    return C.newest_per_size(ohlcv_all_sizes(spark, sf), 500, ["1s", "10s", "1m"])
+
+
+def distinct_instruments(spark, sf):
+    return C.distinct_values(S.trades(spark, sf), "instrument")
+
+
+def first_messages(spark, sf):
+    return C.first_messages(S.messages(spark, sf), 1000)
+
+
 # ---- quality -------------------------------------------------------------
 
 def gaps_by_level(spark, sf):
@@ -162,6 +174,10 @@ def _drift_report(spark, sf):
     return D.drift_report(_drift(spark, sf))
 
 
+def drift_matched(spark, sf):
+    return D.matched(_drift(spark, sf))
+
+
 def drift_summary(spark, sf):
     return _round(_drift_report(spark, sf), ["close_drift_mean_pct", "close_drift_std_pct",
                                             "volume_drift_mean_pct", "trade_count_diff_mean",
@@ -239,6 +255,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "candle_summary": candle_summary,
     "candle_series": candle_series,
     "latest_candle": latest_candle,
+    "snapshot_candles": snapshot_candles,
+    "distinct_instruments": distinct_instruments,
+    "first_messages": first_messages,
     "gaps_by_level": gaps_by_level,
     "gap_counts": gap_counts,
     "gap_level_counts": gap_level_counts,
@@ -256,6 +275,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tick_status_counts": tick_status_counts,
     "msg_type_counts": msg_type_counts,
     "drift": drift,
+    "drift_matched": drift_matched,
     "drift_summary": drift_summary,
     "drift_by_window": drift_by_window,
     "drift_alerts": drift_alerts,
