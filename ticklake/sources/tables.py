@@ -21,21 +21,33 @@ from ticklake.operators.sequence import ordered_position
 TRADE_COLS = [f.name for f in TRADES.fields]
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+_SPLITS: dict[tuple[str, str], int] = {}
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None,
+           cache_key: str | None = None) -> DataFrame:
     """Hash-spread an input that arrives in fewer splits than the cluster
     has cores (a single small file is one task).  A large input already
     has enough splits and is returned unchanged, so no shuffle is added
-    where it would only cost."""
+    where it would only cost.  The split count of a path is remembered
+    (planning a scan just to count splits is not free)."""
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    ck = (cache_key, spark.conf.get("spark.sql.files.maxPartitionBytes")) if cache_key else None
+    n = _SPLITS.get(ck) if ck else None
+    if n is None:
+        n = df.rdd.getNumPartitions()
+        if ck:
+            _SPLITS[ck] = n
+    if n >= want:
         return df
     return df.repartition(want, key)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, spread_key) if spread_key else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return spread(df, spread_key, cache_key=path) if spread_key else df
 
 
 def read_trades(spark: SparkSession, path: str, with_msg_type: bool = False) -> DataFrame:
