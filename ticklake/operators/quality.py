@@ -15,28 +15,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions.timefn import millis_between, window_start
-from ticklake.operators.sequence import lag_across_slices, ordered_position, rolling_previous
+from ticklake.operators.sequence import (
+    auto_time_slice, auto_value_slice, lag_across_slices, ordered_position, rolling_previous,
+)
 from ticklake.schemas import GAP_LEVELS, OUTLIER_THRESHOLD, OUTLIER_WINDOW
 
 FINGERPRINT = ["timestamp", "instrument", "price", "volume", "side"]
 TRADE_ORDER = ["timestamp", "sequence_id"]
 
 
-def _time_slice(slice_seconds: int):
+def _time_slice(trades: DataFrame, slice_seconds: int | None):
+    """(instrument, time bucket) slices; width from data density when None."""
+    if slice_seconds is None:
+        slice_seconds = auto_time_slice(trades, ["instrument"], "timestamp")
     return window_start(F.col("timestamp"), slice_seconds)
 
 
-def with_previous_time(trades: DataFrame, slice_seconds: int = 3600) -> DataFrame:
+def with_previous_time(trades: DataFrame, slice_seconds: int | None = None) -> DataFrame:
     """Adds ``prev_trade_time`` (previous tick of the instrument) and
     ``gap_ms`` (whole milliseconds since it, truncated)."""
     # the lagged value is the timestamp that leads the order: max per slice
     out = lag_across_slices(trades, ["instrument"], TRADE_ORDER, None,
-                            _time_slice(slice_seconds), "timestamp", "prev_trade_time")
+                            _time_slice(trades, slice_seconds), "timestamp", "prev_trade_time")
     return out.withColumn("gap_ms", millis_between(F.col("prev_trade_time"), F.col("timestamp")))
 
 
 def gaps_by_level(trades: DataFrame, levels: Sequence[tuple[str, float]] = GAP_LEVELS,
-                  slice_seconds: int = 3600) -> DataFrame:
+                  slice_seconds: int | None = None) -> DataFrame:
     """One row per (gap, level) with gap_ms strictly above the level.
 
     The previous tick is found once; the levels are a literal array
@@ -55,7 +60,7 @@ def gaps_by_level(trades: DataFrame, levels: Sequence[tuple[str, float]] = GAP_L
                     "threshold_name", "threshold_ms")
 
 
-def gaps(trades: DataFrame, threshold_ms: float, name: str, slice_seconds: int = 3600) -> DataFrame:
+def gaps(trades: DataFrame, threshold_ms: float, name: str, slice_seconds: int | None = None) -> DataFrame:
     """Gaps at one level."""
     return gaps_by_level(trades, [(name, threshold_ms)], slice_seconds)
 
@@ -68,7 +73,7 @@ def gap_counts(gaps_df: DataFrame, level: str = "HFT") -> DataFrame:
 
 
 def gap_level_counts(trades: DataFrame, levels: Sequence[tuple[str, float]] = GAP_LEVELS,
-                     slice_seconds: int = 3600) -> DataFrame:
+                     slice_seconds: int | None = None) -> DataFrame:
     """Number of gaps per level in one pass (count_if per level, unpivoted)."""
     g = with_previous_time(trades, slice_seconds)
     aggs = [F.count_if(F.col("gap_ms") > F.lit(float(t))).alias(f"c{i}") for i, (_, t) in enumerate(levels)]
@@ -80,7 +85,7 @@ def gap_level_counts(trades: DataFrame, levels: Sequence[tuple[str, float]] = GA
 
 
 def outliers(trades: DataFrame, window: int = OUTLIER_WINDOW,
-             threshold: float = OUTLIER_THRESHOLD, slice_seconds: int = 3600) -> DataFrame:
+             threshold: float = OUTLIER_THRESHOLD, slice_seconds: int | None = None) -> DataFrame:
     """Ticks whose price deviates from the mean of the previous ``window``
     prices of the instrument by more than ``threshold`` (a fraction).
 
@@ -91,7 +96,7 @@ def outliers(trades: DataFrame, window: int = OUTLIER_WINDOW,
         "rolling_avg": lambda w: F.avg("price").over(w.rowsBetween(-window, -1)),
         "_n_prev": lambda w: F.count("price").over(w.rowsBetween(-window, -1)),
     }
-    r = rolling_previous(trades, ["instrument"], TRADE_ORDER, _time_slice(slice_seconds),
+    r = rolling_previous(trades, ["instrument"], TRADE_ORDER, _time_slice(trades, slice_seconds),
                          window, aggs)
     r = r.withColumn("rolling_avg", F.when(F.col("_n_prev") == window, F.col("rolling_avg")))
     r = r.withColumn("deviation_pct",
@@ -107,11 +112,13 @@ def top_outliers(outliers_df: DataFrame, n: int = 10) -> DataFrame:
     return outliers_df.orderBy(F.desc("deviation_pct"), F.asc("trade_id")).limit(n)
 
 
-def number_duplicates(trades: DataFrame, seq_slice: int = 1 << 20) -> DataFrame:
+def number_duplicates(trades: DataFrame, seq_slice: int | None = None) -> DataFrame:
     """Adds ``row_num``: occurrence number inside the fingerprint
     (timestamp, instrument, price, volume, side), ordered by
     (sequence_id, trade_id).  A huge group of copies is spread over
-    sequence slices."""
+    sequence slices (width from the sequence range when None)."""
+    if seq_slice is None:
+        seq_slice = auto_value_slice(trades, "sequence_id")
     out = ordered_position(trades, FINGERPRINT, [F.col("sequence_id"), F.col("trade_id")],
                            F.floor(F.col("sequence_id") / F.lit(seq_slice)), name="_pos")
     return out.withColumn("row_num", F.col("_pos") + 1).drop("_pos")
@@ -186,11 +193,21 @@ def fingerprint(trades: DataFrame) -> DataFrame:
     return trades.withColumn("fingerprint", F.xxhash64(*FINGERPRINT))
 
 
-def quality_report(trades: DataFrame, slice_seconds: int = 3600) -> dict[str, DataFrame]:
+def quality_report(trades: DataFrame, slice_seconds: int | None = None,
+                   materialize_steps: bool = True) -> dict[str, DataFrame]:
     """The report's tables: summary, gaps per level, gaps per instrument
-    at the finest level, top 10 outliers (text layout is left to callers)."""
+    at the finest level, top 10 outliers (text layout is left to callers).
+
+    The numbered ticks and the outliers feed several outputs; with
+    ``materialize_steps`` each is computed once and written to the shared
+    checkpoint folder (``session.materialize``)."""
+    from ticklake.session import materialize
+    if slice_seconds is None:
+        slice_seconds = auto_time_slice(trades, ["instrument"], "timestamp")
     n = number_duplicates(trades)
     o = outliers(trades, slice_seconds=slice_seconds)
+    if materialize_steps:
+        n, o = materialize(n, "numbered"), materialize(o, "outliers")
     d = duplicates(n)
     clean = clean_trades(deduplicated(n), o)
     finest = min(GAP_LEVELS, key=lambda lv: lv[1])[0]

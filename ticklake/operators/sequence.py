@@ -111,6 +111,39 @@ def running_max_across_slices(df: DataFrame, keys: Sequence[str], order: Sequenc
 
 AggFn = Callable[[WindowSpec], Column]
 
+SLICE_TARGET_ROWS = 1 << 20
+
+
+def auto_time_slice(df: DataFrame, keys: Sequence[str], ts: str,
+                    target_rows: int = SLICE_TARGET_ROWS, max_seconds: int = 366 * 86400) -> int:
+    """Slice width (seconds) so that the densest key holds about
+    ``target_rows`` rows per slice on average.
+
+    One partial aggregate per key (map-side reduced; one row per key) and a
+    global max: a bounded one-row result read by the driver, like the
+    statistics AQE uses.  Sparse data gets wide slices (few boundaries);
+    a hot key gets narrow ones (bounded window partitions).
+    """
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.timestamp_diff("SECOND", F.min(ts), F.max(ts)).alias("span"))
+    dens = per_key.agg(F.max(F.col("n") / F.greatest(F.col("span"), F.lit(1))).alias("d")).first()
+    d = dens["d"] if dens and dens["d"] else 0.0
+    if d <= 0:
+        return max_seconds
+    return int(min(max_seconds, max(1, target_rows / d)))
+
+
+def auto_value_slice(df: DataFrame, col: str, target_rows: int = SLICE_TARGET_ROWS) -> int:
+    """Bucket width over a numeric order column (e.g. a sequence number)
+    so that a bucket holds about ``target_rows`` rows when values are
+    spread evenly; one global aggregate row."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    if not r or not r["n"] or r["lo"] is None:
+        return 1 << 40
+    span = max(1, int(r["hi"]) - int(r["lo"]) + 1)
+    return max(1, int(span * target_rows / max(1, r["n"])))
+
 
 def rolling_previous(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                      slice_expr: Column, k: int, aggs: dict[str, AggFn],

@@ -20,7 +20,7 @@ from ticklake.operators import candles as C
 from ticklake.operators import drift as D
 from ticklake.operators import quality as Q
 from ticklake.operators import storage as ST
-from ticklake.session import checkpoint_root, scratch_path
+from ticklake.session import materialize, scratch_path
 from ticklake.streaming import aggregator as SA
 
 REFERENCE_SIZES = (1, 10, 60)
@@ -116,13 +116,15 @@ def clean_trades(spark, sf):
 
 
 def exclusions(spark, sf):
-    return Q.exclusions(_numbered(spark, sf), _outliers_raw(spark, sf, S.trades_dup))
+    # the numbered ticks feed three branches: computed once
+    return Q.exclusions(materialize(_numbered(spark, sf), "numbered"),
+                        _outliers_raw(spark, sf, S.trades_dup))
 
 
 def quality_summary(spark, sf):
     t = S.trades_dup(spark, sf)
-    n = Q.number_duplicates(t)
-    o = Q.outliers(t)
+    n = materialize(Q.number_duplicates(t), "numbered")
+    o = materialize(Q.outliers(t), "outliers")
     q = Q.quality_summary(t, o, Q.duplicates(n), Q.clean_trades(Q.deduplicated(n), o))
     return _round(q, ["outlier_pct", "duplicate_pct", "clean_pct", "clean_pct_reference"], 9)
 

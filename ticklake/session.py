@@ -78,3 +78,17 @@ def ensure_dir(p: str) -> None:
         p = p[5:]
     if p.startswith("/"):
         os.makedirs(p, exist_ok=True)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once to the shared checkpoint folder (Parquet) and
+    return a DataFrame reading it back.
+
+    Cuts the lineage where a heavy intermediate feeds several outputs: it
+    is computed once, survives executor loss (the files are on the shared
+    filesystem, not on an executor), and later reads are column-pruned.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

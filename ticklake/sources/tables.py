@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ticklake.functions.timefn import add_interval
 from ticklake.functions.wire import encode_wire
 from ticklake.schemas import MESSAGES, TRADES
-from ticklake.operators.sequence import ordered_position
+from ticklake.operators.sequence import auto_time_slice, ordered_position
 
 TRADE_COLS = [f.name for f in TRADES.fields]
 
@@ -105,7 +105,7 @@ def trades_rt(spark: SparkSession, sf_dir: str) -> DataFrame:
         "volume", "side", "sequence_id")
 
 
-def arrivals(spark: SparkSession, sf_dir: str, slice_seconds: int = 3600) -> DataFrame:
+def arrivals(spark: SparkSession, sf_dir: str, slice_seconds: int | None = None) -> DataFrame:
     """Trades as read from a 3-partition log: some arrive one hour late.
 
     ``offset_in_partition`` is the 1-based arrival position inside a log
@@ -116,6 +116,8 @@ def arrivals(spark: SparkSession, sf_dir: str, slice_seconds: int = 3600) -> Dat
     arrival = F.when(F.col("sequence_id") % 25 == 2,
                      add_interval(F.col("timestamp"), hours=1)).otherwise(F.col("timestamp"))
     t = t.withColumn("kafka_partition", F.col("sequence_id") % 3).withColumn("_arrival", arrival)
+    if slice_seconds is None:
+        slice_seconds = auto_time_slice(t, ["kafka_partition"], "_arrival")
     out = ordered_position(
         t, keys=["kafka_partition"], order=[F.col("_arrival"), F.col("sequence_id")],
         slice_expr=F.window("_arrival", f"{slice_seconds} seconds").start, name="_pos")

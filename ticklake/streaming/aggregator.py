@@ -143,13 +143,15 @@ def progress_table(spark: SparkSession, queries: Sequence[StreamingQuery]) -> Da
 
 
 def late_rate(arrivals: DataFrame, configs: Sequence[WindowConfig] = WINDOW_CONFIGS,
-              offset_slice: int = 1 << 16) -> DataFrame:
+              offset_slice: int = 1 << 20) -> DataFrame:
     """Share of ticks that arrive too late for their window, per size.
 
     ``arrivals`` has ``kafka_partition`` and ``offset_in_partition``.  The
     event-time high-water mark is the running max of ``timestamp`` in
     arrival order per log partition (skew-proof running max); a tick is
     late when ``window_end + 2 * watermark < high-water mark`` (strict).
+    Offsets are dense positions, so an offset bucket holds at most
+    ``offset_slice`` rows of a log partition.
     """
     r = running_max_across_slices(arrivals, ["kafka_partition"], ["offset_in_partition"],
                                   F.floor(F.col("offset_in_partition") / F.lit(offset_slice)),
