@@ -76,3 +76,27 @@ def matched(drift: DataFrame) -> DataFrame:
 def write_drift(drift: DataFrame, path: str) -> None:
     """Persist the detailed drift table (Parquet, replacing ``path``)."""
     drift.write.mode("overwrite").parquet(path)
+
+
+def measure_drift_by_size(realtime: dict, batch: dict) -> DataFrame:
+    """``measure_drift`` for candle tables given per window size
+    (``{seconds: DataFrame}``, e.g. from ``candles.candles_by_size``).
+
+    Joining size by size lets each join reuse the partitioning its two
+    aggregates already have (hash of instrument, window_start), so the
+    join adds no shuffle; the stacked form has to re-shuffle every candle
+    of both sides.  Same rows: window_size is part of the key.
+    """
+    sizes = sorted(set(realtime) | set(batch))
+    parts = []
+    for s in sizes:
+        if s in realtime and s in batch:
+            parts.append(measure_drift(realtime[s], batch[s]))
+        else:
+            only = realtime.get(s) if s in realtime else batch.get(s)
+            other = (batch[sizes[0]] if s in realtime else realtime[sizes[0]]).limit(0)
+            parts.append(measure_drift(only, other) if s in realtime else measure_drift(other, only))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

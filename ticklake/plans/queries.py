@@ -163,9 +163,9 @@ def msg_type_counts(spark, sf):
 # ---- drift ---------------------------------------------------------------
 
 def _drift(spark, sf):
-    rt = C.all_sizes(S.trades_rt(spark, sf), REFERENCE_SIZES, is_realtime=True)
-    bt = C.all_sizes(S.trades(spark, sf), REFERENCE_SIZES, is_realtime=False)
-    return D.measure_drift(rt, bt)
+    rt = C.candles_by_size(S.trades_rt(spark, sf), REFERENCE_SIZES, is_realtime=True)
+    bt = C.candles_by_size(S.trades(spark, sf), REFERENCE_SIZES, is_realtime=False)
+    return D.measure_drift_by_size(rt, bt)
 
 
 def drift(spark, sf):
