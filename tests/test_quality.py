@@ -21,6 +21,23 @@ def test_gap_thresholds_are_strict_and_truncate(trades_df):
     assert [(r.instrument, r.gap_count) for r in gc] == [("X", 2)]
 
 
+def test_duplicate_numbering_hot_and_cold_paths_agree(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from ticklake import sources as S
+    t = S.trades_dup(spark, "/root/testdata/sf0.001")
+    # one fingerprint made huge: 600 copies with spread sequence ids
+    hot = t.limit(1).select("*", F.explode(F.sequence(F.lit(0), F.lit(599))).alias("_k")) \
+        .withColumn("sequence_id", F.col("_k") * 7 + 5).withColumn("trade_id", F.concat(F.lit("H"), F.col("_k").cast("string"))) \
+        .drop("_k")
+    data = t.unionByName(hot)
+    plain = data.withColumn("row_num", F.row_number().over(
+        Window.partitionBy(*Q.FINGERPRINT).orderBy("sequence_id", "trade_id")).cast("long"))
+    for kw in ({}, {"seq_slice": 50, "sample_fraction": 0.5, "hot_min_sampled": 100}):
+        got = Q.number_duplicates(data, **kw).select(*plain.columns)
+        assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+
+
 def test_outliers_window_boundaries(trades_df):
     base = [(str(i), "X", ts(i * 10), 100.0, 1.0, "BUY", i) for i in range(50)]
     rows = base + [
@@ -50,7 +67,8 @@ def test_duplicates_first_by_sequence_and_null_values(trades_df):
         ("d", "X", ts(0), 1.0, None, "BUY", 31),     # null volume twice: one group
         ("e", "X", ts(0), 1.0, 2.0, "BUY", 40),
     ])
-    n = Q.number_duplicates(t, seq_slice=8)            # tiny slices: group split over several
+    # every group sampled as hot, tiny slices: a group is split over several
+    n = Q.number_duplicates(t, seq_slice=8, sample_fraction=1.0, hot_min_sampled=2)
     d = {r.trade_id: (r.row_num, r.exclusion_reason) for r in Q.duplicates(n).collect()}
     assert d == {"a": (2, "duplicate"), "d": (2, "duplicate")}
     assert sorted(r.trade_id for r in Q.deduplicated(n).collect()) == ["b", "c", "e"]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ticklake.functions.timefn import millis_between, window_start
 from ticklake.operators.sequence import (
-    auto_time_slice, auto_value_slice, lag_across_slices, ordered_position, rolling_previous,
+    auto_time_slice, auto_value_slice, lag_across_slices, ordered_position_hot, rolling_previous,
 )
 from ticklake.schemas import GAP_LEVELS, OUTLIER_THRESHOLD, OUTLIER_WINDOW
 
@@ -112,15 +112,20 @@ def top_outliers(outliers_df: DataFrame, n: int = 10) -> DataFrame:
     return outliers_df.orderBy(F.desc("deviation_pct"), F.asc("trade_id")).limit(n)
 
 
-def number_duplicates(trades: DataFrame, seq_slice: int | None = None) -> DataFrame:
+def number_duplicates(trades: DataFrame, seq_slice: int | None = None,
+                      sample_fraction: float = 0.001, hot_min_sampled: int = 500) -> DataFrame:
     """Adds ``row_num``: occurrence number inside the fingerprint
     (timestamp, instrument, price, volume, side), ordered by
-    (sequence_id, trade_id).  A huge group of copies is spread over
-    sequence slices (width from the sequence range when None)."""
+    (sequence_id, trade_id).
+
+    Fingerprint groups found hot in a sample (by default ~500k+ copies) are
+    spread over sequence slices (width from the sequence range when None);
+    all other groups are numbered by one plain window partition each."""
     if seq_slice is None:
         seq_slice = auto_value_slice(trades, "sequence_id")
-    out = ordered_position(trades, FINGERPRINT, [F.col("sequence_id"), F.col("trade_id")],
-                           F.floor(F.col("sequence_id") / F.lit(seq_slice)), name="_pos")
+    out = ordered_position_hot(trades, FINGERPRINT, [F.col("sequence_id"), F.col("trade_id")],
+                               F.floor(F.col("sequence_id") / F.lit(seq_slice)), name="_pos",
+                               fraction=sample_fraction, min_sampled=hot_min_sampled)
     return out.withColumn("row_num", F.col("_pos") + 1).drop("_pos")
 
 

@@ -187,3 +187,48 @@ def rolling_previous(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
         b = b.withColumn(c, fn(wb))
     heads = b.filter(~F.col("__copy") & (F.col("__rn") <= k)).select(*cols)
     return interior.unionByName(heads)
+
+
+def sampled_hot_keys(df: DataFrame, keys: Sequence[str], fraction: float, min_sampled: int,
+                     max_keys: int = 10000, seed: int = 17) -> DataFrame:
+    """Keys with at least ``min_sampled`` rows in a seeded Bernoulli sample
+    (deterministic for the same input).  At most ``max_keys`` (the most
+    frequent), so the result has a proven size bound and may be broadcast.
+    Detection only steers balance: every operator stays exact for keys it
+    misses."""
+    s = df.sample(withReplacement=False, fraction=fraction, seed=seed) if fraction < 1.0 else df
+    k = F.struct(*[F.col(c) for c in keys])
+    return (s.groupBy(k.alias(_K)).agg(F.count(F.lit(1)).alias("__c"))
+             .filter(F.col("__c") >= min_sampled)
+             .orderBy(F.desc("__c")).limit(max_keys)
+             .select(_K, F.lit(True).alias("__hot")))
+
+
+def ordered_position_hot(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
+                         slice_expr: Column, name: str = "pos", fraction: float = 0.001,
+                         min_sampled: int = 500, max_keys: int = 10000) -> DataFrame:
+    """``ordered_position`` for many keys of which a few may be huge (e.g.
+    duplicate groups).
+
+    Only keys found hot in a sample are cut into slices; every other key
+    is one window partition with offset 0, so the common case costs one
+    shuffle -- the same as a plain window -- instead of a per-(key, slice)
+    summary as large as the data.  Hot keys get the slice treatment: their
+    slice counts come from a partial aggregate over the hot rows only and
+    are joined back (small; AQE broadcasts by measured size).
+    """
+    hot = sampled_hot_keys(df, keys, fraction, min_sampled, max_keys)
+    k = F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("_"))
+    d = (df.withColumn(_K, k)
+           .join(F.broadcast(hot), _K, "left")        # <= max_keys rows
+           .withColumn(_S, F.when(F.col("__hot"), slice_expr))
+           .withColumn(_G, F.struct(F.col(_K), F.col(_S))))
+    counts = d.filter(F.col("__hot")).groupBy(_G).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.select(_G, F.col(f"{_G}.{_K}").alias(_K), F.col(f"{_G}.{_S}").alias(_S), "__n")
+    offs = counts.select(
+        _G, F.coalesce(F.sum("__n").over(_summary_window().rowsBetween(Window.unboundedPreceding, -1)),
+                       F.lit(0)).alias("__off"))
+    local = d.withColumn("__rn", F.row_number().over(Window.partitionBy(_G).orderBy(*order)))
+    out = local.join(offs, _G, "left")
+    pos = F.coalesce(F.col("__off"), F.lit(0)) + F.col("__rn") - 1
+    return _finish(out.withColumn(name, pos.cast("long")).drop("__off", "__rn", "__hot"))
