@@ -162,18 +162,20 @@ def rolling_previous(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
                               F.lit(0)).alias("__off"))
 
     wl = Window.partitionBy(_G).orderBy(*order)
-    local = d.withColumn("__rn", F.row_number().over(wl))
+    local = (d.withColumn("__rn", F.row_number().over(wl))
+              .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(_G))))
     for c, fn in aggs.items():
         local = local.withColumn(c, fn(wl))
     cols = df.columns + list(aggs)
 
     interior = local.filter(F.col("__rn") > k).select(*cols)
 
-    # Boundary rows: the first k and the last k of every slice.  Any row
-    # within k positions before a first-k row is itself a boundary row, so
-    # windows over the boundary set alone see the true predecessors.
-    b = local.drop(*aggs).join(offs, _G, "left")
-    b = b.filter((F.col("__rn") <= k) | (F.col("__n") - F.col("__rn") < k))
+    # Boundary rows: the first k and the last k of every slice (filtered
+    # before the join, so only they meet the summary).  Any row within k
+    # positions before a first-k row is itself a boundary row, so windows
+    # over the boundary set alone see the true predecessors.
+    b = local.filter((F.col("__rn") <= k) | (F.col("__n") - F.col("__rn") < k)).drop(*aggs, "__n")
+    b = b.join(offs.drop("__n"), _G, "left")
     pos = F.col("__off") + F.col("__rn") - 1
     blk = F.floor(pos / F.lit(block_rows))
     # a row among the last k of a block is copied into the next block
