@@ -68,3 +68,16 @@ def test_rolling_previous(data, width, k, block):
     want = data.select("k", "t", "v", "seq", F.sum("v").over(w.rowsBetween(-k, -1)).alias("s"),
                        F.count("v").over(w.rowsBetween(-k, -1)).alias("n"), F.lag("v", 1).over(w).alias("l"))
     assert same(got.select(*want.columns), want)
+
+
+def test_auto_slice_splits_a_hot_key(data):
+    from ticklake.operators.sequence import auto_time_slice
+    w = auto_time_slice(data, ["k"], "t", target_rows=200)
+    slices = data.filter("k = 'A'").select(slice_of(w).alias("s")).distinct().count()
+    assert slices > 1                              # the hot key is not one task
+    wide = auto_time_slice(data, ["k"], "t", target_rows=10 ** 9)
+    assert wide >= 20010                           # sparse data: one slice per key
+    got = ordered_position(data, ["k"], ["t", "seq"], slice_of(w), "pos").select("seq", "pos")
+    want = data.select("seq", (F.row_number().over(Window.partitionBy("k").orderBy("t", "seq")) - 1)
+                       .cast("long").alias("pos"))
+    assert same(got, want)
