@@ -72,10 +72,10 @@ def test_rolling_previous(data, width, k, block):
 
 def test_auto_slice_splits_a_hot_key(data):
     from ticklake.operators.sequence import auto_time_slice
-    w = auto_time_slice(data, ["k"], "t", target_rows=200)
+    w = auto_time_slice(data, ["k"], "t", target_rows=200, stats_min_bytes=0)
     slices = data.filter("k = 'A'").select(slice_of(w).alias("s")).distinct().count()
     assert slices > 1                              # the hot key is not one task
-    wide = auto_time_slice(data, ["k"], "t", target_rows=10 ** 9)
+    wide = auto_time_slice(data, ["k"], "t", target_rows=10 ** 9, stats_min_bytes=0)
     assert wide >= 20010                           # sparse data: one slice per key
     got = ordered_position(data, ["k"], ["t", "seq"], slice_of(w), "pos").select("seq", "pos")
     want = data.select("seq", (F.row_number().over(Window.partitionBy("k").orderBy("t", "seq")) - 1)

@@ -37,8 +37,7 @@ def ohlcv(trades: DataFrame, seconds: int, label: str | None = None,
     """Candles of one size straight from ticks."""
     label = label or window_label(seconds)
     key = order_key("timestamp", seq_col if seq_col in trades.columns else None)
-    t = trades.withColumn("window_start", window_start(F.col("timestamp"), seconds))
-    agg = t.groupBy("instrument", "window_start").agg(
+    agg = trades.groupBy("instrument", window_start(F.col("timestamp"), seconds).alias("window_start")).agg(
         F.min_by("price", key).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
@@ -54,8 +53,7 @@ def rollup(candles: DataFrame, seconds: int, label: str | None = None) -> DataFr
     size).  Exact: open/close come from the first/last finer candle."""
     label = label or window_label(seconds)
     is_rt = F.first("is_realtime")
-    c = candles.withColumn("_ws", window_start(F.col("window_start"), seconds))
-    agg = c.groupBy("instrument", F.col("_ws").alias("window_start")).agg(
+    agg = candles.groupBy("instrument", window_start(F.col("window_start"), seconds).alias("_ws")).agg(
         F.min_by("open", "window_start").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
@@ -63,17 +61,22 @@ def rollup(candles: DataFrame, seconds: int, label: str | None = None) -> DataFr
         F.sum("volume").alias("volume"),
         F.sum("trade_count").alias("trade_count"),
         is_rt.alias("is_realtime"),
-    )
-    return (agg.withColumn("window_size", F.lit(label))
-               .withColumn("window_end", add_interval(F.col("window_start"), seconds=seconds))
-               .select(*CANDLE_COLUMNS))
+    ).withColumnRenamed("_ws", "window_start")
+    return agg.select(*[_candle_col(c, label, seconds) for c in CANDLE_COLUMNS])
+
+
+def _candle_col(c: str, label: str, seconds: int, is_realtime: bool | None = None) -> Column:
+    if c == "window_size":
+        return F.lit(label).alias(c)
+    if c == "window_end":
+        return add_interval(F.col("window_start"), seconds=seconds).alias(c)
+    if c == "is_realtime" and is_realtime is not None:
+        return F.lit(is_realtime).alias(c)
+    return F.col(c)
 
 
 def _finish(agg: DataFrame, seconds: int, label: str, is_realtime: bool) -> DataFrame:
-    return (agg.withColumn("window_size", F.lit(label))
-               .withColumn("window_end", add_interval(F.col("window_start"), seconds=seconds))
-               .withColumn("is_realtime", F.lit(is_realtime))
-               .select(*CANDLE_COLUMNS))
+    return agg.select(*[_candle_col(c, label, seconds, is_realtime) for c in CANDLE_COLUMNS])
 
 
 def candles_by_size(trades: DataFrame, sizes: Sequence[int] = tuple(c.seconds for c in WINDOW_CONFIGS),

@@ -20,12 +20,14 @@ def measure_drift(realtime: DataFrame, batch: DataFrame) -> DataFrame:
     b = batch.select(*DRIFT_KEYS, *[F.col(c).alias(f"{c}_batch")
                                     for c in batch.columns if c not in DRIFT_KEYS])
     j = realtime.join(b, DRIFT_KEYS, "full_outer")
-    out = j.withColumn("missing_realtime", F.col("close").isNull()) \
-           .withColumn("missing_batch", F.col("close_batch").isNull())
-    for v in _VALUES:
-        out = out.withColumn(f"{v}_drift_pct",
-                             F.try_divide(F.col(v) - F.col(f"{v}_batch"), F.col(f"{v}_batch")) * 100.0)
-    return out.withColumn("trade_count_diff", F.col("trade_count") - F.col("trade_count_batch"))
+    # one projection (a chain of withColumn re-analyses the plan per column)
+    return j.select(
+        "*",
+        F.col("close").isNull().alias("missing_realtime"),
+        F.col("close_batch").isNull().alias("missing_batch"),
+        *[(F.try_divide(F.col(v) - F.col(f"{v}_batch"), F.col(f"{v}_batch")) * 100.0).alias(f"{v}_drift_pct")
+          for v in _VALUES],
+        (F.col("trade_count") - F.col("trade_count_batch")).alias("trade_count_diff"))
 
 
 def drift_report(drift: DataFrame) -> DataFrame:

@@ -42,9 +42,8 @@ _S = "__seq_slice"
 
 def _prepare(df: DataFrame, keys: Sequence[str], slice_expr: Column) -> DataFrame:
     k = F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("_"))
-    return (df.withColumn(_K, k)
-              .withColumn(_S, slice_expr)
-              .withColumn(_G, F.struct(F.col(_K), F.col(_S))))
+    d = df.select("*", k.alias(_K), slice_expr.alias(_S))
+    return d.select("*", F.struct(F.col(_K), F.col(_S)).alias(_G))
 
 
 def _summary_window() -> WindowSpec:
@@ -112,18 +111,29 @@ def running_max_across_slices(df: DataFrame, keys: Sequence[str], order: Sequenc
 AggFn = Callable[[WindowSpec], Column]
 
 SLICE_TARGET_ROWS = 1 << 20
+STATS_MIN_BYTES = 256 << 20
+
+
+def _small(df: DataFrame, min_bytes: int) -> bool:
+    from ticklake.session import estimated_bytes
+    return min_bytes > 0 and estimated_bytes(df) < min_bytes
 
 
 def auto_time_slice(df: DataFrame, keys: Sequence[str], ts: str,
-                    target_rows: int = SLICE_TARGET_ROWS, max_seconds: int = 366 * 86400) -> int:
+                    target_rows: int = SLICE_TARGET_ROWS, max_seconds: int = 366 * 86400,
+                    stats_min_bytes: int = STATS_MIN_BYTES) -> int:
     """Slice width (seconds) so that the densest key holds about
     ``target_rows`` rows per slice on average.
 
     One partial aggregate per key (map-side reduced; one row per key) and a
     global max: a bounded one-row result read by the driver, like the
     statistics AQE uses.  Sparse data gets wide slices (few boundaries);
-    a hot key gets narrow ones (bounded window partitions).
+    a hot key gets narrow ones (bounded window partitions).  An input
+    below ``stats_min_bytes`` (Catalyst's estimate, no job) fits a task
+    whole: one slice per key, no statistics job.
     """
+    if _small(df, stats_min_bytes):
+        return max_seconds
     per_key = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.timestamp_diff("SECOND", F.min(ts), F.max(ts)).alias("span"))
@@ -134,10 +144,13 @@ def auto_time_slice(df: DataFrame, keys: Sequence[str], ts: str,
     return int(min(max_seconds, max(1, target_rows / d)))
 
 
-def auto_value_slice(df: DataFrame, col: str, target_rows: int = SLICE_TARGET_ROWS) -> int:
+def auto_value_slice(df: DataFrame, col: str, target_rows: int = SLICE_TARGET_ROWS,
+                     stats_min_bytes: int = STATS_MIN_BYTES) -> int:
     """Bucket width over a numeric order column (e.g. a sequence number)
     so that a bucket holds about ``target_rows`` rows when values are
-    spread evenly; one global aggregate row."""
+    spread evenly; one global aggregate row (skipped for small inputs)."""
+    if _small(df, stats_min_bytes):
+        return 1 << 62
     r = df.agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     if not r or not r["n"] or r["lo"] is None:
         return 1 << 40

@@ -17,6 +17,7 @@ from ticklake.functions.timefn import add_interval
 from ticklake.functions.wire import encode_wire
 from ticklake.schemas import MESSAGES, TRADES
 from ticklake.operators.sequence import auto_time_slice, ordered_position
+from ticklake.session import estimated_bytes
 
 TRADE_COLS = [f.name for f in TRADES.fields]
 
@@ -24,14 +25,20 @@ TRADE_COLS = [f.name for f in TRADES.fields]
 _SPLITS: dict[tuple[str, str], int] = {}
 
 
+SPREAD_MIN_BYTES = 64 << 20
+
+
 def spread(df: DataFrame, key: str, min_partitions: int | None = None,
-           cache_key: str | None = None) -> DataFrame:
+           cache_key: str | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Hash-spread an input that arrives in fewer splits than the cluster
-    has cores (a single small file is one task).  A large input already
-    has enough splits and is returned unchanged, so no shuffle is added
-    where it would only cost.  The split count of a path is remembered
-    (planning a scan just to count splits is not free)."""
+    has cores (one large file in one row group is one task).  A large input
+    already has enough splits and a small one is cheaper in one task than
+    behind an extra shuffle stage; both are returned unchanged.  The split
+    count of a path is remembered (planning a scan to count splits is not
+    free)."""
     spark = df.sparkSession
+    if estimated_bytes(df) < min_bytes:
+        return df
     want = min_partitions or spark.sparkContext.defaultParallelism
     ck = (cache_key, spark.conf.get("spark.sql.files.maxPartitionBytes")) if cache_key else None
     n = _SPLITS.get(ck) if ck else None
