@@ -68,3 +68,24 @@ def test_candle_plan_is_partial_aggregate_and_prunes_columns(spark):
     p = plan_text(C.ohlcv(t, 1))
     assert "partial_min_by" in p and "partial_sum" in p
     assert "user_id" not in p.split("ReadSchema")[1].split("\n")[0]  # unused column not read
+
+
+def test_packed_order_key_matches_struct_order(trades_df, spark):
+    from pyspark.sql import functions as F
+    rows = []
+    for i in range(400):          # many ties on the timestamp, sequence decides
+        rows.append((str(i), "X" if i % 3 else "Y", ts((i // 4) * 250), float(100 + (i * 37) % 11),
+                     1.0, "BUY", 10_000_000 + (i * 7919) % 400))
+    rows.append(("n", "X", ts(0), 55.0, 1.0, "BUY", None))     # null sequence sorts first
+    t = trades_df(rows)
+    key = C.packed_order_key(t, 1, min_bytes=0)
+    assert key is not None
+    ws = C.window_start(F.col("timestamp"), 1)
+    packed = t.groupBy("instrument", ws.alias("w")).agg(
+        F.min_by("price", key).alias("o"), F.max_by("price", key).alias("c"))
+    struct = t.groupBy("instrument", ws.alias("w")).agg(
+        F.min_by("price", C.order_key()).alias("o"), F.max_by("price", C.order_key()).alias("c"))
+    assert packed.exceptAll(struct).count() == 0 and struct.exceptAll(packed).count() == 0
+    # a sequence range too wide for the low bits falls back to the struct key
+    wide = trades_df([("a", "X", ts(0), 1.0, 1.0, "BUY", 0), ("b", "X", ts(1), 1.0, 1.0, "BUY", 2 ** 62)])
+    assert C.packed_order_key(wide, 1, min_bytes=0) is None

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.functions.timefn import add_interval, window_start
+from ticklake.functions.timefn import add_interval, epoch_micros, window_start
 from ticklake.schemas import CANDLE_COLUMNS, WINDOW_CONFIGS, window_label
 
 def order_key(ts: str | Column = "timestamp", seq: str | Column | None = "sequence_id") -> Column:
@@ -32,12 +32,47 @@ def order_key(ts: str | Column = "timestamp", seq: str | Column | None = "sequen
     return F.struct(ts.alias("t"), seq.alias("s"))
 
 
+PACKED_MIN_BYTES = 16 << 20
+
+
+def packed_order_key(trades: DataFrame, seconds: int, seq_col: str = "sequence_id",
+                     min_bytes: int = PACKED_MIN_BYTES) -> Column | None:
+    """A single BIGINT equal in order to (timestamp, seq) *inside one
+    window*: the microsecond offset in the window in the high bits and
+    ``seq - min(seq)`` in the low bits.  Returned only when both fit in 63
+    bits (one min/max statistic over the sequence column decides), else
+    None.  A long key keeps ``min_by``/``max_by`` in a HashAggregate; the
+    struct key plans a SortAggregate.  Small inputs skip the statistic."""
+    from ticklake.session import estimated_bytes
+    if seq_col not in trades.columns or estimated_bytes(trades) < min_bytes:
+        return None
+    r = trades.agg(F.min(seq_col).alias("lo"), F.max(seq_col).alias("hi")).first()
+    if r is None or r["lo"] is None:
+        return None
+    off_bits = (seconds * 1_000_000 - 1).bit_length()
+    seq_bits = 63 - off_bits
+    lo, hi = int(r["lo"]), int(r["hi"])
+    if hi - lo + 1 >= (1 << seq_bits) - 1:
+        return None
+    us = epoch_micros(F.col("timestamp"))
+    off = F.pmod(us, F.lit(seconds * 1_000_000))
+    # null sequence ids sort first, as in the struct key
+    seq = F.coalesce(F.col(seq_col) - F.lit(lo) + F.lit(1), F.lit(0))
+    return F.shiftleft(off, seq_bits) + seq
+
+
 def ohlcv(trades: DataFrame, seconds: int, label: str | None = None,
-          is_realtime: bool = False, seq_col: str | None = "sequence_id") -> DataFrame:
+          is_realtime: bool = False, seq_col: str | None = "sequence_id",
+          packed: bool = True) -> DataFrame:
     """Candles of one size straight from ticks."""
     label = label or window_label(seconds)
-    key = order_key("timestamp", seq_col if seq_col in trades.columns else None)
-    agg = trades.groupBy("instrument", window_start(F.col("timestamp"), seconds).alias("window_start")).agg(
+    key = packed_order_key(trades, seconds, seq_col) if packed and seq_col else None
+    if key is None:
+        key = order_key("timestamp", seq_col if seq_col in trades.columns else None)
+    # window start as a projected column: grouping by the expression itself
+    # lets the sort below the SortAggregate evaluate it per comparison
+    t = trades.withColumn("window_start", window_start(F.col("timestamp"), seconds))
+    agg = t.groupBy("instrument", "window_start").agg(
         F.min_by("price", key).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
@@ -53,7 +88,8 @@ def rollup(candles: DataFrame, seconds: int, label: str | None = None) -> DataFr
     size).  Exact: open/close come from the first/last finer candle."""
     label = label or window_label(seconds)
     is_rt = F.first("is_realtime")
-    agg = candles.groupBy("instrument", window_start(F.col("window_start"), seconds).alias("_ws")).agg(
+    c = candles.withColumn("_ws", window_start(F.col("window_start"), seconds))
+    agg = c.groupBy("instrument", "_ws").agg(
         F.min_by("open", "window_start").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
