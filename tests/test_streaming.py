@@ -75,3 +75,15 @@ def test_late_rate_counts(spark):
     n = S.trades(spark, "/root/testdata/sf0.001").count()
     assert all(x.total_ticks == n and 0 <= x.late_ticks <= n for x in r.values())
     assert r["1m"].late_ticks > 0
+
+
+def test_append_mode_emits_each_candle_once_when_closed(spark):
+    src, out, ck = scratch_path(spark, "wire"), scratch_path(spark, "out"), scratch_path(spark, "ck")
+    cfg = [WindowConfig("1s", 1, 200)]
+    _write_wire(spark, src, [line(1, 0.5), line(2, 0.7)])
+    _write_wire(spark, src, [line(3, 5.0)])            # closes [0,1) once the watermark moves
+    _write_wire(spark, src, [line(4, 6.0)])
+    q = SA.start_candle_queries(SA.file_source(spark, src, 1), out, ck, configs=cfg, correct_late=False)[0]
+    q.awaitTermination()
+    rows = spark.read.parquet(f"{out}/1s").collect()
+    assert [(r.window_start.second, r.trade_count) for r in rows] == [(0, 2)]   # open windows not emitted
