@@ -87,3 +87,27 @@ def test_append_mode_emits_each_candle_once_when_closed(spark):
     q.awaitTermination()
     rows = spark.read.parquet(f"{out}/1s").collect()
     assert [(r.window_start.second, r.trade_count) for r in rows] == [(0, 2)]   # open windows not emitted
+
+
+def test_progress_health_metrics_and_offset_lag(spark):
+    from ticklake.operators.alerts import health_alerts
+    src, out, ck = scratch_path(spark, "wire"), scratch_path(spark, "out"), scratch_path(spark, "ck")
+    _write_wire(spark, src, [line(1, 0.5), line(2, 1.5)])
+    qs = SA.start_candle_queries(SA.file_source(spark, src), out, ck, configs=[WindowConfig("1s", 1, 200)])
+    for q in qs:
+        q.awaitTermination()
+    prog = SA.progress_table(spark, qs)
+    m = SA.health_metrics(prog, drift_pct=0.1).first()
+    assert m.candles_emitted >= 2 and m.late_share == 0.0 and m.lag is None
+    assert {r.alert for r in health_alerts(SA.health_metrics(prog, drift_pct=0.9)).collect()} >= {"high_drift"}
+    assert SA._offset_lag({"endOffset": '{"t": {"0": 5, "1": 7}}',
+                           "latestOffset": '{"t": {"0": 9, "1": 7}}'}) == 4
+
+
+def test_audit_tables_written(spark):
+    from ticklake.operators.quality import write_audit_tables
+    root = scratch_path(spark, "audit")
+    paths = write_audit_tables(S.trades_dup(spark, "/root/testdata/sf0.001"), root)
+    assert set(paths) == {"gaps", "outliers", "duplicates", "clean_trades"}
+    g = spark.read.parquet(paths["gaps"])
+    assert g.select("threshold_name").distinct().collect()[0][0] == "HFT"

@@ -221,3 +221,22 @@ def quality_report(trades: DataFrame, slice_seconds: int | None = None,
             "gaps_by_instrument": gap_counts(gaps_by_level(trades, slice_seconds=slice_seconds), finest),
             "top_outliers": top_outliers(o, 10),
             "outliers": o, "duplicates": d, "clean": clean}
+
+
+def write_audit_tables(trades: DataFrame, out_root: str, slice_seconds: int | None = None) -> dict[str, str]:
+    """The audit sink: gaps at the finest level, outliers, duplicates, the
+    clean set and every exclusion with its reason, as Parquet tables under
+    ``out_root`` (replaced).  Returns the written paths."""
+    rep = quality_report(trades, slice_seconds)
+    finest = min(GAP_LEVELS, key=lambda lv: lv[1])
+    tables = {
+        "gaps": gaps(trades, finest[1], finest[0], slice_seconds),
+        "outliers": rep["outliers"],
+        "duplicates": rep["duplicates"],
+        "clean_trades": rep["clean"],
+    }
+    paths = {}
+    for name, df in tables.items():
+        paths[name] = f"{out_root.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(paths[name])
+    return paths

@@ -127,21 +127,67 @@ def read_upserted(spark: SparkSession, root: str, sizes: Sequence[str]) -> DataF
     return out
 
 
+def _offset_lag(src: dict) -> int | None:
+    """Kafka-style lag of one source report: sum over partitions of
+    latestOffset - endOffset; None for sources without numeric offsets."""
+    import json
+    def parse(v):
+        if isinstance(v, str):
+            try:
+                v = json.loads(v)
+            except ValueError:
+                return None
+        return v if isinstance(v, dict) else None
+    end, latest = parse(src.get("endOffset")), parse(src.get("latestOffset"))
+    if not end or not latest:
+        return None
+    lag = 0
+    for topic, parts in latest.items():
+        if not isinstance(parts, dict):
+            return None
+        for part, off in parts.items():
+            done = (end.get(topic) or {}).get(part)
+            if isinstance(off, int) and isinstance(done, int):
+                lag += max(0, off - done)
+    return lag
+
+
 def progress_table(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:
-    """Processing metrics from the retained progress reports (bounded)."""
+    """Processing metrics from the retained progress reports (bounded by
+    ``spark.sql.streaming.numRecentProgressUpdates``)."""
     rows = []
     for q in queries:
         for p in q.recentProgress:
+            ops = p.get("stateOperators", [])
+            lags = [x for x in (_offset_lag(s) for s in p.get("sources", [])) if x is not None]
             rows.append((q.name, int(p["batchId"]), int(p["numInputRows"]),
                          float(p.get("inputRowsPerSecond") or 0.0),
                          float(p.get("processedRowsPerSecond") or 0.0),
-                         sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in p.get("stateOperators", [])),
-                         sum(int(s.get("numRowsTotal", 0)) for s in p.get("stateOperators", []))))
+                         sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in ops),
+                         sum(int(s.get("numRowsTotal", 0)) for s in ops),
+                         sum(int(s.get("numRowsUpdated", 0)) for s in ops),
+                         sum(lags) if lags else None))
     schema = ("query string, batch_id long, input_rows long, input_rows_per_sec double, "
-              "processed_rows_per_sec double, rows_dropped_by_watermark long, state_rows long")
+              "processed_rows_per_sec double, rows_dropped_by_watermark long, state_rows long, "
+              "rows_updated long, source_lag long")
     return spark.createDataFrame(rows, schema)
 
 
+def health_metrics(progress: DataFrame, drift_pct: float | None = None, last_batches: int = 10) -> DataFrame:
+    """One metrics row for ``alerts.health_alerts`` from a progress table:
+    mean processing rate and candles updated over the last batches, share
+    of rows dropped as late, newest source lag, optional drift."""
+    from pyspark.sql.window import Window
+    w = Window.partitionBy("query").orderBy(F.desc("batch_id"))
+    recent = progress.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= last_batches)
+    return recent.agg(
+        F.avg("processed_rows_per_sec").alias("ticks_per_sec"),
+        F.sum("rows_updated").alias("candles_emitted"),
+        F.try_divide(F.sum("rows_dropped_by_watermark").cast("double"), F.sum("input_rows")).alias("late_share"),
+        F.max_by("source_lag", "batch_id").alias("lag"),
+    ).withColumn("drift_pct", F.lit(drift_pct).cast("double"))
+
+
 def late_rate(arrivals: DataFrame, configs: Sequence[WindowConfig] = WINDOW_CONFIGS,
               offset_slice: int = 1 << 20) -> DataFrame:
     """Share of ticks that arrive too late for their window, per size.
