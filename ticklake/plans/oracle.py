@@ -223,7 +223,7 @@ def oracle_sql() -> dict[str, str]:
     allc = f"allc AS ({_all_sizes('trades', False)})"
     q["ohlcv_all_sizes"] = w(*BASE) + _all_sizes("trades", False)
     q["candle_summary"] = w(*BASE, allc) + (
-        "SELECT window_size, count(*) AS candle_count, sum(trade_count) AS total_trades "
+        "SELECT window_size, count(*) AS candle_count, CAST(sum(trade_count) AS BIGINT) AS total_trades "
         "FROM allc GROUP BY window_size")
     q["candle_series"] = w(*BASE, allc) + (
         f"SELECT {_CANDLE_COLS} FROM allc WHERE instrument = 'click' AND window_size = '1m' ORDER BY window_start")
