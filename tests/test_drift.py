@@ -59,3 +59,14 @@ def test_by_window(spark):
     r = D.drift_by_window(D.measure_drift(rt, bt)).first()
     assert (r.window_size, r.total, r.missing_rt) == ("1s", 2, 1)
     assert abs(r.close_drift_mean - 1.0) < 1e-12 and r.trade_diff_mean == 0.0
+
+
+def test_write_drift_round_trip(spark):
+    from ticklake.session import scratch_path
+    rt = spark.createDataFrame([c(W0, 101.0)], SCHEMA)
+    bt = spark.createDataFrame([c(W0, 100.0, rt=False)], SCHEMA)
+    d = D.measure_drift(rt, bt)
+    path = scratch_path(spark, "drift")
+    D.write_drift(d, path)
+    back = spark.read.parquet(path)
+    assert back.count() == 1 and set(back.columns) == set(d.columns)

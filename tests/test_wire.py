@@ -58,3 +58,11 @@ def test_partition_assignment_is_deterministic(spark):
     df = spark.createDataFrame([("A",), ("B",), ("A",)], "instrument string")
     r = df.select(partition_of(F.col("instrument"), 6).alias("p")).collect()
     assert r[0].p == r[2].p and all(0 <= x.p < 6 for x in r)
+
+
+def test_dead_letter_json_records(spark):
+    import json
+    from ticklake.functions.wire import dead_letter_json
+    df = spark.createDataFrame([(b"abc",), (b"1,X,100,1.0,1.0,BUY,T",), (b"2,X,100,-1,1.0,BUY,T",)], "value binary")
+    recs = sorted(json.loads(r.json)["error"] for r in dead_letter_json(decode_wire(df)).collect())
+    assert recs == ["negative_price", "parse_error"]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake import sources as S
-from ticklake.functions.wire import decode_wire, encode_wire, parse_wire, status_counts, to_ticks
+from ticklake.functions.wire import decode_wire, encode_wire, status_counts, to_ticks
 from ticklake.operators import alerts as A
 from ticklake.operators import candles as C
 from ticklake.operators import drift as D

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -99,16 +98,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(p: str) -> bool:
-    return p.startswith("/") or p.startswith("file:")
-
-
-def ensure_dir(p: str) -> None:
-    if p.startswith("file:"):
-        p = p[5:]
-    if p.startswith("/"):
-        os.makedirs(p, exist_ok=True)
-
 
 def materialize(df, name: str = "stage"):
     """Write ``df`` once to the shared checkpoint folder (Parquet) and

@@ -141,6 +141,3 @@ def wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("sequence_id", F.col("instrument").cast("binary").alias("key"),
                     line.cast("binary").alias("value"), "partition")
 
-
-def project(df: DataFrame, cols: list[str | Column]) -> DataFrame:
-    return df.select(*cols)

@@ -72,16 +72,6 @@ def snapshot_writer(spark: SparkSession, root: str, history: int = SNAPSHOT_HIST
     return write
 
 
-def start_snapshot_query(candles_stream: DataFrame, root: str, ckpt: str,
-                         interval: str = "200 milliseconds", available_now: bool = False):
-    """Refresh the snapshot every ``interval`` (0.2 s by default)."""
-    spark = candles_stream.sparkSession
-    w = (candles_stream.writeStream.outputMode("update").option("checkpointLocation", ckpt)
-         .foreachBatch(snapshot_writer(spark, root)))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
-    return w.start()
-
-
 def start_snapshot_queries(source: DataFrame, root: str, ckpt_root: str,
                            configs=WINDOW_CONFIGS, history: int = SNAPSHOT_HISTORY,
                            interval: str = "200 milliseconds", available_now: bool = False):
