@@ -111,3 +111,24 @@ def test_audit_tables_written(spark):
     assert set(paths) == {"gaps", "outliers", "duplicates", "clean_trades"}
     g = spark.read.parquet(paths["gaps"])
     assert g.select("threshold_name").distinct().collect()[0][0] == "HFT"
+
+
+def test_routed_topology_equals_direct(spark):
+    sf = "/root/testdata/sf0.001"
+    src = scratch_path(spark, "wire")
+    S.wire_lines(spark, sf).select("key", "value").write.parquet(src)
+    table, rck = scratch_path(spark, "routed"), scratch_path(spark, "rck")
+    SA.start_router_query(SA.file_source(spark, src), table, rck).awaitTermination()
+    out1, ck1 = scratch_path(spark, "o1"), scratch_path(spark, "c1")
+    for q in SA.start_candle_queries_on_ticks(SA.routed_valid_ticks(spark, table), out1, ck1):
+        q.awaitTermination()
+    out2, ck2 = scratch_path(spark, "o2"), scratch_path(spark, "c2")
+    for q in SA.start_candle_queries(SA.file_source(spark, src), out2, ck2):
+        q.awaitTermination()
+    a = SA.read_upserted(spark, out1, ["1s", "10s", "1m"])
+    b = SA.read_upserted(spark, out2, ["1s", "10s", "1m"])
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    from ticklake.functions.wire import decode_wire
+    dead = decode_wire(S.wire_lines(spark, sf).select("value")).filter("error IS NOT NULL").select("raw", "error")
+    r = SA.routed_dead_letters(spark, table)
+    assert r.exceptAll(dead).count() == 0 and dead.exceptAll(r).count() == 0

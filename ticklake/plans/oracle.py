@@ -313,4 +313,6 @@ def oracle_sql() -> dict[str, str]:
         _late(lbl, s * 1_000_000, wm) for lbl, s, wm in (("1s", 1, 200), ("10s", 10, 1000), ("1m", 60, 5000)))
     q["stream_ohlcv"] = w(*wire, _VALID) + _stream_candles()
     q["stream_dead_letters"] = q["dead_letters"]
+    q["stream_ohlcv_routed"] = q["stream_ohlcv"]
+    q["stream_dead_letters_routed"] = q["dead_letters"]
     return q

@@ -240,6 +240,25 @@ def stream_ohlcv(spark, sf):
     return SA.read_upserted(spark, out, [c.name for c in SA.WINDOW_CONFIGS])
 
 
+def _routed(spark, sf) -> str:
+    src = _wire_source_dir(spark, sf)
+    table, ck = scratch_path(spark, "routed"), scratch_path(spark, "routed_ckpt")
+    SA.start_router_query(SA.file_source(spark, src), table, ck).awaitTermination()
+    return table
+
+
+def stream_ohlcv_routed(spark, sf):
+    table = _routed(spark, sf)
+    out, ck = scratch_path(spark, "stream_candles"), scratch_path(spark, "stream_ckpt")
+    for q in SA.start_candle_queries_on_ticks(SA.routed_valid_ticks(spark, table), out, ck):
+        q.awaitTermination()
+    return SA.read_upserted(spark, out, [c.name for c in SA.WINDOW_CONFIGS])
+
+
+def stream_dead_letters_routed(spark, sf):
+    return SA.routed_dead_letters(spark, _routed(spark, sf))
+
+
 def stream_dead_letters(spark, sf):
     src = _wire_source_dir(spark, sf)
     out, ck = scratch_path(spark, "stream_dlq"), scratch_path(spark, "stream_dlq_ckpt")
@@ -287,4 +306,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_rate": late_rate,
     "stream_ohlcv": stream_ohlcv,
     "stream_dead_letters": stream_dead_letters,
+    "stream_ohlcv_routed": stream_ohlcv_routed,
+    "stream_dead_letters_routed": stream_dead_letters_routed,
 }
