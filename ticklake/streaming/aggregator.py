@@ -229,8 +229,11 @@ def start_router_query(source: DataFrame, table_dir: str, ckpt_dir: str,
     file sink, whose metadata log makes it exactly-once for readers.
     Invalid rows are routed away from the candle state in the same pass."""
     p = decode_wire(source)
-    out = p.select("raw", "error", "msg_id", "instrument", "ts_micros", "price", "volume",
-                   F.when(F.col("error").isNull(), F.lit("valid")).otherwise(F.lit("dead")).alias("status"))
+    dead = F.col("error").isNotNull()
+    # typed fields for valid rows; the raw line is kept for dead rows only
+    out = p.select(F.when(dead, F.col("raw")).alias("raw"), "error", "msg_id", "instrument",
+                   "ts_micros", "price", "volume",
+                   F.when(dead, F.lit("dead")).otherwise(F.lit("valid")).alias("status"))
     w = (out.writeStream.format("parquet").partitionBy("status").option("path", table_dir)
             .option("checkpointLocation", ckpt_dir).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
