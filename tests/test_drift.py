@@ -70,3 +70,11 @@ def test_write_drift_round_trip(spark):
     D.write_drift(d, path)
     back = spark.read.parquet(path)
     assert back.count() == 1 and set(back.columns) == set(d.columns)
+
+
+def test_equal_candles_have_zero_drift(spark):
+    rt = spark.createDataFrame([c(W0, 100.0), c(W1, 50.0)], SCHEMA)
+    bt = spark.createDataFrame([c(W0, 100.0, rt=False), c(W1, 50.0, rt=False)], SCHEMA)
+    rep = D.drift_report(D.measure_drift(rt, bt)).first()
+    assert (rep.matched_candles, rep.close_drift_max_pct, rep.close_drift_std_pct, rep.candles_with_trade_diff) == (2, 0.0, 0.0, 0)
+    assert A.drift_alerts(D.drift_report(D.measure_drift(rt, bt))).count() == 0

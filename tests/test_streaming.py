@@ -132,3 +132,13 @@ def test_routed_topology_equals_direct(spark):
     dead = decode_wire(S.wire_lines(spark, sf).select("value")).filter("error IS NOT NULL").select("raw", "error")
     r = SA.routed_dead_letters(spark, table)
     assert r.exceptAll(dead).count() == 0 and dead.exceptAll(r).count() == 0
+
+
+def test_router_reports_status_counters(spark):
+    src, table, ck = scratch_path(spark, "wire"), scratch_path(spark, "routed"), scratch_path(spark, "rck")
+    _write_wire(spark, src, [line(1, 0.5), b"abc", f"2,X,{_us(1)},-1.00,1.0,BUY,T".encode(), line(3, 2.0)])
+    q = SA.start_router_query(SA.file_source(spark, src), table, ck)
+    q.awaitTermination()
+    seen = [p["observedMetrics"]["tick_status"] for p in q.recentProgress
+            if p.get("observedMetrics", {}).get("tick_status")]
+    assert sum(int(m["valid"]) for m in seen) == 2 and sum(int(m["dlq"]) for m in seen) == 2
