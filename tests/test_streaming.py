@@ -142,3 +142,12 @@ def test_router_reports_status_counters(spark):
     seen = [p["observedMetrics"]["tick_status"] for p in q.recentProgress
             if p.get("observedMetrics", {}).get("tick_status")]
     assert sum(int(m["valid"]) for m in seen) == 2 and sum(int(m["dlq"]) for m in seen) == 2
+
+
+def test_empty_stream_yields_no_candles(spark):
+    src, out, ck = scratch_path(spark, "wire"), scratch_path(spark, "out"), scratch_path(spark, "ck")
+    _write_wire(spark, src, [b"abc"])                     # nothing valid
+    for q in SA.start_candle_queries(SA.file_source(spark, src), out, ck):
+        q.awaitTermination()
+    got = SA.read_upserted(spark, out, ["1s", "10s", "1m"])
+    assert got.count() == 0 and "window_start" in got.columns

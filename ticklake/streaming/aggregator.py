@@ -112,10 +112,25 @@ def start_dead_letter_query(source: DataFrame, out_dir: str, ckpt_dir: str,
     return w.start()
 
 
+_CANDLE_SCHEMA = ("instrument string, window_size string, window_start timestamp_ntz, "
+                  "window_end timestamp_ntz, open double, high double, low double, close double, "
+                  "volume double, trade_count bigint, is_realtime boolean")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_upserted(spark: SparkSession, root: str, sizes: Sequence[str]) -> DataFrame:
-    """Newest version of every candle written by the update-mode queries."""
+    """Newest version of every candle written by the update-mode queries
+    (a size whose query never emitted anything contributes no rows)."""
     parts = []
     for s in sizes:
+        if not _exists(spark, f"{root}/{s}"):
+            parts.append(spark.createDataFrame([], _CANDLE_SCHEMA))
+            continue
         d = spark.read.parquet(f"{root}/{s}")
         cols = [c for c in CANDLE_COLUMNS if c not in ("instrument", "window_size", "window_start")]
         latest = d.groupBy("instrument", "window_size", "window_start").agg(
