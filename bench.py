@@ -7,6 +7,15 @@ Prints ONE JSON line:
 Each query is run to completion with the ``noop`` sink (full execution,
 nothing collected).  One untimed warm-up pass on the smallest fixture
 loads the JVM code paths first.
+
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
+(default 8), BENCH_REPLAY (default 50: times the sf wire messages are
+replayed, each cycle time-shifted, for the steady-state throughput).
+
+``ticks_per_sec`` holds messages per second for wire -> validation ->
+1s/10s/1m candles: on the sf messages, on the replay in batch (steady
+state and first run), streaming with one query per window size, and
+streaming through the routed decode-once topology.
 """
 
 from __future__ import annotations
