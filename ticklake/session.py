@@ -78,13 +78,15 @@ def get_spark(master: str | None = None, app: str = "ticklake",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared filesystem);
-    it is read from the session.  Only when it is unset (local tests) a
-    folder under the local temp dir is created and registered.
+    A cluster must set it (a file system that all executors share); without
+    it this raises.  Only a local master, whose one machine is the whole
+    cluster, gets a folder of its own when it is unset, as in tests.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="ticklake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
