@@ -76,6 +76,27 @@ def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             {"hash": pa.array(np.concatenate([values, values[counts > 1]]).view(np.int64))})
 
 
+def _words(at: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"word": pa.array((at >> np.uint64(6)).astype(np.int64)),
+                                       "bit": pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))})
+
+
+def _gathered(words: DataFrame, bits: int) -> np.ndarray:
+    """The filter of all (word, bit) rows: ``bits`` bits on the driver."""
+    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    data = np.zeros(bits // 64, np.int64)
+    data[got["word"].to_numpy()] = got["bits"].to_numpy()
+    return data.view(np.uint8)
+
+
+def filter_of(keys: DataFrame, bits: int = BITS) -> np.ndarray:
+    """A filter of ``bits`` bits with every value of ``hash`` in it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _words(np.unique(positions(_hashes(b), bits)))
+    return _gathered(keys.select("hash").mapInArrow(run, "word long, bit long"), bits)
+
+
 def _repeated(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = Bloom(bits)
@@ -83,10 +104,7 @@ def _repeated(bits: int):
             values, counts = np.unique(_hashes(b), return_counts=True)
             again = met.has(values) | (counts > 1)
             met.add(values)
-            at = np.unique(positions(values[again], bits))
-            yield pa.RecordBatch.from_pydict({
-                "word": pa.array((at >> np.uint64(6)).astype(np.int64)),
-                "bit": pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))})
+            yield _words(np.unique(positions(values[again], bits)))
     return run
 
 
@@ -95,12 +113,8 @@ def repeated_filter(keys: DataFrame, bits: int = BITS) -> np.ndarray:
     more than once set (and a few more).  The driver receives the filter
     alone, of a fixed size."""
     words = (keys.select("hash").mapInArrow(_collapse, "hash long").repartition("hash")
-             .mapInArrow(_repeated(bits), "word long, bit long")
-             .groupBy("word").agg(F.bit_or("bit").alias("bits")))
-    got = words.toArrow()
-    data = np.zeros(bits // 64, np.int64)
-    data[got["word"].to_numpy()] = got["bits"].to_numpy()
-    return data.view(np.uint8)
+             .mapInArrow(_repeated(bits), "word long, bit long"))
+    return _gathered(words, bits)
 
 
 def _look_up(filter_, bits: int):

@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-BUCKETS = 1 << 14
-PER_LANGUAGE = 800
+BUCKETS = 1 << 13
+PER_LANGUAGE = 400
 SLICE = 1 << 20
 SPACE = 32
 
@@ -135,7 +135,7 @@ def _count_rows(buckets: int):
 
 
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = PER_LANGUAGE, buckets: int = BUCKETS, steps: int = 300) -> Model:
+          per_language: int = PER_LANGUAGE, buckets: int = BUCKETS, steps: int = 150) -> Model:
     """Fits the bits on the labelled rows.  Bound: about
     ``per_language`` rows of each language, in all at most twice as many;
     ``buckets`` counts a row."""

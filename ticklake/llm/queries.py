@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import dedup, langid, packing, pii, secrets
+from ticklake.llm import dedup, embeddings, langid, licenses, linededup, packing, pieces, pii, secrets, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,30 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), with_ids=False)
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licences(documents(spark, sf_dir))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_digest(simhash.near_duplicates(documents(spark, sf_dir)))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup_lines(documents(spark, sf_dir))
+    return out.select("doc_id", "text", "lines_removed")
+
+
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    two = documents(spark, sf_dir).select("doc_id", "text")
+    out = pieces.decode(pieces.encode(two))
+    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
+                      F.coalesce(F.col("decoded") == F.translate("text", pieces.MARK, " "), F.lit(True)).alias("round_trip"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     two = documents(spark, sf_dir).select("doc_id", "text")
     return pii.pii_digest(pii.find_pii(two))
@@ -39,7 +63,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_packing, op9_pii, op10_language)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_secrets, op2_exact_dedup, op3_packing, op4_licenses, op5_simhash, op6_line_dedup, op7_embeddings, op8_pieces,
+    op9_pii, op10_language)}
 
 ORACLE_SQL: dict[str, str] = {}
