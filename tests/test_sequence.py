@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from tests.conftest import T0
 from ticklake.operators.sequence import (
+    row_slices, slice_by_bounds,
     lag_across_slices, ordered_position, rolling_previous, running_max_across_slices,
 )
 
@@ -70,14 +71,17 @@ def test_rolling_previous(data, width, k, block):
     assert same(got.select(*want.columns), want)
 
 
-def test_auto_slice_splits_a_hot_key(data):
-    from ticklake.operators.sequence import auto_time_slice
-    w = auto_time_slice(data, ["k"], "t", target_rows=200, stats_min_bytes=0)
-    slices = data.filter("k = 'A'").select(slice_of(w).alias("s")).distinct().count()
-    assert slices > 1                              # the hot key is not one task
-    wide = auto_time_slice(data, ["k"], "t", target_rows=10 ** 9, stats_min_bytes=0)
-    assert wide >= 20010                           # sparse data: one slice per key
-    got = ordered_position(data, ["k"], ["t", "seq"], slice_of(w), "pos").select("seq", "pos")
-    want = data.select("seq", (F.row_number().over(Window.partitionBy("k").orderBy("t", "seq")) - 1)
-                       .cast("long").alias("pos"))
+def test_row_slices_hold_a_burst(spark):
+    """200 daily ticks and 50,000 within two minutes: slices of even rows."""
+    daily = spark.range(200).select(F.lit("A").alias("k"), F.timestamp_add("DAY", F.col("id"), F.lit(T0)).alias("t"), F.col("id").alias("seq"))
+    burst = spark.range(50_000).select(F.lit("A").alias("k"), F.timestamp_add("MILLISECOND", F.col("id") * 2 + 86_400_000 * 100, F.lit(T0)).alias("t"),
+                                       (F.col("id") + 1000).alias("seq"))
+    other = spark.range(30).select(F.lit("B").alias("k"), F.timestamp_add("DAY", F.col("id"), F.lit(T0)).alias("t"), (F.col("id") + 90_000).alias("seq"))
+    df = daily.unionByName(burst).unionByName(other)
+    bounds = row_slices(df, ["k"], "t", ["seq"], target_rows=1000)
+    sliced = slice_by_bounds(df, ["k"], "t", bounds, "s")
+    sizes = [r["count"] for r in sliced.groupBy("k", "s").count().collect()]
+    assert sum(sizes) == 50_230 and max(sizes) <= 2000 and len(sizes) >= 26
+    got = ordered_position(sliced, ["k"], ["t", "seq"], F.col("s"), "pos").select("seq", "pos")
+    want = df.select("seq", (F.row_number().over(Window.partitionBy("k").orderBy("t", "seq")) - 1).cast("long").alias("pos"))
     assert same(got, want)

@@ -56,7 +56,7 @@ def test_rolling_and_lag_equal_plain_windows(spark, rows, width, k, block):
 def test_hot_position_equals_row_number(spark, rows, width):
     df = _df(spark, rows)
     # fingerprint-like key (k, v); every key sampled as hot, sequence slices
-    got = ordered_position_hot(df, ["k", "v"], [F.col("seq")], F.floor(F.col("seq") / F.lit(width)),
+    got = ordered_position_hot(df, ["k", "v"], [F.col("seq")], F.floor(F.col("seq") / F.lit(width)), ["seq"],
                                "pos", fraction=1.0, min_sampled=1)
     want = df.select("seq", (F.row_number().over(Window.partitionBy("k", "v").orderBy("seq")) - 1)
                      .cast("long").alias("pos"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ticklake.functions.timefn import millis_between, window_start
 from ticklake.operators.sequence import (
-    auto_time_slice, auto_value_slice, lag_across_slices, ordered_position_hot, rolling_previous,
+    lag_across_slices, ordered_position_hot, rolling_previous, slice_by_bounds,
 )
 from ticklake.schemas import GAP_LEVELS, OUTLIER_THRESHOLD, OUTLIER_WINDOW
 
@@ -24,35 +24,43 @@ FINGERPRINT = ["timestamp", "instrument", "price", "volume", "side"]
 TRADE_ORDER = ["timestamp", "sequence_id"]
 
 
-def _time_slice(trades: DataFrame, slice_seconds: int | None):
-    """(instrument, time bucket) slices; width from data density when None."""
-    if slice_seconds is None:
-        slice_seconds = auto_time_slice(trades, ["instrument"], "timestamp")
-    return window_start(F.col("timestamp"), slice_seconds)
+#: Default slice of an instrument's ticks.  Data with bursts passes bounds
+#: from ``sequence.row_slices`` instead: slices of even row counts.
+SLICE_SECONDS = 86400
+#: Sequence numbers per slice of a hot group of duplicates.
+SEQUENCE_SLICE = 1 << 20
 
 
-def with_previous_time(trades: DataFrame, slice_seconds: int | None = None) -> DataFrame:
-    """Adds ``prev_trade_time`` (previous tick of the instrument) and
-    ``gap_ms`` (whole milliseconds since it, truncated)."""
+def _sliced(trades: DataFrame, slice_seconds: int, bounds: DataFrame | None) -> DataFrame:
+    """Adds ``_slice``: the time bucket, or the slice by ``bounds``."""
+    if bounds is not None:
+        return slice_by_bounds(trades, ["instrument"], "timestamp", bounds, "_slice")
+    return trades.withColumn("_slice", window_start(F.col("timestamp"), slice_seconds))
+
+
+def with_previous_time(trades: DataFrame, slice_seconds: int = SLICE_SECONDS,
+                       bounds: DataFrame | None = None) -> DataFrame:
+    """Adds ``prev_time`` (previous tick of the instrument) and ``gap_ms``
+    (whole milliseconds since it, truncated)."""
     # the lagged value is the timestamp that leads the order: max per slice
-    out = lag_across_slices(trades, ["instrument"], TRADE_ORDER, None,
-                            _time_slice(trades, slice_seconds), "timestamp", "prev_trade_time")
-    return out.withColumn("gap_ms", millis_between(F.col("prev_trade_time"), F.col("timestamp")))
+    out = lag_across_slices(_sliced(trades, slice_seconds, bounds), ["instrument"], TRADE_ORDER, None,
+                            F.col("_slice"), "timestamp", "prev_time")
+    return out.drop("_slice").withColumn("gap_ms", millis_between(F.col("prev_time"), F.col("timestamp")))
 
 
 def gaps_by_level(trades: DataFrame, levels: Sequence[tuple[str, float]] = GAP_LEVELS,
-                  slice_seconds: int | None = None) -> DataFrame:
+                  slice_seconds: int = SLICE_SECONDS, bounds: DataFrame | None = None) -> DataFrame:
     """One row per (gap, level) with gap_ms strictly above the level.
 
     The previous tick is found once; the levels are a literal array
     filtered per row (no join, no re-sort per level).
     """
-    g = with_previous_time(trades, slice_seconds)
+    g = with_previous_time(trades, slice_seconds, bounds)
     lv = F.array(*[F.struct(F.lit(n).alias("threshold_name"), F.lit(float(t)).alias("threshold_ms"))
                    for n, t in levels])
     lowest = min(float(t) for _, t in levels)
     g = g.filter(F.col("gap_ms") > F.lit(lowest))
-    g = g.select("instrument", F.col("prev_trade_time").alias("gap_start"),
+    g = g.select("instrument", F.col("prev_time").alias("gap_start"),
                  F.col("timestamp").alias("gap_end"), "gap_ms",
                  F.inline(F.filter(lv, lambda l: F.col("gap_ms") > l["threshold_ms"])))
     return g.select("instrument", "gap_start", "gap_end", "gap_ms",
@@ -60,7 +68,7 @@ def gaps_by_level(trades: DataFrame, levels: Sequence[tuple[str, float]] = GAP_L
                     "threshold_name", "threshold_ms")
 
 
-def gaps(trades: DataFrame, threshold_ms: float, name: str, slice_seconds: int | None = None) -> DataFrame:
+def gaps(trades: DataFrame, threshold_ms: float, name: str, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Gaps at one level."""
     return gaps_by_level(trades, [(name, threshold_ms)], slice_seconds)
 
@@ -73,9 +81,9 @@ def gap_counts(gaps_df: DataFrame, level: str = "HFT") -> DataFrame:
 
 
 def gap_level_counts(trades: DataFrame, levels: Sequence[tuple[str, float]] = GAP_LEVELS,
-                     slice_seconds: int | None = None) -> DataFrame:
+                     slice_seconds: int = SLICE_SECONDS, bounds: DataFrame | None = None) -> DataFrame:
     """Number of gaps per level in one pass (count_if per level, unpivoted)."""
-    g = with_previous_time(trades, slice_seconds)
+    g = with_previous_time(trades, slice_seconds, bounds)
     aggs = [F.count_if(F.col("gap_ms") > F.lit(float(t))).alias(f"c{i}") for i, (_, t) in enumerate(levels)]
     one = g.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(n).alias("threshold_name"), F.lit(float(t)).alias("threshold_ms"),
@@ -85,7 +93,8 @@ def gap_level_counts(trades: DataFrame, levels: Sequence[tuple[str, float]] = GA
 
 
 def outliers(trades: DataFrame, window: int = OUTLIER_WINDOW,
-             threshold: float = OUTLIER_THRESHOLD, slice_seconds: int | None = None) -> DataFrame:
+             threshold: float = OUTLIER_THRESHOLD, slice_seconds: int = SLICE_SECONDS,
+             bounds: DataFrame | None = None) -> DataFrame:
     """Ticks whose price deviates from the mean of the previous ``window``
     prices of the instrument by more than ``threshold`` (a fraction).
 
@@ -96,8 +105,8 @@ def outliers(trades: DataFrame, window: int = OUTLIER_WINDOW,
         "rolling_avg": lambda w: F.avg("price").over(w.rowsBetween(-window, -1)),
         "_n_prev": lambda w: F.count("price").over(w.rowsBetween(-window, -1)),
     }
-    r = rolling_previous(trades, ["instrument"], TRADE_ORDER, _time_slice(trades, slice_seconds),
-                         window, aggs)
+    r = rolling_previous(_sliced(trades, slice_seconds, bounds), ["instrument"], TRADE_ORDER,
+                         F.col("_slice"), window, aggs)
     r = r.withColumn("rolling_avg", F.when(F.col("_n_prev") == window, F.col("rolling_avg")))
     r = r.withColumn("deviation_pct",
                      F.try_divide(F.abs(F.col("price") - F.col("rolling_avg")), F.col("rolling_avg")))
@@ -112,19 +121,18 @@ def top_outliers(outliers_df: DataFrame, n: int = 10) -> DataFrame:
     return outliers_df.orderBy(F.desc("deviation_pct"), F.asc("trade_id")).limit(n)
 
 
-def number_duplicates(trades: DataFrame, seq_slice: int | None = None,
+def number_duplicates(trades: DataFrame, seq_slice: int = SEQUENCE_SLICE,
                       sample_fraction: float = 0.001, hot_min_sampled: int = 500) -> DataFrame:
     """Adds ``row_num``: occurrence number inside the fingerprint
     (timestamp, instrument, price, volume, side), ordered by
     (sequence_id, trade_id).
 
     Fingerprint groups found hot in a sample (by default ~500k+ copies) are
-    spread over sequence slices (width from the sequence range when None);
-    all other groups are numbered by one plain window partition each."""
-    if seq_slice is None:
-        seq_slice = auto_value_slice(trades, "sequence_id")
+    spread over slices of ``seq_slice`` sequence numbers; all other groups
+    are numbered by one plain window partition each."""
     out = ordered_position_hot(trades, FINGERPRINT, [F.col("sequence_id"), F.col("trade_id")],
-                               F.floor(F.col("sequence_id") / F.lit(seq_slice)), name="_pos",
+                               F.floor(F.col("sequence_id") / F.lit(seq_slice)),
+                               ["sequence_id", "trade_id"], name="_pos",
                                fraction=sample_fraction, min_sampled=hot_min_sampled)
     return out.withColumn("row_num", F.col("_pos") + 1).drop("_pos")
 
@@ -177,13 +185,13 @@ def quality_summary(trades: DataFrame, outliers_df: DataFrame, dups: DataFrame,
     c = clean.select(z.alias("t"), z.alias("o"), z.alias("d"), F.lit(1).alias("c"),
                      nul_ts.alias("timestamp"), nul_s.alias("instrument"))
     u = t.unionByName(o).unionByName(d).unionByName(c)
-    a = u.agg(F.sum("t").cast("long").alias("total_trades"),
+    a = u.agg(F.coalesce(F.sum("t"), F.lit(0)).cast("long").alias("total_trades"),
               F.min("timestamp").alias("first_timestamp"),
               F.max("timestamp").alias("last_timestamp"),
               F.count_distinct("instrument").alias("instrument_count"),
-              F.sum("o").cast("long").alias("outlier_count"),
-              F.sum("d").cast("long").alias("duplicate_count"),
-              F.sum("c").cast("long").alias("clean_count"))
+              F.coalesce(F.sum("o"), F.lit(0)).cast("long").alias("outlier_count"),
+              F.coalesce(F.sum("d"), F.lit(0)).cast("long").alias("duplicate_count"),
+              F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("clean_count"))
     pct = lambda col: F.try_divide(F.col(col) * 100.0, F.col("total_trades"))
     return a.select("*", pct("outlier_count").alias("outlier_pct"),
                     pct("duplicate_count").alias("duplicate_pct"),
@@ -198,7 +206,7 @@ def fingerprint(trades: DataFrame) -> DataFrame:
     return trades.withColumn("fingerprint", F.xxhash64(*FINGERPRINT))
 
 
-def quality_report(trades: DataFrame, slice_seconds: int | None = None,
+def quality_report(trades: DataFrame, slice_seconds: int = SLICE_SECONDS,
                    materialize_steps: bool = True) -> dict[str, DataFrame]:
     """The report's tables: summary, gaps per level, gaps per instrument
     at the finest level, top 10 outliers (text layout is left to callers).
@@ -207,8 +215,6 @@ def quality_report(trades: DataFrame, slice_seconds: int | None = None,
     ``materialize_steps`` each is computed once and written to the shared
     checkpoint folder (``session.materialize``)."""
     from ticklake.session import materialize
-    if slice_seconds is None:
-        slice_seconds = auto_time_slice(trades, ["instrument"], "timestamp")
     n = number_duplicates(trades)
     o = outliers(trades, slice_seconds=slice_seconds)
     if materialize_steps:
@@ -220,10 +226,10 @@ def quality_report(trades: DataFrame, slice_seconds: int | None = None,
             "gap_levels": gap_level_counts(trades, slice_seconds=slice_seconds),
             "gaps_by_instrument": gap_counts(gaps_by_level(trades, slice_seconds=slice_seconds), finest),
             "top_outliers": top_outliers(o, 10),
-            "outliers": o, "duplicates": d, "clean": clean}
+            "outliers": o, "duplicates": d, "clean": clean, "exclusions": exclusions(n, o)}
 
 
-def write_audit_tables(trades: DataFrame, out_root: str, slice_seconds: int | None = None) -> dict[str, str]:
+def write_audit_tables(trades: DataFrame, out_root: str, slice_seconds: int = SLICE_SECONDS) -> dict[str, str]:
     """The audit sink: gaps at the finest level, outliers, duplicates, the
     clean set and every exclusion with its reason, as Parquet tables under
     ``out_root`` (replaced).  Returns the written paths."""
@@ -234,6 +240,7 @@ def write_audit_tables(trades: DataFrame, out_root: str, slice_seconds: int | No
         "outliers": rep["outliers"],
         "duplicates": rep["duplicates"],
         "clean_trades": rep["clean"],
+        "exclusions": rep["exclusions"],
     }
     paths = {}
     for name, df in tables.items():

@@ -111,51 +111,38 @@ def running_max_across_slices(df: DataFrame, keys: Sequence[str], order: Sequenc
 AggFn = Callable[[WindowSpec], Column]
 
 SLICE_TARGET_ROWS = 1 << 20
-STATS_MIN_BYTES = 256 << 20
-
-
-def _small(df: DataFrame, min_bytes: int) -> bool:
-    from ticklake.session import estimated_bytes
-    return min_bytes > 0 and estimated_bytes(df) < min_bytes
-
-
-def auto_time_slice(df: DataFrame, keys: Sequence[str], ts: str,
-                    target_rows: int = SLICE_TARGET_ROWS, max_seconds: int = 366 * 86400,
-                    stats_min_bytes: int = STATS_MIN_BYTES) -> int:
-    """Slice width (seconds) so that the densest key holds about
-    ``target_rows`` rows per slice on average.
-
-    One partial aggregate per key (map-side reduced; one row per key) and a
-    global max: a bounded one-row result read by the driver, like the
-    statistics AQE uses.  Sparse data gets wide slices (few boundaries);
-    a hot key gets narrow ones (bounded window partitions).  An input
-    below ``stats_min_bytes`` (Catalyst's estimate, no job) fits a task
-    whole: one slice per key, no statistics job.
-    """
-    if _small(df, stats_min_bytes):
-        return max_seconds
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.timestamp_diff("SECOND", F.min(ts), F.max(ts)).alias("span"))
-    dens = per_key.agg(F.max(F.col("n") / F.greatest(F.col("span"), F.lit(1))).alias("d")).first()
-    d = dens["d"] if dens and dens["d"] else 0.0
-    if d <= 0:
-        return max_seconds
-    return int(min(max_seconds, max(1, target_rows / d)))
-
-
-def auto_value_slice(df: DataFrame, col: str, target_rows: int = SLICE_TARGET_ROWS,
-                     stats_min_bytes: int = STATS_MIN_BYTES) -> int:
-    """Bucket width over a numeric order column (e.g. a sequence number)
-    so that a bucket holds about ``target_rows`` rows when values are
-    spread evenly; one global aggregate row (skipped for small inputs)."""
-    if _small(df, stats_min_bytes):
-        return 1 << 62
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if not r or not r["n"] or r["lo"] is None:
-        return 1 << 40
-    span = max(1, int(r["hi"]) - int(r["lo"]) + 1)
-    return max(1, int(span * target_rows / max(1, r["n"])))
+SAMPLE_PER_SLICE = 64
+
+
+def row_slices(df: DataFrame, keys: Sequence[str], order: str, row_id: Sequence[str],
+               target_rows: int = SLICE_TARGET_ROWS) -> DataFrame:
+    """Start values of the slices of every key, as rows of (keys...,
+    ``bounds``: sorted array), such that a slice holds about ``target_rows``
+    rows however unevenly they lie on the order column.
+
+    One statistics pass: rows whose id hashes under the sampling share (the
+    same rows on every evaluation) are ranked per key, and every
+    ``SAMPLE_PER_SLICE``-th starts a slice; a slice's size then varies by
+    about 1 / sqrt(SAMPLE_PER_SLICE).  Rows of one order value stay
+    together.  Compute it once per dataset (``materialize``) and pass it to
+    ``slice_by_bounds``: operators run no statistics job of their own."""
+    share = min(1.0, SAMPLE_PER_SLICE / target_rows)
+    step = max(1, round(target_rows * share))
+    top = -2.0 ** 63 + 2.0 ** 64 * share
+    s = df.filter(F.xxhash64(*row_id).cast("double") <= F.lit(top)).select(*keys, F.col(order).alias("__o"))
+    k = F.struct(*keys).alias(_K)
+    s = s.select(k, "__o").withColumn("__rn", F.row_number().over(Window.partitionBy(_K).orderBy("__o")))
+    b = s.filter(F.col("__rn") % step == 0).groupBy(_K).agg(F.array_sort(F.collect_set("__o")).alias("bounds"))
+    return b.select(f"{_K}.*", "bounds")
+
+
+def slice_by_bounds(df: DataFrame, keys: Sequence[str], order: str, bounds: DataFrame, name: str = "__slice") -> DataFrame:
+    """Adds ``name``: how many of the key's ``bounds`` are not above the
+    row's order value (non-decreasing along the order; 0 without bounds)."""
+    b = bounds.select(F.struct(*keys).alias("__bk"), F.col("bounds").alias("__b"))
+    d = df.join(b, F.struct(*keys).eqNullSafe(F.col("__bk")), "left")
+    n = F.coalesce(F.size(F.filter("__b", lambda x: x <= F.col(order))), F.lit(0))
+    return d.withColumn(name, n).drop("__bk", "__b")
 
 
 def rolling_previous(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
@@ -165,21 +152,25 @@ def rolling_previous(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
     where ``spec`` is an ordered window over the key; ``fn`` must only look
     at the previous ``k`` rows (e.g. ``F.avg(x).over(spec.rowsBetween(-k, -1))``).
     """
+    from ticklake.session import materialize
     if block_rows <= k:
         raise ValueError("block_rows must exceed k")
     d = _prepare(df, keys, slice_expr)
-    counts = d.groupBy(_G).agg(F.count(F.lit(1)).alias("__n"))
-    counts = counts.select(_G, F.col(f"{_G}.{_K}").alias(_K), F.col(f"{_G}.{_S}").alias(_S), "__n")
-    offs = counts.select(
-        _G, "__n", F.coalesce(F.sum("__n").over(_summary_window().rowsBetween(Window.unboundedPreceding, -1)),
-                              F.lit(0)).alias("__off"))
-
     wl = Window.partitionBy(_G).orderBy(*order)
-    local = (d.withColumn("__rn", F.row_number().over(wl))
-              .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(_G))))
+    local = d.withColumn("__rn", F.row_number().over(wl))
+    # null: fewer than k rows of the slice follow
+    local = local.withColumn("__tail", F.lead(F.lit(1), k).over(wl).isNull())
     for c, fn in aggs.items():
         local = local.withColumn(c, fn(wl))
     cols = df.columns + list(aggs)
+    # written once: the source is scanned and shuffled once, and interior
+    # rows, boundary rows and the slice counts all read this table
+    local = materialize(local, "rolling_local")
+    counts = local.groupBy(_G).agg(F.max("__rn").alias("__n"))
+    counts = counts.select(_G, F.col(f"{_G}.{_K}").alias(_K), F.col(f"{_G}.{_S}").alias(_S), "__n")
+    offs = counts.select(
+        _G, F.coalesce(F.sum("__n").over(_summary_window().rowsBetween(Window.unboundedPreceding, -1)),
+                       F.lit(0)).alias("__off"))
 
     interior = local.filter(F.col("__rn") > k).select(*cols)
 
@@ -187,8 +178,8 @@ def rolling_previous(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
     # before the join, so only they meet the summary).  Any row within k
     # positions before a first-k row is itself a boundary row, so windows
     # over the boundary set alone see the true predecessors.
-    b = local.filter((F.col("__rn") <= k) | (F.col("__n") - F.col("__rn") < k)).drop(*aggs, "__n")
-    b = b.join(offs.drop("__n"), _G, "left")
+    b = local.filter((F.col("__rn") <= k) | F.col("__tail")).drop(*aggs, "__tail")
+    b = b.join(offs, _G, "left")
     pos = F.col("__off") + F.col("__rn") - 1
     blk = F.floor(pos / F.lit(block_rows))
     # a row among the last k of a block is copied into the next block
@@ -204,38 +195,37 @@ def rolling_previous(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
     return interior.unionByName(heads)
 
 
-def sampled_hot_keys(df: DataFrame, keys: Sequence[str], fraction: float, min_sampled: int,
-                     max_keys: int = 10000, seed: int = 17) -> DataFrame:
-    """Keys with at least ``min_sampled`` rows in a seeded Bernoulli sample
-    (deterministic for the same input).  At most ``max_keys`` (the most
-    frequent), so the result has a proven size bound and may be broadcast.
-    Detection only steers balance: every operator stays exact for keys it
-    misses."""
-    s = df.sample(withReplacement=False, fraction=fraction, seed=seed) if fraction < 1.0 else df
+def hot_keys(df: DataFrame, keys: Sequence[str], row_id: Sequence[str], fraction: float, min_sampled: int) -> DataFrame:
+    """All keys with at least ``min_sampled`` rows among those whose id
+    hashes under ``fraction``: the same rows, and so the same keys, on every
+    evaluation.  A key needs about ``min_sampled / fraction`` rows to be
+    found, which bounds their number by the table's rows over that."""
+    top = -2.0 ** 63 + 2.0 ** 64 * min(1.0, fraction)
+    s = df.filter(F.xxhash64(*row_id).cast("double") <= F.lit(top))
     k = F.struct(*[F.col(c) for c in keys])
     return (s.groupBy(k.alias(_K)).agg(F.count(F.lit(1)).alias("__c"))
-             .filter(F.col("__c") >= min_sampled)
-             .orderBy(F.desc("__c")).limit(max_keys)
-             .select(_K, F.lit(True).alias("__hot")))
+             .filter(F.col("__c") >= min_sampled).select(_K, F.lit(True).alias("__hot")))
 
 
 def ordered_position_hot(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                         slice_expr: Column, name: str = "pos", fraction: float = 0.001,
-                         min_sampled: int = 500, max_keys: int = 10000) -> DataFrame:
+                         slice_expr: Column, row_id: Sequence[str], name: str = "pos",
+                         fraction: float = 0.001, min_sampled: int = 500) -> DataFrame:
     """``ordered_position`` for many keys of which a few may be huge (e.g.
     duplicate groups).
 
     Only keys found hot in a sample are cut into slices; every other key
     is one window partition with offset 0, so the common case costs one
-    shuffle -- the same as a plain window -- instead of a per-(key, slice)
-    summary as large as the data.  Hot keys get the slice treatment: their
-    slice counts come from a partial aggregate over the hot rows only and
-    are joined back (small; AQE broadcasts by measured size).
+    shuffle of the rows -- the same as a plain window.  The hot set is
+    computed once and written (``materialize``), so both branches that read
+    it see the same keys whatever the optimizer does; hot keys' slice
+    counts come from a partial aggregate over the hot rows only.  Joins are
+    left to AQE, which broadcasts by measured size.
     """
-    hot = sampled_hot_keys(df, keys, fraction, min_sampled, max_keys)
+    from ticklake.session import materialize
+    hot = materialize(hot_keys(df, keys, row_id, fraction, min_sampled), "hot_keys")
     k = F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("_"))
     d = (df.withColumn(_K, k)
-           .join(F.broadcast(hot), _K, "left")        # <= max_keys rows
+           .join(hot, _K, "left")
            .withColumn(_S, F.when(F.col("__hot"), slice_expr))
            .withColumn(_G, F.struct(F.col(_K), F.col(_S))))
     counts = d.filter(F.col("__hot")).groupBy(_G).agg(F.count(F.lit(1)).alias("__n"))

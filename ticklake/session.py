@@ -100,7 +100,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-
 def materialize(df, name: str = "stage"):
     """Write ``df`` once to the shared checkpoint folder (Parquet) and
     return a DataFrame reading it back.
@@ -113,12 +112,3 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
-
-
-def estimated_bytes(df) -> int:
-    """Catalyst's size estimate of a plan (file sizes scaled through
-    projections/filters): planning only, no job."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: treat as large
-        return 1 << 62

@@ -16,45 +16,13 @@ from pyspark.sql import functions as F
 from ticklake.functions.timefn import add_interval
 from ticklake.functions.wire import encode_wire
 from ticklake.schemas import MESSAGES, TRADES
-from ticklake.operators.sequence import auto_time_slice, ordered_position
-from ticklake.session import estimated_bytes
+from ticklake.operators.sequence import ordered_position
 
 TRADE_COLS = [f.name for f in TRADES.fields]
 
 
-_SPLITS: dict[tuple[str, str], int] = {}
-
-
-SPREAD_MIN_BYTES = 64 << 20
-
-
-def spread(df: DataFrame, key: str, min_partitions: int | None = None,
-           cache_key: str | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Hash-spread an input that arrives in fewer splits than the cluster
-    has cores (one large file in one row group is one task).  A large input
-    already has enough splits and a small one is cheaper in one task than
-    behind an extra shuffle stage; both are returned unchanged.  The split
-    count of a path is remembered (planning a scan to count splits is not
-    free)."""
-    spark = df.sparkSession
-    if estimated_bytes(df) < min_bytes:
-        return df
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    ck = (cache_key, spark.conf.get("spark.sql.files.maxPartitionBytes")) if cache_key else None
-    n = _SPLITS.get(ck) if ck else None
-    if n is None:
-        n = df.rdd.getNumPartitions()
-        if ck:
-            _SPLITS[ck] = n
-    if n >= want:
-        return df
-    return df.repartition(want, key)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    return spread(df, spread_key, cache_key=path) if spread_key else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_trades(spark: SparkSession, path: str, with_msg_type: bool = False) -> DataFrame:
@@ -64,7 +32,7 @@ def read_trades(spark: SparkSession, path: str, with_msg_type: bool = False) ->
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades plus order messages: 80% 'T', 10% 'A', 10% 'C' by event id."""
-    e = read_table(spark, sf_dir, "events", spread_key="event_id")
+    e = read_table(spark, sf_dir, "events")
     eid = F.col("event_id")
     return e.select(
         eid.cast("string").alias("trade_id"),
@@ -112,7 +80,7 @@ def trades_rt(spark: SparkSession, sf_dir: str) -> DataFrame:
         "volume", "side", "sequence_id")
 
 
-def arrivals(spark: SparkSession, sf_dir: str, slice_seconds: int | None = None) -> DataFrame:
+def arrivals(spark: SparkSession, sf_dir: str, slice_seconds: int = 86400) -> DataFrame:
     """Trades as read from a 3-partition log: some arrive one hour late.
 
     ``offset_in_partition`` is the 1-based arrival position inside a log
@@ -123,21 +91,44 @@ def arrivals(spark: SparkSession, sf_dir: str, slice_seconds: int | None = None)
     arrival = F.when(F.col("sequence_id") % 25 == 2,
                      add_interval(F.col("timestamp"), hours=1)).otherwise(F.col("timestamp"))
     t = t.withColumn("kafka_partition", F.col("sequence_id") % 3).withColumn("_arrival", arrival)
-    if slice_seconds is None:
-        slice_seconds = auto_time_slice(t, ["kafka_partition"], "_arrival")
     out = ordered_position(
         t, keys=["kafka_partition"], order=[F.col("_arrival"), F.col("sequence_id")],
         slice_expr=F.window("_arrival", f"{slice_seconds} seconds").start, name="_pos")
     return out.withColumn("offset_in_partition", F.col("_pos") + 1).drop("_pos", "_arrival")
 
 
-def wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encoded wire messages of ``messages_bad``; every 50th (residue 5) is
-    cut after the instrument field, so it cannot be parsed."""
-    m = messages_bad(spark, sf_dir)
+def _faulty_line(residue: Column) -> Column:
+    """The encoded line with a fault by residue: number forms that only the
+    JVM reads (12, 13), non-finite numbers (14, 15)."""
+    f = [F.get(F.split("line", ","), i) for i in range(7)]
+    price = F.when(residue == 12, "1.5d").when(residue == 13, "0x1p3").when(residue == 14, "NaN").otherwise(f[3])
+    volume = F.when(residue == 15, "inf").otherwise(f[4])
+    return F.concat_ws(",", f[0], f[1], f[2], price, volume, f[5], f[6])
+
+
+def _wire(m: DataFrame) -> DataFrame:
+    """Encoded messages; of every 50, one (5) is cut after the instrument,
+    one (16) has a byte that is not UTF-8, four hold odd numbers."""
     w = encode_wire(m, partitions=6)
-    cut = F.concat_ws(",", F.col("_id"), F.col("instrument"))
-    line = F.when(F.col("sequence_id") % 50 == 5, cut).otherwise(F.col("line"))
-    return w.select("sequence_id", F.col("instrument").cast("binary").alias("key"),
-                    line.cast("binary").alias("value"), "partition")
+    r = F.col("sequence_id") % 50
+    start = F.concat_ws(",", F.col("_id"), F.col("instrument"))
+    value = (F.when(r == 5, start.cast("binary"))
+              .when(r == 16, F.concat(start.cast("binary"), F.unhex(F.lit("FF"))))
+              .when(r.between(12, 15), _faulty_line(r).cast("binary"))
+              .otherwise(F.col("line").cast("binary")))
+    return w.select("sequence_id", F.col("instrument").cast("binary").alias("key"), value.alias("value"), "partition")
+
 
+def wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded wire messages of ``messages_bad`` with their faults."""
+    return _wire(messages_bad(spark, sf_dir))
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages as a log would hold them: text ids (POW-000000001),
+    many ticks on one timestamp (whole hours), and a ``position`` in the log
+    that runs against the ids, so only it can order tied ticks."""
+    m = messages_bad(spark, sf_dir)
+    m = m.withColumn("trade_id", F.concat(F.lit("POW-"), F.lpad(F.col("sequence_id").cast("string"), 9, "0")))
+    m = m.withColumn("timestamp", F.date_trunc("hour", "timestamp").cast("timestamp_ntz"))
+    return _wire(m).withColumn("position", F.lit(10 ** 9).cast("long") - F.col("sequence_id"))
