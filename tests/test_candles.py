@@ -78,18 +78,14 @@ def test_packed_order_key_matches_struct_order(trades_df, spark):
                      1.0, "BUY", 10_000_000 + (i * 7919) % 400))
     rows.append(("n", "X", ts(0), 55.0, 1.0, "BUY", None))     # null sequence sorts first
     t = trades_df(rows)
-    rng = C.sequence_range(t)
-    key = C.packed_order_key(1, rng)
-    assert key is not None
+    from ticklake.functions.timefn import epoch_micros
+    key = C.packed_order_key(epoch_micros(F.col("timestamp")), F.col("sequence_id"), 1)
     ws = C.window_start(F.col("timestamp"), 1)
     packed = t.groupBy("instrument", ws.alias("w")).agg(
         F.min_by("price", key).alias("o"), F.max_by("price", key).alias("c"))
     struct = t.groupBy("instrument", ws.alias("w")).agg(
         F.min_by("price", C.order_key()).alias("o"), F.max_by("price", C.order_key()).alias("c"))
     assert packed.exceptAll(struct).count() == 0 and struct.exceptAll(packed).count() == 0
-    # a sequence range too wide for the low bits falls back to the struct key
-    wide = trades_df([("a", "X", ts(0), 1.0, 1.0, "BUY", 0), ("b", "X", ts(1), 1.0, 1.0, "BUY", 2 ** 62)])
-    assert C.packed_order_key(1, C.sequence_range(wide)) is None
-    # ohlcv with a known range equals the default
-    a, b = C.ohlcv(t, 1, seq_range=rng), C.ohlcv(t, 1)
+    # ohlcv ordered by it equals the default
+    a, b = C.ohlcv(t, 1, packed=True), C.ohlcv(t, 1)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -35,8 +35,8 @@ def test_no_match_short_report(spark):
     rt = spark.createDataFrame([c(W0, 1.0)], SCHEMA)
     bt = spark.createDataFrame([c(W1, 1.0, rt=False)], SCHEMA)
     rep = D.drift_report(D.measure_drift(rt, bt)).first()
-    assert rep.matched_candles == 0 and rep.error == "No matched candles for comparison"
-    assert rep.close_drift_mean_pct is None and rep.missing_in_realtime_pct is None
+    assert rep.matched_candles == 0 and rep.error == "no_matched_candles"
+    assert rep.close_drift_mean_pct is None and rep.missing_in_realtime_pct == 50.0
 
 
 def test_alert_thresholds_are_strict(spark):
@@ -78,3 +78,19 @@ def test_equal_candles_have_zero_drift(spark):
     rep = D.drift_report(D.measure_drift(rt, bt)).first()
     assert (rep.matched_candles, rep.close_drift_max_pct, rep.close_drift_std_pct, rep.candles_with_trade_diff) == (2, 0.0, 0.0, 0)
     assert A.drift_alerts(D.drift_report(D.measure_drift(rt, bt))).count() == 0
+
+
+def test_total_outage_raises_an_alert(spark):
+    rt = spark.createDataFrame([], SCHEMA)
+    bt = spark.createDataFrame([c(W0, 100.0, rt=False), c(W1, 50.0, rt=False)], SCHEMA)
+    rep = D.drift_report(D.measure_drift(rt, bt))
+    assert rep.first().missing_in_realtime_pct == 100.0
+    assert [r.alert for r in A.drift_alerts(rep).collect()] == ["missing_pct"]
+
+
+def test_sizes_on_one_side_only(spark):
+    rt = {1: spark.createDataFrame([c(W0, 100.0)], SCHEMA), 10: spark.createDataFrame([c(W1, 100.0)], SCHEMA)}
+    bt = {10: spark.createDataFrame([c(W1, 100.0, rt=False)], SCHEMA), 60: spark.createDataFrame([c(W0, 1.0, rt=False)], SCHEMA)}
+    rows = D.measure_drift_by_size(rt, bt).collect()
+    assert sorted((r.missing_realtime, r.missing_batch) for r in rows) == [(False, False), (False, True), (True, False)]
+    assert D.matched_by_size(rt, bt).count() == 1

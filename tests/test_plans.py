@@ -35,6 +35,18 @@ def test_instrument_windows_are_sliced(spark):
         assert all("__seq" in s for s in specs), (q, specs)
 
 
+def test_matched_drift_reads_ticks_once_a_side(spark):
+    """The joins read the stored candles of each side, never the ticks."""
+    files = QUERIES["drift_matched"](spark, SF).inputFiles()
+    assert files and all("finest_candles" in f for f in files)
+
+
+def test_outliers_read_ticks_once(spark):
+    """Interior and boundary rows read the one table written on the way."""
+    files = QUERIES["outliers"](spark, SF).inputFiles()
+    assert files and all("rolling_local" in f for f in files)
+
+
 def test_duplicate_numbering_is_one_shuffle_without_hot_groups(spark):
     p = final_plan(QUERIES["duplicates"](spark, SF))
     assert len(re.findall(r"Exchange hashpartitioning", p)) == 1

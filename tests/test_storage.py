@@ -17,14 +17,16 @@ def test_partitioned_write_read_and_pruning(spark):
     store = ST.read_store(spark, root)
     assert store.count() == t.count()
     assert "timestamp" in store.columns and {"year", "month", "day"} <= set(store.columns)
-    first = ST.first_partition(store).first()
+    first = ST.first_partition(spark, root).first()
     day = ST.read_day(spark, root, first.year, first.month, first.day)
     counts = {(r.year, r.month, r.day): r["count"] for r in ST.partition_counts(t).collect()}
     assert day.count() == counts[(first.year, first.month, first.day)]
-    plan = ST.plan_text(day)
-    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
-    chk = ST.pruning_check(spark, root, first.year, first.month, first.day)
-    assert chk["pruned"] and chk["full_scan_rows"] == t.count()
+    # only that day's folder is read
+    assert {tuple(r) for r in day.select("year", "month", "day").distinct().collect()} == {(first.year, first.month, first.day)}
+    assert all(f"day={first.day}/" in f for f in day.inputFiles())
+    assert ST.read_day(spark, root, 1999, 1, 1).count() == 0
+    chk = ST.pruning_check(spark, root, first.year, first.month, first.day).first()
+    assert chk.pruned and chk.store_rows == t.count() and chk.day_rows == day.count()
     stats = ST.write_stats(spark, root)
     tot = ST.storage_totals(stats).first()
     assert tot.total_rows == t.count() and tot.partitions == len(counts) and tot.total_bytes > 0

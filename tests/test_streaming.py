@@ -1,18 +1,19 @@
 import json
 import os
+import zlib
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from ticklake import sources as S
-from ticklake.operators import candles as C
+from ticklake.functions.wire import decode_wire
 from ticklake.session import scratch_path
 from ticklake.streaming import aggregator as SA
 from ticklake.schemas import WindowConfig
 
 
-def _write_wire(spark, path, lines):
-    spark.createDataFrame([(None, v) for v in lines], "key binary, value binary").coalesce(1) \
+def _write_wire(spark, path, lines, first=0):
+    spark.createDataFrame([(None, v, first + i) for i, v in enumerate(lines)], "key binary, value binary, position long").coalesce(1) \
         .write.mode("append").parquet(path)
 
 
@@ -24,19 +25,88 @@ def line(i, sec, price=1.0):
     return f"{i},X,{_us(sec)},{price:.2f},1.0,BUY,T".encode()
 
 
-def test_stream_equals_batch(spark):
-    sf = "/root/testdata/sf0.001"
-    src = scratch_path(spark, "wire")
-    S.wire_lines(spark, sf).select("key", "value").write.parquet(src)
-    out, ck = scratch_path(spark, "out"), scratch_path(spark, "ck")
+def test_tied_ticks_with_text_ids_follow_their_position(spark):
+    """Three ticks on one timestamp: open and close by place in the log."""
+    src, out, ck = scratch_path(spark, "wire"), scratch_path(spark, "out"), scratch_path(spark, "ck")
+    lines = [f"POW-{i:09d},X,{_us(0.5)},{p:.2f},1.0,BUY,T".encode() for i, p in ((3, 10.0), (1, 20.0), (2, 30.0))]
+    _write_wire(spark, src, lines, first=7)
     for q in SA.start_candle_queries(SA.file_source(spark, src), out, ck):
         q.awaitTermination()
-    got = SA.read_upserted(spark, out, ["1s", "10s", "1m"]).drop("is_realtime")
-    dec = S.wire_lines(spark, sf).select("value")
-    from ticklake.functions.wire import decode_wire, to_ticks
-    ticks = to_ticks(decode_wire(dec)).withColumn("sequence_id", F.expr("try_cast(trade_id AS BIGINT)"))
-    want = C.all_sizes(ticks).drop("is_realtime")
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert {(r.open, r.close) for r in SA.read_upserted(spark, out, ["1s", "10s", "1m"]).collect()} == {(10.0, 30.0)}
+
+
+def test_candle_query_plans_no_sort_aggregate(spark):
+    ticks = SA.valid_ticks(decode_wire(spark.createDataFrame([], "key binary, value binary, position long")))
+    for cfg in SA.WINDOW_CONFIGS:
+        plan = SA.candle_stream(ticks, cfg)._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_query_names_are_stable():
+    assert SA.query_name("1s", "/x/out") == SA.query_name("1s", "/x/out") == "candles_1s_" + f"{zlib.crc32(b'/x/out'):08x}"
+
+
+def test_folders_stay_few_and_half_written_ones_are_not_read(spark):
+    from ticklake.streaming import upserts as U
+    root = scratch_path(spark, "ups")
+    base = spark.createDataFrame([("X", "1s")], "instrument string, window_size string")
+    write = U.batch_writer(f"{root}/1s", fan=4)
+
+    def batch(i):
+        ws = F.timestamp_add("SECOND", F.lit(i % 7), F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz"))
+        return base.select("instrument", "window_size", ws.alias("window_start"), F.timestamp_add("SECOND", F.lit(1), ws).alias("window_end"),
+                           *[F.lit(float(i)).alias(c) for c in ("open", "high", "low", "close", "volume")],
+                           F.lit(i).cast("long").alias("trade_count"), F.lit(True).alias("is_realtime"))
+    most = 0
+    for i in range(50):
+        write(batch(i), i)
+        most = max(most, len(U.folders(spark, f"{root}/1s")))
+    assert most <= 12
+    write(batch(49), 49)                                   # a replayed batch
+    batch(6).withColumn("close", F.lit(-1.0)).write.parquet(f"{root}/1s/L0-99-99")
+    os.remove(f"{(root[5:] if root.startswith('file:') else root)}/1s/L0-99-99/_SUCCESS")
+    got = {r.window_start.second: r.close for r in U.read_upserted(spark, root, ["1s", "10s"]).collect()}
+    assert got == {i % 7: float(i) for i in range(43, 50)}
+
+
+def test_late_ticks_are_counted_one_by_one(spark):
+    """Four late ticks of one window are four, not one group."""
+    src, out, ck = scratch_path(spark, "wire"), scratch_path(spark, "late"), scratch_path(spark, "ck")
+    _write_wire(spark, src, [line(1, 10.0), line(2, 10.2), line(3, 10.4)])
+    _write_wire(spark, src, [line(i, 0.1 * i) for i in range(4, 8)])
+    for _ in range(2):                                     # a restart changes nothing
+        ticks = SA.valid_ticks(decode_wire(SA.file_source(spark, src, 1)))
+        SA.start_late_counter(ticks, out, ck, [WindowConfig("1s", 1, 200)]).awaitTermination()
+    r = spark.read.parquet(out).agg(F.sum("ticks").alias("t"), F.sum("late_ticks").alias("l")).first()
+    assert (r.t, r.l) == (7, 4)
+
+
+def test_health_takes_the_newest_lag_of_every_query(spark):
+    rows = [("slow", 3, datetime(2024, 1, 1, 0, 1), 10, 0.0, 0, 0, 200_000), ("fast", 90, datetime(2024, 1, 1, 0, 2), 10, 0.0, 0, 5, 5),
+            ("slow", 2, datetime(2024, 1, 1, 0, 0), 10, 0.0, 0, 0, 1), ("none", 99, datetime(2024, 1, 1, 0, 2), 0, 0.0, 0, 0, None)]
+    m = SA.health_metrics(spark.createDataFrame(rows, SA.PROGRESS)).first()
+    assert m.lag == 200_005 and m.ticks_per_sec == 30 / 300 and m.candles_emitted == 5
+    from ticklake.operators.alerts import health_alerts
+    assert {r.alert for r in health_alerts(SA.health_metrics(spark.createDataFrame(rows, SA.PROGRESS), drift_pct=0.9)).collect()} == {
+        "low_throughput", "high_lag", "critical_lag", "high_drift"}
+
+
+def test_progress_log_keeps_every_report(spark):
+    path = scratch_path(spark, "progress")
+    log = SA.ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        src, out, ck = scratch_path(spark, "wire"), scratch_path(spark, "out"), scratch_path(spark, "ck")
+        for i in range(3):
+            _write_wire(spark, src, [line(i, i + 0.5)])
+        q = SA.start_candle_queries(SA.file_source(spark, src, 1), out, ck, configs=[WindowConfig("1s", 1, 200)])[0]
+        q.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+    finally:
+        spark.streams.removeListener(log)
+    got = SA.read_progress(spark, path).collect()
+    assert sum(r.input_rows for r in got) == 3 and all(r.query.startswith("candles_1s_") for r in got)
+    assert SA._offset_lag({"endOffset": '{"t": {"0": 5, "1": 7}}', "latestOffset": '{"t": {"0": 9, "1": 7}}'}) == 4
 
 
 def test_late_tick_dropped_and_restart_continues(spark):
@@ -52,8 +122,6 @@ def test_late_tick_dropped_and_restart_continues(spark):
     q.awaitTermination()
     got = {(r.window_start.second, r.trade_count, r.high) for r in SA.read_upserted(spark, out, ["1s"]).collect()}
     assert got == {(0, 1, 1.0), (1, 1, 1.0), (10, 2, 1.0)}
-    dropped = SA.progress_table(spark, [q]).agg(F.sum("rows_dropped_by_watermark")).first()[0]
-    assert dropped == 1
 
 
 def test_dead_letter_stream(spark):
@@ -89,26 +157,11 @@ def test_append_mode_emits_each_candle_once_when_closed(spark):
     assert [(r.window_start.second, r.trade_count) for r in rows] == [(0, 2)]   # open windows not emitted
 
 
-def test_progress_health_metrics_and_offset_lag(spark):
-    from ticklake.operators.alerts import health_alerts
-    src, out, ck = scratch_path(spark, "wire"), scratch_path(spark, "out"), scratch_path(spark, "ck")
-    _write_wire(spark, src, [line(1, 0.5), line(2, 1.5)])
-    qs = SA.start_candle_queries(SA.file_source(spark, src), out, ck, configs=[WindowConfig("1s", 1, 200)])
-    for q in qs:
-        q.awaitTermination()
-    prog = SA.progress_table(spark, qs)
-    m = SA.health_metrics(prog, drift_pct=0.1).first()
-    assert m.candles_emitted >= 2 and m.late_share == 0.0 and m.lag is None
-    assert {r.alert for r in health_alerts(SA.health_metrics(prog, drift_pct=0.9)).collect()} >= {"high_drift"}
-    assert SA._offset_lag({"endOffset": '{"t": {"0": 5, "1": 7}}',
-                           "latestOffset": '{"t": {"0": 9, "1": 7}}'}) == 4
-
-
 def test_audit_tables_written(spark):
     from ticklake.operators.quality import write_audit_tables
     root = scratch_path(spark, "audit")
     paths = write_audit_tables(S.trades_dup(spark, "/root/testdata/sf0.001"), root)
-    assert set(paths) == {"gaps", "outliers", "duplicates", "clean_trades"}
+    assert set(paths) == {"gaps", "outliers", "duplicates", "clean_trades", "exclusions"}
     g = spark.read.parquet(paths["gaps"])
     assert g.select("threshold_name").distinct().collect()[0][0] == "HFT"
 
@@ -116,7 +169,7 @@ def test_audit_tables_written(spark):
 def test_routed_topology_equals_direct(spark):
     sf = "/root/testdata/sf0.001"
     src = scratch_path(spark, "wire")
-    S.wire_lines(spark, sf).select("key", "value").write.parquet(src)
+    S.log_lines(spark, sf).select("key", "value", "position").write.parquet(src)
     table, rck = scratch_path(spark, "routed"), scratch_path(spark, "rck")
     SA.start_router_query(SA.file_source(spark, src), table, rck).awaitTermination()
     out1, ck1 = scratch_path(spark, "o1"), scratch_path(spark, "c1")
@@ -128,8 +181,7 @@ def test_routed_topology_equals_direct(spark):
     a = SA.read_upserted(spark, out1, ["1s", "10s", "1m"])
     b = SA.read_upserted(spark, out2, ["1s", "10s", "1m"])
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    from ticklake.functions.wire import decode_wire
-    dead = decode_wire(S.wire_lines(spark, sf).select("value")).filter("error IS NOT NULL").select("raw", "error")
+    dead = decode_wire(S.log_lines(spark, sf).select("value")).filter("error IS NOT NULL").select("raw", "error")
     r = SA.routed_dead_letters(spark, table)
     assert r.exceptAll(dead).count() == 0 and dead.exceptAll(r).count() == 0
 

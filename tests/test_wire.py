@@ -32,15 +32,25 @@ def test_every_rule_first_failure_wins(spark):
         b"1,X,100,-1.0,0,BUY,T",                 # both bad -> price rule first
         f"1,X,{cut},1.0,1.0,BUY,T".encode(),     # exactly the cutoff: valid
         f"1,X,{cut + 1},1.0,1.0,BUY,T".encode(),
-        b"1,X,100,nan,1.0,BUY,T",                # NaN passes (NaN <= 0 is false)
+        b"1,X,100,nan,1.0,BUY,T",                # NaN <= 0 is false: a rule of its own
         b"1,X,100,1.0,1.0,BUY",                  # 6 fields: a trade
         b"1,X\xff\xfe,100,1.0,1.0,BUY,T",        # bad UTF-8 -> replacement, still valid
+        b"1,X,100,1.5d,1.0,BUY,T",               # forms that only the JVM reads
+        b"1,X,100,0x1p3,1.0,BUY,T",
+        b"1,X,100,2f,1.0,BUY,T",
+        b"1,X,100,1.0,Infinity,BUY,T",
+        b"1,X,100, +1.5e2 ,.5,BUY,T",            # decimal with sign, exponent, blanks
+        b"1,X,100,-inf,1.0,BUY,T",
     ]
     d = decode_lines(spark, lines)
     err = {i: d[i].error for i in d}
     assert err == {0: "parse_error", 1: "parse_error", 2: "parse_error", 3: "negative_price",
                    4: "zero_volume", 5: "negative_price", 6: None, 7: "future_timestamp",
-                   8: None, 9: None, 10: None}
+                   8: "non_finite", 9: None, 10: None, 11: "parse_error", 12: "parse_error", 13: "parse_error",
+                   14: "non_finite", 15: None, 16: "negative_price"}
+    assert d[15].price == 150.0 and d[15].volume == 0.5
+    loose = decode_wire(spark.createDataFrame([(lines[8],)], "value binary"), reject_non_finite=False).first()
+    assert loose.error is None
     assert "�" in d[10].instrument and "�" in d[10].raw
 
 

@@ -39,9 +39,17 @@ def encode_wire(df: DataFrame, partitions: int = 6) -> DataFrame:
               .withColumn("partition", partition_of(F.col("instrument"), partitions)))
 
 
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
+
+
+def _number(field: Column) -> Column:
+    """A decimal number as DOUBLE; null for anything else."""
+    return F.when(field.rlike(NUMBER), field.try_cast("double"))
+
+
 def parse_wire(df: DataFrame, value_col: str = "value",
                cutoff_micros: int = FUTURE_CUTOFF_MICROS,
-               reject_non_finite: bool = False) -> DataFrame:
+               reject_non_finite: bool = True) -> DataFrame:
     """Parse wire bytes and attach ``skipped`` and the validation verdict.
 
     Output: the input's other columns, raw, msg_id, instrument, ts_micros,
@@ -49,7 +57,10 @@ def parse_wire(df: DataFrame, value_col: str = "value",
     ``skipped``: 7+ fields and a type other than 'T' (an order message,
     neither valid nor dead; its error is null).  Rules, first failure
     wins: parse_error, negative_price (<= 0), zero_volume (<= 0),
-    future_timestamp (> cutoff); optionally non_finite (NaN/inf).
+    future_timestamp (> cutoff); non_finite (NaN/inf) unless
+    ``reject_non_finite`` is false.  Numbers are decimal, with an optional
+    sign and exponent, or nan/inf/infinity in any case; the JVM's suffixed
+    and hexadecimal forms are parse errors.
     """
     raw = F.make_valid_utf8(F.col(value_col).cast("string"))
     # The fields are split once per message.  explode(array(x)) yields x
@@ -63,8 +74,8 @@ def parse_wire(df: DataFrame, value_col: str = "value",
         *[c for c in df.columns if c != value_col], "raw",
         F.get(p, 0).alias("msg_id"), F.get(p, 1).alias("instrument"),
         F.expr("try_cast(get(_p, 2) AS BIGINT)").alias("ts_micros"),
-        F.expr("try_cast(get(_p, 3) AS DOUBLE)").alias("price"),
-        F.expr("try_cast(get(_p, 4) AS DOUBLE)").alias("volume"),
+        _number(F.get(p, 3)).alias("price"),
+        _number(F.get(p, 4)).alias("volume"),
         F.get(p, 5).alias("side"),
         F.coalesce(F.get(p, 6), F.lit("T")).alias("msg_type"),
         ((F.size(p) >= 7) & F.coalesce(F.get(p, 6) != "T", F.lit(True))).alias("skipped"))
@@ -75,15 +86,14 @@ def parse_wire(df: DataFrame, value_col: str = "value",
             .when(F.col("volume") <= 0, F.lit("zero_volume"))
             .when(F.col("ts_micros") > F.lit(cutoff_micros), F.lit("future_timestamp")))
     if reject_non_finite:
-        bad = F.isnan("price") | F.isnan("volume") | F.col("price").isin(float("inf")) \
-            | F.col("volume").isin(float("inf"))
+        bad = F.isnan("price") | F.isnan("volume") | (F.col("price") == float("inf")) | (F.col("volume") == float("inf"))
         err = err.when(bad, F.lit("non_finite"))
     return out.withColumn("error", err)
 
 
 def decode_wire(df: DataFrame, value_col: str = "value",
                 cutoff_micros: int = FUTURE_CUTOFF_MICROS,
-                reject_non_finite: bool = False) -> DataFrame:
+                reject_non_finite: bool = True) -> DataFrame:
     """``parse_wire`` without the skipped order messages."""
     return parse_wire(df, value_col, cutoff_micros, reject_non_finite) \
         .filter(~F.col("skipped")).drop("skipped")

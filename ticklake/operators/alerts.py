@@ -19,13 +19,13 @@ _DRIFT_SOURCES = {"missing_pct": "missing_in_realtime_pct",
                   "volume_drift_pct": "volume_drift_max_pct"}
 
 
-def _unpivot(report: DataFrame, checks: Sequence[tuple[str, str, float, str]]) -> DataFrame:
+def _unpivot(report: DataFrame, checks: Sequence[tuple[str, str, float, str]], keep: Sequence[str] = ()) -> DataFrame:
     """checks: (alert name, column, threshold, 'gt' | 'lt')."""
     rows = F.array(*[F.struct(F.lit(n).alias("alert"), F.abs(F.col(c)).cast("double").alias("value")
                               if op == "gt_abs" else F.col(c).cast("double").alias("value"),
                               F.lit(float(t)).alias("threshold"), F.lit(op).alias("_op"))
                      for n, c, t, op in checks])
-    u = report.select(F.inline(rows))
+    u = report.select(*keep, F.inline(rows))
     hit = F.when(F.col("_op") == "lt", F.col("value") < F.col("threshold")) \
            .otherwise(F.col("value") > F.col("threshold"))
     return u.filter(hit).drop("_op")
@@ -39,8 +39,8 @@ def drift_alerts(report: DataFrame, thresholds: Sequence[tuple[str, float]] = DR
 
 
 def health_alerts(metrics: DataFrame) -> DataFrame:
-    """Stream-health alerts from one metrics row with columns
-    ``ticks_per_sec``, ``candles_emitted``, ``late_share``, ``lag``,
+    """Stream-health alerts per metrics row (``health_metrics``: one per time
+    window) with columns ``window_start`` (if there is one), ``ticks_per_sec``, ``candles_emitted``, ``late_share``, ``lag``,
     ``drift_pct`` (any may be null; a null never raises)."""
     checks = [("low_throughput", "ticks_per_sec", HEALTH_MIN_RATE, "lt"),
               ("no_candles_emitted", "candles_emitted", 1.0, "lt"),
@@ -48,4 +48,4 @@ def health_alerts(metrics: DataFrame) -> DataFrame:
               ("high_lag", "lag", float(HEALTH_LAG_WARN), "gt"),
               ("critical_lag", "lag", float(HEALTH_LAG_CRIT), "gt"),
               ("high_drift", "drift_pct", HEALTH_MAX_DRIFT_PCT, "gt")]
-    return _unpivot(metrics, checks)
+    return _unpivot(metrics, checks, [c for c in ("window_start",) if c in metrics.columns])

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions.timefn import add_interval, epoch_micros, window_start
-from ticklake.schemas import CANDLE_COLUMNS, WINDOW_CONFIGS, window_label
+from ticklake.schemas import CANDLE_COLUMNS, WINDOW_CONFIGS, WindowConfig, window_label
 
 def order_key(ts: str | Column = "timestamp", seq: str | Column | None = "sequence_id") -> Column:
     """One orderable value equivalent to ORDER BY ts, seq."""
@@ -32,45 +32,27 @@ def order_key(ts: str | Column = "timestamp", seq: str | Column | None = "sequen
     return F.struct(ts.alias("t"), seq.alias("s"))
 
 
-def sequence_range(df: DataFrame, seq_col: str = "sequence_id") -> tuple[int, int] | None:
-    """(min, max) of the sequence column -- one aggregate.  Call it once
-    per dataset where it is cheap (a stored column: Parquet aggregate
-    pushdown answers it from footers); on derived data it costs a pass."""
-    r = df.agg(F.min(seq_col).alias("lo"), F.max(seq_col).alias("hi")).first()
-    return None if r is None or r["lo"] is None else (int(r["lo"]), int(r["hi"]))
-
-
-def packed_order_key(seconds: int, seq_range: tuple[int, int] | None,
-                     seq_col: str = "sequence_id") -> Column | None:
-    """A single BIGINT equal in order to (timestamp, seq) *inside one
-    window*: the microsecond offset in the window in the high bits and
-    ``seq - min`` in the low bits.  None when the sequence range does not
-    fit the remaining bits (or is unknown).  A long key keeps
-    ``min_by``/``max_by`` in a HashAggregate; the struct key plans a
-    SortAggregate.  Both give identical results."""
-    if seq_range is None:
-        return None
-    lo, hi = seq_range
-    off_bits = (seconds * 1_000_000 - 1).bit_length()
-    seq_bits = 63 - off_bits
-    if hi - lo + 1 >= (1 << seq_bits) - 1:
-        return None
-    us = epoch_micros(F.col("timestamp"))
-    off = F.pmod(us, F.lit(seconds * 1_000_000))
-    # null sequence ids sort first, as in the struct key
-    seq = F.coalesce(F.col(seq_col) - F.lit(lo) + F.lit(1), F.lit(0))
-    return F.shiftleft(off, seq_bits) + seq
+def packed_order_key(micros: Column, position: Column, seconds: int) -> Column:
+    """A BIGINT in the order of (time, position) inside one window: the
+    microseconds since the window's start above the position's low bits (37
+    for a minute).  ``min_by``/``max_by`` over it stay in a HashAggregate.
+    Exact while the positions of one window span less than that; sequence
+    numbers and log offsets of ticks within a minute do."""
+    bits = 63 - (seconds * 1_000_000 - 1).bit_length()
+    # a missing position sorts first
+    return F.shiftleft(F.pmod(micros, F.lit(seconds * 1_000_000)), bits) + F.coalesce(
+        F.pmod(position, F.lit((1 << bits) - 1)) + 1, F.lit(0))
 
 
 def ohlcv(trades: DataFrame, seconds: int, label: str | None = None,
           is_realtime: bool = False, seq_col: str | None = "sequence_id",
-          seq_range: tuple[int, int] | None = None) -> DataFrame:
-    """Candles of one size straight from ticks.  ``seq_range`` (known
-    sequence bounds) enables the packed BIGINT order key."""
+          packed: bool = False) -> DataFrame:
+    """Candles of one size straight from ticks.  ``packed`` orders by one
+    BIGINT (see ``packed_order_key``) instead of (timestamp, sequence)."""
     label = label or window_label(seconds)
-    key = packed_order_key(seconds, seq_range, seq_col) if seq_col in trades.columns else None
-    if key is None:
-        key = order_key("timestamp", seq_col if seq_col in trades.columns else None)
+    seq = seq_col if seq_col in trades.columns else None
+    key = packed_order_key(epoch_micros(F.col("timestamp")), F.col(seq), seconds) if packed and seq \
+        else order_key("timestamp", seq)
     # window start as a projected column: grouping by the expression itself
     # lets the sort below a SortAggregate evaluate it per comparison
     t = trades.withColumn("window_start", window_start(F.col("timestamp"), seconds))
@@ -118,21 +100,20 @@ def _finish(agg: DataFrame, seconds: int, label: str, is_realtime: bool) -> Data
 
 
 def candles_by_size(trades: DataFrame, sizes: Sequence[int] = tuple(c.seconds for c in WINDOW_CONFIGS),
-                    is_realtime: bool = False,
-                    seq_range: tuple[int, int] | None = None) -> dict[int, DataFrame]:
+                    is_realtime: bool = False, packed: bool = False) -> dict[int, DataFrame]:
     """Each size on its own: the smallest from ticks, each larger one rolled
     up from the largest smaller size that divides it."""
     sizes = sorted(set(sizes))
-    out: dict[int, DataFrame] = {sizes[0]: ohlcv(trades, sizes[0], is_realtime=is_realtime, seq_range=seq_range)}
+    out: dict[int, DataFrame] = {sizes[0]: ohlcv(trades, sizes[0], is_realtime=is_realtime, packed=packed)}
     for s in sizes[1:]:
         base = max(b for b in out if s % b == 0) if any(s % b == 0 for b in out) else None
         out[s] = rollup(out[base], s) if base else ohlcv(trades, s, is_realtime=is_realtime,
-                                                          seq_range=seq_range)
+                                                          packed=packed)
     return out
 
 
 def all_sizes(trades: DataFrame, sizes: Sequence[int] = tuple(c.seconds for c in WINDOW_CONFIGS),
-              is_realtime: bool = False, seq_range: tuple[int, int] | None = None) -> DataFrame:
+              is_realtime: bool = False, packed: bool = False) -> DataFrame:
     """Candles of every size stacked (bag union).
 
     Ticks are aggregated once (the smallest size); the other sizes are
@@ -140,7 +121,7 @@ def all_sizes(trades: DataFrame, sizes: Sequence[int] = tuple(c.seconds for c in
     (``ReusedExchange``).  Measured on 5M ticks this beat merging all
     sizes in one aggregate over exploded small candles (9.0 s vs 11.4 s).
     """
-    parts = list(candles_by_size(trades, sizes, is_realtime, seq_range).values())
+    parts = list(candles_by_size(trades, sizes, is_realtime, packed).values())
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -174,6 +155,11 @@ def distinct_values(candles: DataFrame, col: str) -> DataFrame:
     return candles.select(col).distinct()
 
 
+def write_candles(candles: DataFrame, path: str) -> None:
+    """The batch candle sink: Parquet by window size, replacing ``path``."""
+    candles.write.mode("overwrite").partitionBy("window_size").parquet(path)
+
+
 def load_candles(spark, path: str) -> DataFrame:
     """Read a candle table; ``window_start``/``window_end`` stored as ISO
     text (as live snapshots do) are parsed leniently to TIMESTAMP_NTZ."""
@@ -185,13 +171,25 @@ def load_candles(spark, path: str) -> DataFrame:
     return df
 
 
-def newest_per_size(candles: DataFrame, k: int, sizes: Sequence[str]) -> DataFrame:
-    """The ``k`` newest candles of each window size (ties by instrument).
+def newest_per_size(candles: DataFrame, k: int, sizes: Sequence[str],
+                    configs: Sequence[WindowConfig] = WINDOW_CONFIGS) -> DataFrame:
+    """The ``k`` newest finished candles of each window size (ties by
+    instrument) and all open ones, which a later tick may still change:
+    those whose end plus the size's allowed delay is not before the start of
+    the size's newest window.
 
     One ``orderBy().limit(k)`` per size: each task keeps only its own top
     k (TakeOrderedAndProject), so a size with billions of candles never
-    lands in one window partition."""
-    parts = [candles.filter(F.col("window_size") == s)
+    lands in one window partition.  The newest window of each size is one
+    aggregated row per size, joined back."""
+    newest = candles.groupBy("window_size").agg(F.max("window_start").alias("_newest"))
+    delay = F.lit(0)
+    for c in configs:
+        delay = F.when(F.col("window_size") == c.name, F.lit(2000 * c.watermark_ms)).otherwise(delay)
+    still = F.timestamp_add("MICROSECOND", delay, F.col("window_end")) >= F.col("_newest")
+    marked = candles.join(newest, "window_size").select(*candles.columns, still.alias("_open"))
+    parts = [marked.filter("_open").filter(F.col("window_size").isin(*sizes)).drop("_open")]
+    parts += [marked.filter((F.col("window_size") == s) & ~F.col("_open")).drop("_open")
                     .orderBy(F.desc("window_start"), F.asc("instrument")).limit(k) for s in sizes]
     out = parts[0]
     for p in parts[1:]:

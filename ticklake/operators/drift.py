@@ -9,8 +9,8 @@ DRIFT_KEYS = ["instrument", "window_start", "window_size"]
 _VALUES = ["open", "high", "low", "close", "volume"]
 
 
-def measure_drift(realtime: DataFrame, batch: DataFrame) -> DataFrame:
-    """Full outer join on (instrument, window_start, window_size); batch
+def measure_drift(realtime: DataFrame, batch: DataFrame, how: str = "full_outer") -> DataFrame:
+    """Full outer (or inner) join on (instrument, window_start, window_size); batch
     columns get the suffix ``_batch``; keys are coalesced (USING join).
 
     Adds missing_realtime / missing_batch (close is null on that side),
@@ -19,7 +19,7 @@ def measure_drift(realtime: DataFrame, batch: DataFrame) -> DataFrame:
     """
     b = batch.select(*DRIFT_KEYS, *[F.col(c).alias(f"{c}_batch")
                                     for c in batch.columns if c not in DRIFT_KEYS])
-    j = realtime.join(b, DRIFT_KEYS, "full_outer")
+    j = realtime.join(b, DRIFT_KEYS, how)
     # one projection (a chain of withColumn re-analyses the plan per column)
     return j.select(
         "*",
@@ -32,7 +32,9 @@ def measure_drift(realtime: DataFrame, batch: DataFrame) -> DataFrame:
 
 def drift_report(drift: DataFrame) -> DataFrame:
     """One-row report.  Statistics use matched candles only; with no match
-    they are null and ``error`` carries the reason."""
+    they are null and ``error`` is ``no_matched_candles``.  The share of
+    candles missing in real time is given either way (0 without candles):
+    a total outage is the worst drift there is."""
     matched = ~F.col("missing_realtime") & ~F.col("missing_batch")
     m = lambda c: F.when(matched, F.col(c))
     a = drift.agg(
@@ -54,11 +56,11 @@ def drift_report(drift: DataFrame) -> DataFrame:
              "trade_count_diff_mean"]
     return a.select(
         "total_candles", "missing_in_realtime",
-        F.when(has, F.coalesce(F.try_divide(F.col("missing_in_realtime") * 100.0, F.col("total_candles")),
-                               F.lit(0.0))).alias("missing_in_realtime_pct"),
+        F.coalesce(F.try_divide(F.col("missing_in_realtime") * 100.0, F.col("total_candles")),
+                   F.lit(0.0)).alias("missing_in_realtime_pct"),
         "missing_in_batch", "matched_candles",
         *[F.when(has, F.col(c)).alias(c) for c in stats],
-        F.when(~has, F.lit("No matched candles for comparison")).alias("error"))
+        F.when(~has, F.lit("no_matched_candles")).alias("error"))
 
 
 def drift_by_window(drift: DataFrame) -> DataFrame:
@@ -71,6 +73,16 @@ def drift_by_window(drift: DataFrame) -> DataFrame:
         F.avg(F.abs(F.col("trade_count_diff"))).alias("trade_diff_mean"))
 
 
+def matched_by_size(realtime: dict, batch: dict) -> DataFrame:
+    """The candles present on both sides: inner joins size by size, so no
+    filter above a full outer join splits the shared shuffles in two."""
+    parts = [measure_drift(realtime[s], batch[s], "inner") for s in sorted(set(realtime) & set(batch))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def matched(drift: DataFrame) -> DataFrame:
     return drift.filter(~F.col("missing_realtime") & ~F.col("missing_batch"))
 
@@ -95,8 +107,8 @@ def measure_drift_by_size(realtime: dict, batch: dict) -> DataFrame:
         if s in realtime and s in batch:
             parts.append(measure_drift(realtime[s], batch[s]))
         else:
-            only = realtime.get(s) if s in realtime else batch.get(s)
-            other = (batch[sizes[0]] if s in realtime else realtime[sizes[0]]).limit(0)
+            only = realtime[s] if s in realtime else batch[s]
+            other = only.withColumn("is_realtime", ~F.col("is_realtime")).limit(0)
             parts.append(measure_drift(only, other) if s in realtime else measure_drift(other, only))
     out = parts[0]
     for p in parts[1:]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +34,22 @@ def read_store(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_day(spark: SparkSession, root: str, year: int, month: int, day: int) -> DataFrame:
-    """One day; the predicate is on partition columns, so the scan lists
-    only that folder (PartitionFilters in the plan)."""
-    return read_store(spark, root).filter(
-        (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
+    """One day: only that day's folder is listed (``basePath`` keeps the
+    partition columns); no rows if there is no such folder."""
+    folder = f"{root.rstrip('/')}/year={year}/month={month}/day={day}"
+    if not _folders(spark, folder, exists=True):
+        return read_store(spark, root).limit(0)
+    return spark.read.option("basePath", root).parquet(folder)
+
+
+def _folders(spark: SparkSession, path: str, exists: bool = False):
+    """Names of the folders in ``path``, or whether it exists."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if exists:
+        return fs.exists(p)
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
 def partition_counts(df: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -48,21 +58,36 @@ def partition_counts(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     return d.groupBy(*PARTS).agg(F.count(F.lit(1)).alias("count")).orderBy(*PARTS)
 
 
-def first_partition(store: DataFrame) -> DataFrame:
-    """The earliest (year, month, day) present (only partition columns are
-    read, so no data pages are decoded)."""
-    return store.select(*PARTS).distinct().orderBy(*PARTS).limit(1)
+def first_day(spark: SparkSession, root: str) -> tuple[int, int, int] | None:
+    """The earliest day of a written store, from its folder names: three
+    listings, no file is opened."""
+    found, path = [], root.rstrip("/")
+    for part in PARTS:
+        values = [int(n.split("=", 1)[1]) for n in _folders(spark, path) if n.startswith(f"{part}=")]
+        if not values:
+            return None
+        found.append(min(values))
+        path = f"{path}/{part}={found[-1]}"
+    return tuple(found)
+
+
+def first_partition(spark: SparkSession, root: str) -> DataFrame:
+    """``first_day`` as a table of one row (none for an empty store)."""
+    day = first_day(spark, root)
+    made = spark.range(1 if day else 0)
+    return made.select(*[F.lit(v).cast("int").alias(c) for c, v in zip(PARTS, day or (0, 0, 0))])
 
 
 def write_stats(spark: SparkSession, root: str) -> DataFrame:
-    """Per-partition rows and bytes of a written store, from file metadata."""
-    s = read_store(spark, root)
-    files = (s.select(*PARTS, F.col("_metadata.file_path").alias("file"),
-                      F.col("_metadata.file_size").alias("bytes")))
-    rows = files.groupBy(*PARTS).agg(F.count(F.lit(1)).alias("rows"))
-    sizes = files.select(*PARTS, "file", "bytes").distinct().groupBy(*PARTS).agg(
-        F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("files"))
-    return rows.join(sizes, PARTS).withColumn("kb", F.col("bytes") / 1024.0).orderBy(*PARTS)
+    """Rows, bytes and files of each partition of a written store.  Rows
+    are counted from Parquet footers (a count reads no data pages); one row
+    per file enters the second aggregate."""
+    m = "_metadata"
+    files = read_store(spark, root).groupBy(*PARTS, F.col(f"{m}.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max(f"{m}.file_size").alias("bytes"))
+    return (files.groupBy(*PARTS).agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"),
+                                      F.count(F.lit(1)).alias("files"))
+            .withColumn("kb", F.col("bytes") / 1024.0).orderBy(*PARTS))
 
 
 def storage_totals(stats: DataFrame) -> DataFrame:
@@ -78,16 +103,13 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
-def pruning_check(spark: SparkSession, root: str, year: int, month: int, day: int) -> dict:
-    """Full count vs one-day count.  Pruning is verified from the plan
-    (non-empty PartitionFilters); the timings are informative."""
+def pruning_check(spark: SparkSession, root: str, year: int, month: int, day: int) -> DataFrame:
+    """One row: rows of the whole store, rows of one day, and whether the
+    plan of a filter on that day prunes partitions."""
     full = read_store(spark, root)
-    one = read_day(spark, root, year, month, day)
-    t0 = time.perf_counter(); n_full = full.count(); t1 = time.perf_counter()
-    n_one = one.count(); t2 = time.perf_counter()
-    plan = plan_text(one.groupBy().count())
+    one = full.filter((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
+    plan = plan_text(one)
     pruned = "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
-    return {"full_scan_rows": n_full, "full_scan_time_ms": (t1 - t0) * 1000,
-            "partition_rows": n_one, "partition_time_ms": (t2 - t1) * 1000,
-            "speedup": (t1 - t0) / (t2 - t1) if t2 > t1 else 0.0,
-            "pruned": pruned, "test_partition": f"year={year}/month={month}/day={day}"}
+    is_day = (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
+    return full.agg(F.count(F.lit(1)).alias("store_rows"), F.count_if(is_day).alias("day_rows")).select(
+        "*", F.lit(pruned).alias("pruned"), F.lit(f"{year}-{month}-{day}").alias("checked_day"))

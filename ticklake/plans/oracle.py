@@ -45,11 +45,21 @@ def _line(alias: str = "") -> str:
             f"coalesce({a}side, ''), coalesce({a}msg_type, 'T'))")
 
 
-_WIRE = f"""wire AS (
-  SELECT sequence_id,
-         CASE WHEN sequence_id % 50 = 5 THEN concat_ws(',', trade_id, instrument) ELSE {_line()} END AS raw
-  FROM messages_bad),
-parsed AS (
+def _raw(src: str) -> str:
+    """The wire lines of a message table with their faults, as text."""
+    start = "concat_ws(',', trade_id, instrument)"
+    fields = ("coalesce(CAST(epoch_us(timestamp) AS VARCHAR), ''), {p}, {v}, coalesce(side, ''), coalesce(msg_type, 'T')")
+    price, volume = "coalesce(printf('%.2f', price), '')", "coalesce(CAST(volume AS VARCHAR), '')"
+    odd = lambda p, v: f"concat_ws(',', trade_id, instrument, {fields.format(p=p, v=v)})"
+    return f"""SELECT sequence_id, instrument AS k,
+         CASE sequence_id % 50 WHEN 5 THEN {start} WHEN 16 THEN {start} || chr(65533)
+           WHEN 12 THEN {odd("'1.5d'", volume)} WHEN 13 THEN {odd("'0x1p3'", volume)}
+           WHEN 14 THEN {odd("'NaN'", volume)} WHEN 15 THEN {odd(price, "'inf'")}
+           ELSE {_line()} END AS raw
+  FROM {src}"""
+
+
+_PARSE = """parsed AS (
   SELECT sequence_id, raw, p[1] AS msg_id, p[2] AS instrument,
          TRY_CAST(p[3] AS BIGINT) AS ts_micros, TRY_CAST(p[4] AS DOUBLE) AS price,
          TRY_CAST(p[5] AS DOUBLE) AS volume, p[6] AS side, coalesce(p[7], 'T') AS msg_type,
@@ -60,11 +70,18 @@ checked AS (
                  WHEN ts_micros IS NULL OR price IS NULL OR volume IS NULL THEN 'parse_error'
                  WHEN price <= 0 THEN 'negative_price'
                  WHEN volume <= 0 THEN 'zero_volume'
-                 WHEN ts_micros > 1767225600000000 THEN 'future_timestamp' END AS error
+                 WHEN ts_micros > 1767225600000000 THEN 'future_timestamp'
+                 WHEN NOT isfinite(price) OR NOT isfinite(volume) THEN 'non_finite' END AS error
   FROM parsed),
 decoded AS (
   SELECT sequence_id, raw, msg_id, instrument, ts_micros, price, volume, side, msg_type, error
   FROM checked WHERE NOT skipped)"""
+_WIRE = f"wire AS ({_raw('messages_bad')}),\n{_PARSE}"
+_LOG = f"""messages_log AS (
+  SELECT 'POW-' || lpad(trade_id, 9, '0') AS trade_id, instrument, date_trunc('hour', timestamp) AS timestamp,
+         price, volume, side, sequence_id, msg_type FROM messages_bad),
+wire AS ({_raw('messages_log')}),
+{_PARSE}"""
 
 
 def _with(*ctes: str) -> str:
@@ -91,13 +108,13 @@ def _all_sizes(src: str, realtime: bool) -> str:
 
 
 _PREV = """prev AS (
-  SELECT *, lag(timestamp) OVER (PARTITION BY instrument ORDER BY timestamp, sequence_id) AS prev_trade_time
+  SELECT *, lag(timestamp) OVER (PARTITION BY instrument ORDER BY timestamp, sequence_id) AS prev_time
   FROM trades),
 gapped AS (
-  SELECT *, (epoch_us(timestamp) - epoch_us(prev_trade_time)) // 1000 AS gap_ms FROM prev)"""
+  SELECT *, (epoch_us(timestamp) - epoch_us(prev_time)) // 1000 AS gap_ms FROM prev)"""
 _LEVELS = "(VALUES ('HFT', 500.0::DOUBLE), ('Fast', 5000.0::DOUBLE), ('Standard', 30000.0::DOUBLE)) AS lv(threshold_name, threshold_ms)"
 _GAPS = f"""gaps AS (
-  SELECT instrument, prev_trade_time AS gap_start, timestamp AS gap_end, gap_ms,
+  SELECT instrument, prev_time AS gap_start, timestamp AS gap_end, gap_ms,
          gap_ms / 1000.0 AS gap_seconds, threshold_name, threshold_ms
   FROM gapped JOIN {_LEVELS} ON gapped.gap_ms > lv.threshold_ms)"""
 
@@ -161,7 +178,7 @@ _REPORT = """rep0 AS (
   FROM dr),
 rep AS (
   SELECT total_candles, missing_in_realtime,
-         CASE WHEN matched_candles > 0 THEN coalesce(CAST(missing_in_realtime AS DOUBLE) * 100.0 / NULLIF(total_candles, 0), 0.0) END AS missing_in_realtime_pct,
+         coalesce(CAST(missing_in_realtime AS DOUBLE) * 100.0 / NULLIF(total_candles, 0), 0.0) AS missing_in_realtime_pct,
          missing_in_batch, matched_candles,
          CASE WHEN matched_candles > 0 THEN close_drift_mean_pct END AS close_drift_mean_pct,
          CASE WHEN matched_candles > 0 THEN close_drift_max_pct END AS close_drift_max_pct,
@@ -170,7 +187,7 @@ rep AS (
          CASE WHEN matched_candles > 0 THEN volume_drift_max_pct END AS volume_drift_max_pct,
          CASE WHEN matched_candles > 0 THEN candles_with_trade_diff END AS candles_with_trade_diff,
          CASE WHEN matched_candles > 0 THEN trade_count_diff_mean END AS trade_count_diff_mean,
-         CASE WHEN matched_candles = 0 THEN 'No matched candles for comparison' END AS error
+         CASE WHEN matched_candles = 0 THEN 'no_matched_candles' END AS error
   FROM rep0)"""
 
 _CANDLE_COLS = ("instrument, window_size, window_start, window_end, open, high, low, close, "
@@ -204,8 +221,8 @@ def _late(label: str, size_us: int, wm_ms: int) -> str:
             f"CAST(count_if(us - (us % {size_us}) + {size_us} + {2 * wm_ms * 1000} < hwm) AS DOUBLE) / count(*) AS late_rate FROM hw")
 
 
-_STREAM_OK = "CAST(ts_micros AS HUGEINT) * 100000000000000000000 + TRY_CAST(msg_id AS BIGINT)"
-_VALID = "vt AS (SELECT msg_id, instrument, make_timestamp(ts_micros) AS ts, ts_micros, price, volume FROM decoded WHERE error IS NULL)"
+_STREAM_OK = "CAST(ts_micros AS HUGEINT) * 100000000000000000000 + 1000000000 - sequence_id"
+_VALID = "vt AS (SELECT sequence_id, instrument, make_timestamp(ts_micros) AS ts, ts_micros, price, volume FROM decoded WHERE error IS NULL)"
 
 
 def _stream_candles() -> str:
@@ -214,6 +231,42 @@ def _stream_candles() -> str:
         for s, lbl in ((1, "1s"), (10, "10s"), (60, "1m")))
 
 
+# (label, seconds, watermark in ms) of the three sizes
+_SIZE_ROWS = (("1s", 1, 200), ("10s", 10, 1000), ("1m", 60, 5000))
+
+
+def _snapshot(src: str) -> str:
+    """All open candles and the newest 500 finished ones of each size."""
+    delay = "CASE window_size " + " ".join(f"WHEN '{lbl}' THEN {2000 * wm}" for lbl, _, wm in _SIZE_ROWS) + " END"
+    return (f"SELECT {_CANDLE_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY window_size, open_now "
+            "ORDER BY window_start DESC, instrument ASC) AS rn FROM (SELECT *, "
+            f"epoch_us(window_end) + {delay} >= epoch_us(max(window_start) OVER (PARTITION BY window_size)) AS open_now "
+            f"FROM {src})) WHERE open_now OR rn <= 500")
+
+
+_MARK = "/* candles */ "
+_LATE = "mark AS (SELECT " + ", ".join(
+    f"(max(epoch_us(timestamp)) // 1000 - {2 * wm}) * 1000 AS wm_{lbl}" for lbl, _, wm in _SIZE_ROWS) + (
+    " FROM trades WHERE sequence_id % 25 <> 2),\nlt AS (SELECT t.* REPLACE (CAST(printf('%.2f', price) AS DOUBLE) AS price), ") + ", ".join(
+    f"sequence_id % 25 <> 2 OR epoch_us(timestamp) - epoch_us(timestamp) % {s * 1000000} + {s * 1000000} > wm_{lbl} AS keep_{lbl}"
+    for lbl, s, _ in _SIZE_ROWS) + " FROM trades t, mark)"
+_HEALTH = """prog AS (
+  SELECT instrument AS query, date_trunc('hour', timestamp) AS tm, count(*) AS input_rows,
+         count(DISTINCT price) AS rows_updated, max(sequence_id * 17 % 150000) AS source_lag
+  FROM trades GROUP BY ALL),
+late AS (SELECT date_trunc('hour', timestamp) AS tm, count(*) AS ticks, count_if(sequence_id % 25 = 2) AS late_ticks
+         FROM trades GROUP BY ALL),
+per_query AS (
+  SELECT time_bucket(INTERVAL '6 hours', tm) AS window_start, query, sum(input_rows) AS input_rows,
+         sum(rows_updated) AS updated, arg_max(source_lag, tm) AS lag FROM prog GROUP BY ALL),
+health AS (
+  SELECT p.window_start, CAST(sum(input_rows) AS DOUBLE) / 21600.0 AS ticks_per_sec, CAST(sum(updated) AS BIGINT) AS candles_emitted,
+         CAST(any_value(l.share) AS DOUBLE) AS late_share, CAST(sum(lag) AS BIGINT) AS lag, 0.4::DOUBLE AS drift_pct
+  FROM per_query p JOIN (SELECT time_bucket(INTERVAL '6 hours', tm) AS ws, CAST(sum(late_ticks) AS DOUBLE) / sum(ticks) AS share
+                         FROM late GROUP BY ALL) l ON l.ws = p.window_start
+  GROUP BY p.window_start)"""
+
+
 def oracle_sql() -> dict[str, str]:
     w = _with
     q: dict[str, str] = {}
@@ -230,9 +283,7 @@ def oracle_sql() -> dict[str, str]:
     q["latest_candle"] = w(*BASE, allc) + (
         f"SELECT {_CANDLE_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY instrument, window_size "
         "ORDER BY window_start DESC) AS rn FROM allc) WHERE rn = 1")
-    q["snapshot_candles"] = w(*BASE, allc) + (
-        f"SELECT {_CANDLE_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY window_size "
-        "ORDER BY window_start DESC, instrument ASC) AS rn FROM allc) WHERE rn <= 500")
+    q["snapshot_candles"] = w(*BASE, allc) + _snapshot("allc")
     q["distinct_instruments"] = w(*BASE) + "SELECT DISTINCT instrument FROM trades"
     q["first_messages"] = w(_MESSAGES) + "SELECT * FROM messages ORDER BY timestamp, sequence_id LIMIT 1000"
     q["gaps_by_level"] = w(*BASE, _PREV, _GAPS) + "SELECT * FROM gaps"
@@ -311,8 +362,47 @@ def oracle_sql() -> dict[str, str]:
     q["first_partition"] = w(*_QBASE, _FIRST_DAY) + "SELECT * FROM first_day"
     q["late_rate"] = w(*BASE, _ARRIVALS) + "\nUNION ALL\n".join(
         _late(lbl, s * 1_000_000, wm) for lbl, s, wm in (("1s", 1, 200), ("10s", 10, 1000), ("1m", 60, 5000)))
-    q["stream_ohlcv"] = w(*wire, _VALID) + _stream_candles()
-    q["stream_dead_letters"] = q["dead_letters"]
-    q["stream_ohlcv_routed"] = q["stream_ohlcv"]
-    q["stream_dead_letters_routed"] = q["dead_letters"]
+    log = (_MESSAGES, _MESSAGES_BAD, _LOG)
+    q["stream_ohlcv"] = w(*log, _VALID) + _stream_candles()
+    q["stream_restart"] = q["stream_ohlcv_routed"] = q["stream_ohlcv"]
+    q["stream_dead_letters"] = w(*log) + "SELECT raw, error FROM decoded WHERE error IS NOT NULL"
+    q["stream_dead_letters_routed"] = q["stream_dead_letters"]
+    q["stream_snapshot"] = w(*log, _VALID, f"sc AS ({_stream_candles()})") + _snapshot("sc")
+    q["stream_late_drop"] = w(*BASE, _LATE) + _MARK + "\nUNION ALL\n".join(
+        _candles(f"(SELECT * FROM lt WHERE keep_{lbl}) AS kept_{lbl}", s, lbl, True) for lbl, s, _ in _SIZE_ROWS)
+    q["stream_append"] = w(*BASE, _LATE, f"c AS ({q['stream_late_drop'].split(_MARK, 1)[1]})") + (
+        "SELECT c.* FROM c, mark WHERE epoch_us(window_end) <= CASE window_size " + " ".join(
+            f"WHEN '{lbl}' THEN wm_{lbl}" for lbl, _, _ in _SIZE_ROWS) + " END")
+    q["stream_late_counts"] = w(*BASE, _LATE) + "\nUNION ALL\n".join(
+        f"SELECT '{lbl}' AS window_size, CAST(count(*) + 1 AS BIGINT) AS total_ticks, CAST(count_if(NOT keep_{lbl}) AS BIGINT) AS late_ticks FROM lt"
+        for lbl, _, _ in _SIZE_ROWS)
+    q["drift_stored"] = q["drift"]
+    q["candle_sink"] = q["candles_from_text"] = q["ohlcv_all_sizes"]
+    q["audit_exclusions"] = q["exclusions"]
+    q["report_gap_levels"] = q["gap_level_counts"]
+    q["report_top_outliers"] = q["top_outliers"]
+    q["store_stats"] = w(*_QBASE) + (
+        f"SELECT {_ymd()}, count(*) AS rows, true AS has_bytes FROM clean GROUP BY ALL ORDER BY year, month, day")
+    q["store_totals"] = w(*_QBASE) + (
+        "SELECT count(DISTINCT CAST(timestamp AS DATE)) AS partitions, count(*) AS total_rows, true AS has_ratio FROM clean")
+    q["pruning_check"] = w(*_QBASE, _FIRST_DAY) + (
+        "SELECT count(*) AS store_rows, CAST(count_if(year(timestamp) = f.year AND month(timestamp) = f.month "
+        "AND day(timestamp) = f.day) AS BIGINT) AS day_rows, true AS pruned, "
+        "any_value(f.year || '-' || f.month || '-' || f.day) AS checked_day FROM clean, first_day f")
+    q["fingerprint_groups"] = w(*dq[:3]) + (
+        "SELECT min(sequence_id) AS first_sequence, count(*) AS copies FROM trades_dup "
+        "GROUP BY timestamp, instrument, price, volume, side HAVING count(*) > 1")
+    q["kafka_messages"] = w(_MESSAGES) + f"SELECT instrument AS key, {_line()} AS value FROM messages"
+    q["partition_assignment"] = w(_MESSAGES) + (
+        "SELECT instrument AS key, count(*) AS messages, true AS one_partition FROM messages GROUP BY instrument")
+    q["health_metrics"] = w(*BASE, _HEALTH) + "SELECT * FROM health"
+    q["health_alerts"] = w(*BASE, _HEALTH) + (
+        "SELECT window_start, alert, value, threshold FROM ("
+        "SELECT window_start, 'low_throughput' AS alert, ticks_per_sec AS value, 10.0::DOUBLE AS threshold, true AS below FROM health UNION ALL "
+        "SELECT window_start, 'no_candles_emitted', CAST(candles_emitted AS DOUBLE), 1.0, true FROM health UNION ALL "
+        "SELECT window_start, 'high_late_arrivals', late_share, 0.01, false FROM health UNION ALL "
+        "SELECT window_start, 'high_lag', CAST(lag AS DOUBLE), 10000.0, false FROM health UNION ALL "
+        "SELECT window_start, 'critical_lag', CAST(lag AS DOUBLE), 100000.0, false FROM health UNION ALL "
+        "SELECT window_start, 'high_drift', drift_pct, 0.5, false FROM health) "
+        "WHERE CASE WHEN below THEN value < threshold ELSE value > threshold END")
     return q

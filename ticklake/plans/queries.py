@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake import sources as S
-from ticklake.functions.wire import decode_wire, encode_wire, status_counts, to_ticks
+from ticklake.functions.wire import decode_wire, encode_wire, kafka_records, status_counts, to_ticks
 from ticklake.operators import alerts as A
 from ticklake.operators import candles as C
 from ticklake.operators import drift as D
@@ -22,6 +22,7 @@ from ticklake.operators import quality as Q
 from ticklake.operators import storage as ST
 from ticklake.session import materialize, scratch_path
 from ticklake.streaming import aggregator as SA
+from ticklake.streaming import snapshot as SN
 
 REFERENCE_SIZES = (1, 10, 60)
 SERIES_INSTRUMENT = "click"
@@ -176,8 +177,22 @@ def _drift_report(spark, sf):
     return D.drift_report(_drift(spark, sf))
 
 
+def _stored_by_size(trades: DataFrame, is_realtime: bool) -> dict[int, DataFrame]:
+    """Candles by size, the finest written once: a join's not-null filters
+    cannot then reach the ticks and read them again for every size."""
+    finest = materialize(C.ohlcv(trades, REFERENCE_SIZES[0], is_realtime=is_realtime), "finest_candles")
+    return {s: C.rollup(finest, s) if s > REFERENCE_SIZES[0] else finest for s in REFERENCE_SIZES}
+
+
 def drift_matched(spark, sf):
-    return D.matched(_drift(spark, sf))
+    return D.matched_by_size(_stored_by_size(S.trades_rt(spark, sf), True), _stored_by_size(S.trades(spark, sf), False))
+
+
+def drift_stored(spark, sf):
+    """The drift table written and read back."""
+    path = scratch_path(spark, "drift")
+    D.write_drift(_drift(spark, sf), path)
+    return spark.read.parquet(path)
 
 
 def drift_summary(spark, sf):
@@ -208,15 +223,78 @@ def _store(spark, sf) -> str:
 
 def partition_day(spark, sf):
     root = _store(spark, sf)
-    store = ST.read_store(spark, root)
-    first = ST.first_partition(store).first()   # one row: the day to read
-    if first is None:
-        return store.limit(0)
-    return ST.read_day(spark, root, first["year"], first["month"], first["day"])
+    day = ST.first_day(spark, root)          # from folder names
+    return ST.read_day(spark, root, *day) if day else ST.read_store(spark, root)
 
 
 def first_partition(spark, sf):
-    return ST.first_partition(ST.read_store(spark, _store(spark, sf)))
+    return ST.first_partition(spark, _store(spark, sf))
+
+
+def store_stats(spark, sf):
+    """Rows per day of the written store (bytes and files vary by run)."""
+    return ST.write_stats(spark, _store(spark, sf)).select(*ST.PARTS, "rows", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+def store_totals(spark, sf):
+    t = ST.storage_totals(ST.write_stats(spark, _store(spark, sf)))
+    return t.select("partitions", "total_rows", (F.col("csv_ratio") > 0).alias("has_ratio"))
+
+
+def pruning_check(spark, sf):
+    root = _store(spark, sf)
+    return ST.pruning_check(spark, root, *ST.first_day(spark, root))
+
+
+def candle_sink(spark, sf):
+    """Batch candles written and read back."""
+    path = scratch_path(spark, "candles")
+    C.write_candles(ohlcv_all_sizes(spark, sf), path)
+    return C.load_candles(spark, path).select(*C.CANDLE_COLUMNS)
+
+
+def candles_from_text(spark, sf):
+    """A candle table whose times are ISO text, loaded leniently."""
+    path = scratch_path(spark, "candles_text")
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    c = ohlcv_all_sizes(spark, sf)
+    c.select(*[F.date_format(x, iso).alias(x) if x in ("window_start", "window_end") else x for x in C.CANDLE_COLUMNS]).write.parquet(path)
+    return C.load_candles(spark, path).select(*C.CANDLE_COLUMNS)
+
+
+def audit_exclusions(spark, sf):
+    """The audit sink's exclusions, read back."""
+    root = scratch_path(spark, "audit")
+    return spark.read.parquet(Q.write_audit_tables(S.trades_dup(spark, sf), root)["exclusions"])
+
+
+def report_gap_levels(spark, sf):
+    return Q.quality_report(S.trades(spark, sf))["gap_levels"]
+
+
+def report_top_outliers(spark, sf):
+    return _round(Q.quality_report(S.trades(spark, sf))["top_outliers"], ["rolling_avg", "deviation_pct"])
+
+
+def fingerprint_groups(spark, sf):
+    """Repeated ticks by their fingerprint: the smallest sequence number and
+    the copies of each group."""
+    f = Q.fingerprint(S.trades_dup(spark, sf))
+    g = f.groupBy("fingerprint").agg(F.min("sequence_id").alias("first_sequence"), F.count(F.lit(1)).alias("copies"))
+    return g.filter("copies > 1").select("first_sequence", "copies")
+
+
+def kafka_messages(spark, sf):
+    """Keyed records for the log: key and value as text."""
+    k = kafka_records(S.messages(spark, sf))
+    return k.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+def partition_assignment(spark, sf):
+    """Each key's messages, and whether they share one partition of six."""
+    k = kafka_records(S.messages(spark, sf))
+    one = (F.count_distinct("partition") == 1) & (F.min("partition") >= 0) & (F.max("partition") < 6)
+    return k.groupBy(F.col("key").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("messages"), one.alias("one_partition"))
 
 
 # ---- streaming -----------------------------------------------------------
@@ -225,34 +303,52 @@ def late_rate(spark, sf):
     return SA.late_rate(S.arrivals(spark, sf))
 
 
-def _wire_source_dir(spark, sf) -> str:
-    src = scratch_path(spark, "wire_source")
-    S.wire_lines(spark, sf).select("key", "value").write.parquet(src)
+def _log(spark, sf) -> str:
+    src = scratch_path(spark, "log")
+    S.log_lines(spark, sf).select("key", "value", "position").write.parquet(src)
     return src
 
 
+def _finish(queries) -> None:
+    for q in queries:
+        q.awaitTermination()
+
+
+_SIZES = [c.name for c in SA.WINDOW_CONFIGS]
+
+
 def stream_ohlcv(spark, sf):
-    src = _wire_source_dir(spark, sf)
+    src = _log(spark, sf)
     out, ck = scratch_path(spark, "stream_candles"), scratch_path(spark, "stream_ckpt")
-    qs = SA.start_candle_queries(SA.file_source(spark, src), out, ck)
-    for q in qs:
-        q.awaitTermination()
-    return SA.read_upserted(spark, out, [c.name for c in SA.WINDOW_CONFIGS])
+    _finish(SA.start_candle_queries(SA.file_source(spark, src), out, ck))
+    return SA.read_upserted(spark, out, _SIZES)
+
+
+def stream_restart(spark, sf):
+    """Half of the log, a stop, then the rest from the checkpoint."""
+    src = scratch_path(spark, "log")
+    lines = S.log_lines(spark, sf)
+    first = lines.filter("sequence_id % 2 = 0").select("key", "value", "position")
+    rest = lines.filter("sequence_id % 2 = 1").select("key", "value", "position")
+    configs = [SA.WindowConfig(c.name, c.seconds, 10 ** 10) for c in SA.WINDOW_CONFIGS]   # nothing is late
+    out, ck = scratch_path(spark, "stream_candles"), scratch_path(spark, "stream_ckpt")
+    for part in (first, rest):
+        part.write.mode("append").parquet(src)
+        _finish(SA.start_candle_queries(SA.file_source(spark, src), out, ck, configs))
+    return SA.read_upserted(spark, out, _SIZES)
 
 
 def _routed(spark, sf) -> str:
-    src = _wire_source_dir(spark, sf)
     table, ck = scratch_path(spark, "routed"), scratch_path(spark, "routed_ckpt")
-    SA.start_router_query(SA.file_source(spark, src), table, ck).awaitTermination()
+    SA.start_router_query(SA.file_source(spark, _log(spark, sf)), table, ck).awaitTermination()
     return table
 
 
 def stream_ohlcv_routed(spark, sf):
     table = _routed(spark, sf)
     out, ck = scratch_path(spark, "stream_candles"), scratch_path(spark, "stream_ckpt")
-    for q in SA.start_candle_queries_on_ticks(SA.routed_valid_ticks(spark, table), out, ck):
-        q.awaitTermination()
-    return SA.read_upserted(spark, out, [c.name for c in SA.WINDOW_CONFIGS])
+    _finish(SA.start_candle_queries_on_ticks(SA.routed_valid_ticks(spark, table), out, ck))
+    return SA.read_upserted(spark, out, _SIZES)
 
 
 def stream_dead_letters_routed(spark, sf):
@@ -260,13 +356,85 @@ def stream_dead_letters_routed(spark, sf):
 
 
 def stream_dead_letters(spark, sf):
-    src = _wire_source_dir(spark, sf)
     out, ck = scratch_path(spark, "stream_dlq"), scratch_path(spark, "stream_dlq_ckpt")
-    q = SA.start_dead_letter_query(SA.file_source(spark, src), out, ck)
-    q.awaitTermination()
+    SA.start_dead_letter_query(SA.file_source(spark, _log(spark, sf)), out, ck).awaitTermination()
     return spark.read.schema("raw string, error string").json(out)
 
 
+def stream_snapshot(spark, sf):
+    """The live snapshot after the whole log."""
+    root, ck = scratch_path(spark, "snapshot"), scratch_path(spark, "snapshot_ckpt")
+    _finish(SN.start_snapshot_queries(SA.file_source(spark, _log(spark, sf)), root, ck, available_now=True))
+    return SN.read_snapshots(spark, root, _SIZES)
+
+
+def _late_log(spark, sf) -> str:
+    """Three files, one per micro-batch: the on-time ticks, the newest tick
+    again (the watermark now holds), then every 25th tick, late."""
+    src = scratch_path(spark, "late_log")
+    t = S.trades(spark, sf).withColumn("trade_id", F.concat(F.lit("POW-"), "trade_id"))
+    late = F.col("sequence_id") % 25 == 2
+    newest = t.filter(~late).orderBy(F.desc("timestamp"), F.desc("sequence_id")).limit(1)
+    for k, part in enumerate((t.filter(~late), newest.withColumn("instrument", F.lit("spare")), t.filter(late))):
+        e = encode_wire(part).select(F.col("instrument").cast("binary").alias("key"), F.col("line").cast("binary").alias("value"),
+                                     F.col("sequence_id").alias("position"))
+        e.coalesce(1).write.mode("append").parquet(src)
+    return src
+
+
+def _drop_spare(df: DataFrame) -> DataFrame:
+    return df.filter("instrument <> 'spare'")
+
+
+def stream_late_drop(spark, sf):
+    """Candles when a late micro-batch follows: ticks of closed windows are
+    dropped, those of open windows still count."""
+    out, ck = scratch_path(spark, "late_candles"), scratch_path(spark, "late_ckpt")
+    _finish(SA.start_candle_queries(SA.file_source(spark, _late_log(spark, sf), 1), out, ck))
+    return _drop_spare(SA.read_upserted(spark, out, _SIZES))
+
+
+def stream_append(spark, sf):
+    """Append mode: each closed candle once."""
+    out, ck = scratch_path(spark, "append_candles"), scratch_path(spark, "append_ckpt")
+    _finish(SA.start_candle_queries(SA.file_source(spark, _late_log(spark, sf), 1), out, ck, correct_late=False))
+    parts = [spark.read.schema(SA.CANDLE_SCHEMA).parquet(f"{out}/{s}") for s in _SIZES]
+    found = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _drop_spare(found)
+
+
+def stream_late_counts(spark, sf):
+    """Late ticks of the same log, counted before aggregation."""
+    out, ck = scratch_path(spark, "late_counts"), scratch_path(spark, "late_counts_ckpt")
+    ticks = SA.valid_ticks(decode_wire(SA.file_source(spark, _late_log(spark, sf), 1)))
+    SA.start_late_counter(ticks, out, ck).awaitTermination()
+    return spark.read.parquet(out).groupBy("window_size").agg(
+        F.sum("ticks").alias("total_ticks"), F.sum("late_ticks").alias("late_ticks"))
+
+
+def _progress(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """A progress table as the listener records it: one report per
+    instrument and hour, and the late counts of the same hours."""
+    t = S.trades(spark, sf)
+    hour = F.date_trunc("hour", "timestamp").alias("at")
+    p = t.groupBy(F.col("instrument").alias("query"), hour).agg(
+        F.count(F.lit(1)).alias("input_rows"), F.count_distinct("price").alias("rows_updated"),
+        F.max(F.col("sequence_id") * 17 % 150000).alias("source_lag"))
+    p = p.withColumn("batch_id", F.unix_micros(F.col("at").cast("timestamp")))
+    late = t.groupBy(hour).agg(F.count(F.lit(1)).alias("ticks"), F.count_if(F.col("sequence_id") % 25 == 2).alias("late_ticks"))
+    return p, late
+
+
+def health_metrics(spark, sf):
+    p, late = _progress(spark, sf)
+    m = SA.health_metrics(p, late, drift_pct=0.4, window="6 hours")
+    return m.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def health_alerts(spark, sf):
+    return A.health_alerts(health_metrics(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ohlcv_1s": _ohlcv(1),
     "ohlcv_10s": _ohlcv(10),
@@ -303,6 +471,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_counts": partition_counts,
     "partition_day": partition_day,
     "first_partition": first_partition,
+    "drift_stored": drift_stored,
+    "store_stats": store_stats,
+    "store_totals": store_totals,
+    "pruning_check": pruning_check,
+    "candle_sink": candle_sink,
+    "candles_from_text": candles_from_text,
+    "audit_exclusions": audit_exclusions,
+    "report_gap_levels": report_gap_levels,
+    "report_top_outliers": report_top_outliers,
+    "fingerprint_groups": fingerprint_groups,
+    "kafka_messages": kafka_messages,
+    "partition_assignment": partition_assignment,
+    "stream_snapshot": stream_snapshot,
+    "stream_restart": stream_restart,
+    "stream_late_drop": stream_late_drop,
+    "stream_append": stream_append,
+    "stream_late_counts": stream_late_counts,
+    "health_metrics": health_metrics,
+    "health_alerts": health_alerts,
     "late_rate": late_rate,
     "stream_ohlcv": stream_ohlcv,
     "stream_dead_letters": stream_dead_letters,

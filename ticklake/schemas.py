@@ -21,6 +21,7 @@ MESSAGES = T.StructType(TRADES.fields + [T.StructField("msg_type", T.StringType(
 WIRE = T.StructType([
     T.StructField("key", T.BinaryType()),
     T.StructField("value", T.BinaryType()),
+    T.StructField("position", T.LongType()),
 ])
 
 CANDLE_COLUMNS = ["instrument", "window_size", "window_start", "window_end",
@@ -60,11 +61,6 @@ HEALTH_MAX_DRIFT_PCT = 0.5
 # Validation: ticks after this instant (µs since epoch, 2026-01-01T00:00Z)
 # are rejected as future_timestamp.
 FUTURE_CUTOFF_MICROS = 1767225600000000
-# Dead-letter reasons, in rule order (first failing rule wins).
-DLQ_REASONS = ("parse_error", "negative_price", "zero_volume",
-               "future_timestamp")
-# Producer keying: number of Kafka partitions.
-WIRE_PARTITIONS = 6
 # Partitioned storage: zstd; CSV size estimate of 100 bytes per row.
 STORAGE_CODEC = "zstd"
 CSV_BYTES_PER_ROW = 100

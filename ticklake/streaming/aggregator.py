@@ -10,39 +10,50 @@ watermarked OHLCV candles.
   (several collapse to the slowest), and each size has its own delay.  The
   delay is twice the configured watermark, the reference's lateness test
   ``window_end + wm < max_event_time - wm``.
-* Candles leave the query in ``update`` mode and are written per batch to
-  ``<out>/batch_id=N`` (overwrite, so a replayed batch is idempotent); the
-  newest version of each key is the candle (``read_upserted``).  This also
-  yields the windows still open at the end of a bounded run.
+* Ticks of one instrument at one time are ordered by their place in the
+  source: the Kafka offset (an instrument is one key, so one partition), or
+  the ``position`` column of the file source.  Message ids are text.
+* Candles leave the query in ``update`` mode and are written per batch to a
+  folder (overwrite, so a replayed batch is idempotent) and merged as
+  folders grow (``upserts``); the newest version of each key is the candle.
+  This also yields the windows still open at the end of a bounded run.
 * State lives in the checkpoint (``stateStore`` provider configurable, e.g.
   RocksDB), so a restart continues from the committed offsets and state.
 """
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ticklake.functions.timefn import add_interval, epoch_micros, from_epoch_micros
 from ticklake.functions.wire import decode_wire
+from ticklake.operators.candles import packed_order_key
 from ticklake.operators.sequence import running_max_across_slices
-from ticklake.schemas import CANDLE_COLUMNS, WINDOW_CONFIGS, WIRE, WindowConfig
+from ticklake.schemas import WINDOW_CONFIGS, WIRE, WindowConfig
+from ticklake.streaming.upserts import CANDLE_SCHEMA, _fs, batch_writer, read_upserted  # noqa: F401
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str,
-                 max_offsets_per_trigger: int = 10000) -> DataFrame:
-    """Kafka subscription from the earliest offset (needs the Kafka connector)."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-            .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", str(max_offsets_per_trigger)).load())
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Kafka subscription from the earliest offset (needs the Kafka
+    connector); rows keep their ``offset`` as ``position``."""
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+         .option("startingOffsets", "earliest"))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return r.load().select("key", "value", F.col("offset").alias("position"))
 
 
 def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files with ``key``/``value`` (binary) as a stream."""
+    """Parquet files with ``key``/``value`` (binary) and ``position`` (the
+    message's place in its log; null in files without one) as a stream."""
     r = spark.readStream.schema(WIRE).format("parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -51,22 +62,21 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 def valid_ticks(decoded: DataFrame) -> DataFrame:
     """Valid decoded rows with an event-time column usable by watermarks
-    (TIMESTAMP) and a stable order key (timestamp, numeric message id)."""
-    seq = F.expr("try_cast(msg_id AS BIGINT)")
-    key = F.struct(F.col("ts_micros").alias("t"), seq.alias("s"))
+    (TIMESTAMP), their time in microseconds and their position."""
     return (decoded.filter(F.col("error").isNull())
-                   .select("instrument", F.timestamp_micros("ts_micros").alias("event_time"),
-                           "price", "volume", key.alias("_ord")))
+                   .select("instrument", F.timestamp_micros("ts_micros").alias("event_time"), "ts_micros",
+                           "position", "price", "volume"))
 
 
 def candle_stream(ticks: DataFrame, cfg: WindowConfig) -> DataFrame:
     """Watermarked tumbling-window candles of one size (streaming)."""
     delay_ms = 2 * cfg.watermark_ms
     w = F.window("event_time", f"{cfg.seconds} seconds")
+    order = packed_order_key(F.col("ts_micros"), F.col("position"), cfg.seconds)
     agg = (ticks.withWatermark("event_time", f"{delay_ms} milliseconds")
                 .groupBy("instrument", w.alias("w"))
-                .agg(F.min_by("price", "_ord").alias("open"), F.max("price").alias("high"),
-                     F.min("price").alias("low"), F.max_by("price", "_ord").alias("close"),
+                .agg(F.min_by("price", order).alias("open"), F.max("price").alias("high"),
+                     F.min("price").alias("low"), F.max_by("price", order).alias("close"),
                      F.sum("volume").alias("volume"), F.count(F.lit(1)).alias("trade_count")))
     start = from_epoch_micros(F.unix_micros(F.col("w.start")))
     return agg.select("instrument", F.lit(cfg.name).alias("window_size"), start.alias("window_start"),
@@ -75,10 +85,9 @@ def candle_stream(ticks: DataFrame, cfg: WindowConfig) -> DataFrame:
                       F.lit(True).alias("is_realtime"))
 
 
-def _versioned_writer(path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    return write
+def query_name(size: str, out_root: str) -> str:
+    """The same name for the same output, run after run."""
+    return f"candles_{size}_{zlib.crc32(out_root.encode()):08x}"
 
 
 def start_candle_queries(source: DataFrame, out_root: str, ckpt_root: str,
@@ -94,11 +103,11 @@ def start_candle_queries(source: DataFrame, out_root: str, ckpt_root: str,
         c = candle_stream(ticks, cfg)
         w = c.writeStream.option("checkpointLocation", f"{ckpt_root}/candles_{cfg.name}")
         if correct_late:
-            w = w.outputMode("update").foreachBatch(_versioned_writer(f"{out_root}/{cfg.name}"))
+            w = w.outputMode("update").foreachBatch(batch_writer(f"{out_root}/{cfg.name}"))
         else:
             w = w.outputMode("append").format("parquet").option("path", f"{out_root}/{cfg.name}")
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "200 milliseconds")
-        qs.append(w.queryName(f"candles_{cfg.name}_{abs(hash(out_root)) % 10**8}").start())
+        qs.append(w.queryName(query_name(cfg.name, out_root)).start())
     return qs
 
 
@@ -112,40 +121,9 @@ def start_dead_letter_query(source: DataFrame, out_dir: str, ckpt_dir: str,
     return w.start()
 
 
-_CANDLE_SCHEMA = ("instrument string, window_size string, window_start timestamp_ntz, "
-                  "window_end timestamp_ntz, open double, high double, low double, close double, "
-                  "volume double, trade_count bigint, is_realtime boolean")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def read_upserted(spark: SparkSession, root: str, sizes: Sequence[str]) -> DataFrame:
-    """Newest version of every candle written by the update-mode queries
-    (a size whose query never emitted anything contributes no rows)."""
-    parts = []
-    for s in sizes:
-        if not _exists(spark, f"{root}/{s}"):
-            parts.append(spark.createDataFrame([], _CANDLE_SCHEMA))
-            continue
-        d = spark.read.parquet(f"{root}/{s}")
-        cols = [c for c in CANDLE_COLUMNS if c not in ("instrument", "window_size", "window_start")]
-        latest = d.groupBy("instrument", "window_size", "window_start").agg(
-            *[F.max_by(c, "batch_id").alias(c) for c in cols])
-        parts.append(latest.select(*CANDLE_COLUMNS))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def _offset_lag(src: dict) -> int | None:
     """Kafka-style lag of one source report: sum over partitions of
     latestOffset - endOffset; None for sources without numeric offsets."""
-    import json
     def parse(v):
         if isinstance(v, str):
             try:
@@ -167,40 +145,110 @@ def _offset_lag(src: dict) -> int | None:
     return lag
 
 
-def progress_table(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:
-    """Processing metrics from the retained progress reports (bounded by
-    ``spark.sql.streaming.numRecentProgressUpdates``)."""
-    rows = []
-    for q in queries:
-        for p in q.recentProgress:
-            ops = p.get("stateOperators", [])
-            lags = [x for x in (_offset_lag(s) for s in p.get("sources", [])) if x is not None]
-            rows.append((q.name, int(p["batchId"]), int(p["numInputRows"]),
-                         float(p.get("inputRowsPerSecond") or 0.0),
-                         float(p.get("processedRowsPerSecond") or 0.0),
-                         sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in ops),
-                         sum(int(s.get("numRowsTotal", 0)) for s in ops),
-                         sum(int(s.get("numRowsUpdated", 0)) for s in ops),
-                         sum(lags) if lags else None))
-    schema = ("query string, batch_id long, input_rows long, input_rows_per_sec double, "
-              "processed_rows_per_sec double, rows_dropped_by_watermark long, state_rows long, "
-              "rows_updated long, source_lag long")
-    return spark.createDataFrame(rows, schema)
-
-
-def health_metrics(progress: DataFrame, drift_pct: float | None = None, last_batches: int = 10) -> DataFrame:
-    """One metrics row for ``alerts.health_alerts`` from a progress table:
-    mean processing rate and candles updated over the last batches, share
-    of rows dropped as late, newest source lag, optional drift."""
-    from pyspark.sql.window import Window
-    w = Window.partitionBy("query").orderBy(F.desc("batch_id"))
-    recent = progress.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= last_batches)
-    return recent.agg(
-        F.avg("processed_rows_per_sec").alias("ticks_per_sec"),
-        F.sum("rows_updated").alias("candles_emitted"),
-        F.try_divide(F.sum("rows_dropped_by_watermark").cast("double"), F.sum("input_rows")).alias("late_share"),
-        F.max_by("source_lag", "batch_id").alias("lag"),
-    ).withColumn("drift_pct", F.lit(drift_pct).cast("double"))
+PROGRESS = ("query string, batch_id long, at timestamp, input_rows long, processed_rows_per_sec double, "
+            "state_rows long, rows_updated long, source_lag long")
+
+
+def _progress_row(p: dict) -> dict:
+    """What the health checks need of one progress report."""
+    ops = p.get("stateOperators") or []
+    lags = [x for x in (_offset_lag(s) for s in p.get("sources") or []) if x is not None]
+    return {"query": p.get("name") or p.get("id"), "batch_id": int(p["batchId"]), "at": p["timestamp"],
+            "input_rows": int(p.get("numInputRows") or 0),
+            "processed_rows_per_sec": float(p.get("processedRowsPerSecond") or 0.0),
+            "state_rows": sum(int(s.get("numRowsTotal", 0)) for s in ops),
+            "rows_updated": sum(int(s.get("numRowsUpdated", 0)) for s in ops),
+            "source_lag": sum(lags) if lags else None}
+
+
+class ProgressLog(StreamingQueryListener):
+    """Keeps every progress report: one small JSON file per report in
+    ``path`` (a folder all can read), named by query and batch, so that a
+    replayed batch overwrites its own.  Register it with
+    ``spark.streams.addListener`` before the queries start."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = _progress_row(json.loads(event.progress.json))
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{row['query']}-{row['batch_id']}.json")
+        out = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+        try:
+            out.write(bytearray((json.dumps(row) + "\n").encode()))
+        finally:
+            out.close()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """All reports that a ``ProgressLog`` has kept."""
+    return spark.read.schema(PROGRESS).json(path)
+
+
+def late_counter(spark: SparkSession, path: str, configs: Sequence[WindowConfig] = WINDOW_CONFIGS):
+    """A ``foreachBatch`` function that counts late ticks one by one, before
+    any aggregation: a tick is late for a size if its window ended before
+    the highest event time of earlier batches less the allowed delay.
+    Writes ``<path>/batch_id=N`` (size, ticks, late ticks, highest time so
+    far); a replayed batch starts from the batch before it."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fs, root, jvm = _fs(spark, path)
+        last = -1
+        if fs.exists(root):
+            names = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("batch_id=")]
+            done = [int(n.getName()[9:]) for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(n, "_SUCCESS"))]
+            last = max([n for n in done if n < batch_id], default=-1)
+        mark = spark.read.parquet(f"{path}/batch_id={last}").agg(F.max("high_water")).first()[0] if last >= 0 else None
+        us = F.col("ts_micros")
+        counts = [F.lit(0).cast("long") if mark is None else
+                  F.count_if(us - F.pmod(us, F.lit(c.seconds * 1_000_000)) + F.lit(c.seconds * 1_000_000 + 2000 * c.watermark_ms) <= F.lit(mark))
+                  for c in configs]
+        one = batch.agg(F.count(F.lit(1)).alias("ticks"), F.greatest(F.max("ts_micros"), F.lit(mark).cast("long")).alias("high_water"),
+                        *[x.alias(f"l{i}") for i, x in enumerate(counts)])
+        rows = F.array(*[F.struct(F.lit(c.name).alias("window_size"), F.col("ticks").alias("ticks"), F.col(f"l{i}").alias("late_ticks"),
+                                  F.col("high_water").alias("high_water")) for i, c in enumerate(configs)])
+        one.select(F.inline(rows)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    return write
+
+
+def start_late_counter(ticks: DataFrame, path: str, ckpt_dir: str, configs: Sequence[WindowConfig] = WINDOW_CONFIGS,
+                       available_now: bool = True) -> StreamingQuery:
+    w = (ticks.writeStream.option("checkpointLocation", ckpt_dir)
+         .foreachBatch(late_counter(ticks.sparkSession, path, configs)))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    return w.start()
+
+
+def health_metrics(progress: DataFrame, late: DataFrame | None = None, drift_pct: float | None = None,
+                   window: str = "5 minutes") -> DataFrame:
+    """One row per time window, for ``alerts.health_alerts``: messages per
+    second over the window, candles updated, late share (of the counts in
+    ``late``: at, ticks, late_ticks), the queries' newest lags summed, and an
+    optional drift."""
+    w = F.window("at", window)
+    seconds = F.unix_micros("w.end").cast("double") / 1e6 - F.unix_micros("w.start").cast("double") / 1e6
+    each = progress.groupBy(w.alias("w"), "query").agg(
+        F.sum("input_rows").alias("rows"), F.sum("rows_updated").alias("updated"),
+        F.max_by("source_lag", F.when(F.col("source_lag").isNotNull(), F.col("batch_id"))).alias("lag"))
+    out = each.groupBy("w").agg(F.sum("rows").alias("rows"), F.sum("updated").alias("candles_emitted"), F.sum("lag").alias("lag"))
+    out = out.select("w", (F.col("rows") / seconds).alias("ticks_per_sec"), "candles_emitted", "lag")
+    if late is not None:
+        share = late.groupBy(w.alias("w")).agg(F.try_divide(F.sum("late_ticks").cast("double"), F.sum("ticks")).alias("late_share"))
+        out = out.join(share, "w", "left")
+    else:
+        out = out.withColumn("late_share", F.lit(None).cast("double"))
+    return out.select(F.col("w.start").alias("window_start"), "ticks_per_sec", "candles_emitted", "late_share", "lag",
+                      F.lit(drift_pct).cast("double").alias("drift_pct"))
 
 
 def late_rate(arrivals: DataFrame, configs: Sequence[WindowConfig] = WINDOW_CONFIGS,
@@ -233,7 +281,7 @@ def late_rate(arrivals: DataFrame, configs: Sequence[WindowConfig] = WINDOW_CONF
 
 # ---- routed topology: decode once, many consumers --------------------------
 
-ROUTED_SCHEMA = ("raw string, error string, msg_id string, instrument string, ts_micros bigint, "
+ROUTED_SCHEMA = ("raw string, error string, instrument string, ts_micros bigint, position bigint, "
                  "price double, volume double, status string")
 
 
@@ -246,8 +294,8 @@ def start_router_query(source: DataFrame, table_dir: str, ckpt_dir: str,
     p = observe_status(decode_wire(source))
     dead = F.col("error").isNotNull()
     # typed fields for valid rows; the raw line is kept for dead rows only
-    out = p.select(F.when(dead, F.col("raw")).alias("raw"), "error", "msg_id", "instrument",
-                   "ts_micros", "price", "volume",
+    out = p.select(F.when(dead, F.col("raw")).alias("raw"), "error", "instrument",
+                   "ts_micros", "position", "price", "volume",
                    F.when(dead, F.lit("dead")).otherwise(F.lit("valid")).alias("status"))
     w = (out.writeStream.format("parquet").partitionBy("status").option("path", table_dir)
             .option("checkpointLocation", ckpt_dir).outputMode("append"))
@@ -266,9 +314,8 @@ def observe_status(decoded: DataFrame, name: str = "tick_status") -> DataFrame:
 def routed_valid_ticks(spark: SparkSession, table_dir: str) -> DataFrame:
     """The valid ticks of a routed table as a stream (no re-parsing)."""
     s = spark.readStream.schema(ROUTED_SCHEMA).parquet(table_dir).filter(F.col("status") == "valid")
-    seq = F.expr("try_cast(msg_id AS BIGINT)")
-    return s.select("instrument", F.timestamp_micros("ts_micros").alias("event_time"), "price", "volume",
-                    F.struct(F.col("ts_micros").alias("t"), seq.alias("s")).alias("_ord"))
+    return s.select("instrument", F.timestamp_micros("ts_micros").alias("event_time"), "ts_micros", "position",
+                    "price", "volume")
 
 
 def routed_dead_letters(spark: SparkSession, table_dir: str) -> DataFrame:
@@ -285,7 +332,7 @@ def start_candle_queries_on_ticks(ticks: DataFrame, out_root: str, ckpt_root: st
     for cfg in configs:
         w = (candle_stream(ticks, cfg).writeStream.outputMode("update")
              .option("checkpointLocation", f"{ckpt_root}/candles_{cfg.name}")
-             .foreachBatch(_versioned_writer(f"{out_root}/{cfg.name}")))
+             .foreachBatch(batch_writer(f"{out_root}/{cfg.name}")))
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="200 milliseconds")
         qs.append(w.start())
     return qs

@@ -2,11 +2,11 @@
 
 Each micro-batch of an update-mode candle query is merged into the
 previous snapshot (newest version of every candle wins), trimmed to the
-newest ``history`` candles per window size, and written to a new version
+newest ``history`` finished candles per window size and all open ones, and written to a new version
 folder ``<root>/v=<batch_id>``; readers take the highest complete version.
 A replayed batch rewrites the same version, so the sink is idempotent.
-The snapshot is bounded (history x sizes), so the merge stays small no
-matter how long the stream runs.
+The snapshot is bounded by the history and the instruments with open
+candles, so the merge stays small no matter how long the stream runs.
 """
 
 from __future__ import annotations
@@ -41,16 +41,17 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """Newest complete snapshot version, or None before the first one."""
-    v = _versions(spark, root)
+def read_snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+    """Newest complete snapshot version (of those before a batch), or None
+    before the first one."""
+    v = [x for x in _versions(spark, root) if before is None or x < before]
     return spark.read.parquet(f"{root}/v={v[-1]}") if v else None
 
 
 def merge_snapshot(previous: DataFrame | None, updates: DataFrame, history: int,
                    sizes: Sequence[str]) -> DataFrame:
-    """Previous snapshot + updated candles -> newest version per key,
-    newest ``history`` per window size."""
+    """Previous snapshot + updated candles -> newest version per key, all
+    open candles and the newest ``history`` finished ones per window size."""
     u = updates.select(*CANDLE_COLUMNS).withColumn("_v", F.lit(1))
     if previous is not None:
         u = previous.select(*CANDLE_COLUMNS).withColumn("_v", F.lit(0)).unionByName(u)
@@ -63,7 +64,7 @@ def snapshot_writer(spark: SparkSession, root: str, history: int = SNAPSHOT_HIST
                     sizes: Sequence[str] = tuple(c.name for c in WINDOW_CONFIGS), keep: int = 3):
     """A ``foreachBatch`` function maintaining the versioned snapshot."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        prev = read_snapshot(spark, root)
+        prev = read_snapshot(spark, root, before=batch_id)
         snap = merge_snapshot(prev, batch, history, sizes)
         snap.write.mode("overwrite").parquet(f"{root}/v={batch_id}")
         fs, _, jvm = _jvm_fs(spark, root)
