@@ -183,7 +183,7 @@ def decode(model: Model, margins: np.ndarray) -> tuple[str, float, float]:
     return model.languages[order[0]], float(p[order[0]]), float(p[order[0]] - second)
 
 
-def _predict(shared, lead: float):
+def _predict(shared, lead: float, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         for b in batches:
@@ -196,10 +196,10 @@ def _predict(shared, lead: float):
                 pred.append(got[0])
                 score.append(got[1])
                 unsure.append(got[2] < lead)
+            rest = b if keep_text else b.drop_columns("text")
             yield pa.RecordBatch.from_arrays(
-                [*b.drop_columns("text").columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(unsure, pa.bool_())],
-                [*b.drop_columns("text").schema.names, "lang_pred", "score", "ambiguous"])
+                [*rest.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(unsure, pa.bool_())],
+                [*rest.schema.names, "lang_pred", "score", "ambiguous"])
     return run
 
 
@@ -214,12 +214,13 @@ def predict(docs: DataFrame, model: Model, lead: float = 0.2, text_col: str = "t
     ``ambiguous`` (its lead over the next language is under ``lead``).
     Labels and ids take no part."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    two = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)],
+    at = {c: "text" if c == text_col else f"c{i}" for i, c in enumerate(carry)}
+    two = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in at.items() if c != text_col],
                       F.col(f"`{text_col}`").alias("text"))
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in two.schema.fields[:-1])
-    out = two.mapInArrow(_predict(shared, lead),
-                         f"{kept}{', ' if kept else ''}lang_pred string, score double, ambiguous boolean")
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], "lang_pred", "score", "ambiguous")
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in two.schema.fields if f.name != "text" or text_col in at]
+    out = two.mapInArrow(_predict(shared, lead, text_col in at),
+                         ", ".join([*kept, "lang_pred string, score double, ambiguous boolean"]))
+    return out.select(*[F.col(name).alias(c) for c, name in at.items()], "lang_pred", "score", "ambiguous")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -30,7 +30,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.llm.components import connected_components
@@ -48,7 +48,7 @@ def majority(hashes: Iterator[int], n: int) -> int:
     total, left = np.zeros(64, np.int64), n
     while left:
         part = np.fromiter(hashes, np.uint64, min(left, CHUNK))
-        total += bit_sums(part.view(np.uint8).reshape(len(part), 8), np.zeros(1, np.int64))[0]
+        total += bit_sums(part[:, None], np.zeros(1, np.int64))[0]
         left -= len(part)
     return int(np.packbits(total * 2 > n, bitorder="little").view(np.uint64)[0])
 
@@ -108,24 +108,31 @@ def pigeonring(distance: int) -> Method:
     return Method(masks, check)
 
 
+def version(text: Column) -> Column:
+    """A hash that tells the texts of one id apart (null: 0)."""
+    return F.coalesce(F.xxhash64(text), F.lit(0))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` (signed long) and
+    """One row per document: ``doc_id``, ``doc`` (hash of its text), ``fp``
+    (signed long), ``part`` (a fingerprint that names its group) and
     ``component_id``, the smallest id reachable over links."""
-    two = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    text = F.col(f"`{text_col}`")
+    two = docs.select(F.col(f"`{id_col}`").alias("doc_id"), version(text).alias("doc"), text.alias("text"))
     kind = two.schema["doc_id"].dataType.simpleString()
-    marked = materialize(two.mapInArrow(_fingerprints(shingle), f"doc_id {kind}, fp long"), "fingerprints")
+    marked = materialize(two.mapInArrow(_fingerprints(shingle), f"doc_id {kind}, doc long, fp long"), "fingerprints")
     groups = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint_groups")
     if distance <= 0:
-        named = groups.select("fp", F.col("least").alias("component_id"))
+        named = groups.select("fp", F.col("fp").alias("part"), F.col("least").alias("component_id"))
     else:
         links = near_links(groups.select("fp"), pigeonring(distance))
         parts = materialize(connected_components(links).select(F.col("node").alias("fp"), "component"), "parts")
         joined = groups.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
         joined = materialize(joined, "fingerprint_parts")
         first = materialize(joined.groupBy("component").agg(F.min("least").alias("component_id")), "part_names")
-        named = joined.join(first, "component").select("fp", "component_id")
-    return marked.join(materialize(named, "named"), "fp").select("doc_id", "fp", "component_id")
+        named = joined.join(first, "component").select("fp", F.col("component").alias("part"), "component_id")
+    return marked.join(materialize(named, "named"), "fp").select("doc_id", "doc", "fp", "part", "component_id")
 
 
 def simhash_digest(found: DataFrame) -> DataFrame:
