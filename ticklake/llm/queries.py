@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm import dedup, embeddings, langid, licenses, linededup, packing, pieces, pii, secrets, simhash
+from ticklake.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,5 +67,3 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secrets, op2_exact_dedup, op3_packing, op4_licenses, op5_simhash, op6_line_dedup, op7_embeddings, op8_pieces,
     op9_pii, op10_language)}
-
-ORACLE_SQL: dict[str, str] = {}
