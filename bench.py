@@ -13,9 +13,10 @@ Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 replayed, each cycle time-shifted, for the steady-state throughput).
 
 ``ticks_per_sec`` holds messages per second for wire -> validation ->
-1s/10s/1m candles: on the sf messages, on the replay in batch (steady
-state and first run), streaming with one query per window size, and
-streaming through the routed decode-once topology.
+1s/10s/1m candles on the replay: in batch (steady state and first run),
+streaming with one query per window size, streaming through the routed
+decode-once topology, and batch and streaming on a replay with the
+reference's mix of 98 order messages to 2 trades.
 """
 
 from __future__ import annotations
@@ -43,9 +44,9 @@ def main() -> None:
     from ticklake.session import get_spark
     from ticklake.plans.queries import QUERIES
     from ticklake import sources as S
-    from ticklake.functions.wire import decode_wire
+    from ticklake.functions.timefn import from_epoch_micros
+    from ticklake.functions.wire import decode_wire, encode_wire
     from ticklake.operators import candles as C
-    from ticklake.functions.wire import to_ticks
     from pyspark.sql import functions as F
 
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
@@ -63,24 +64,10 @@ def main() -> None:
 
     # throughput of the tick path: wire bytes -> validation -> 1s/10s/1m
     # candles, counted per message (order messages and rejects included,
-    # as the reference counts them); warmed up on the smallest fixture
-    def wire_job(d):
-        w = S.wire_lines(spark, d).select("value").cache()
-        n = w.count()
-        t = time.perf_counter()
-        ticks = to_ticks(decode_wire(w)).withColumn("sequence_id", F.expr("try_cast(trade_id AS BIGINT)"))
-        run(C.all_sizes(ticks))
-        sec = time.perf_counter() - t
-        w.unpersist()
-        return n, sec
-    if os.path.isdir(warm):
-        wire_job(warm)
-    n_msgs, wire_sec = wire_job(sf_dir)
-
-    # steady state: the same messages replayed REPLAY times, each cycle
-    # shifted by the data's time span + 1 s (the reference producer's
-    # replay method); written once (untimed), then read and aggregated
-    from ticklake.functions.wire import kafka_records
+    # as the reference counts them).  The messages are replayed REPLAY
+    # times, each cycle shifted by the data's time span + 1 s; written once
+    # (untimed), then read and aggregated.  "mix98": 98 of 100 messages are
+    # order messages, the reference's own mix.
     from ticklake.session import scratch_path
     from ticklake.streaming import aggregator as SA
     replay = int(os.environ.get("BENCH_REPLAY", "50"))
@@ -88,44 +75,57 @@ def main() -> None:
     span = m.agg(F.max("timestamp").alias("hi"), F.min("timestamp").alias("lo")).first()
     shift_us = int((span.hi - span.lo).total_seconds() * 1e6) + 1_000_000
     cyc = m.select(F.explode(F.sequence(F.lit(0), F.lit(replay - 1))).alias("_c"), "*")
+    position = F.col("_c").cast("long") * F.lit(10 ** 9) + F.col("sequence_id")
     cyc = cyc.withColumn("timestamp", F.timestamp_add("MICROSECOND", F.col("_c").cast("long") * F.lit(shift_us), F.col("timestamp"))) \
-             .withColumn("trade_id", (F.col("_c").cast("long") * F.lit(10 ** 9) + F.col("sequence_id")).cast("string"))
-    src = scratch_path(spark, "bench_replay")
-    kafka_records(cyc.drop("_c")).select("key", "value").write.parquet(src)
+             .withColumn("position", position).withColumn("trade_id", F.concat(F.lit("POW-"), F.col("position"))).drop("_c")
+    seq = F.col("sequence_id")
+    mix = cyc.withColumn("msg_type", F.when(seq % 50 == 0, "T").when(seq % 2 == 0, "A").otherwise("C"))
+
+    def written(messages):
+        path = scratch_path(spark, "bench_replay")
+        encoded = encode_wire(messages)
+        encoded.select(F.col("instrument").cast("binary").alias("key"), F.col("line").cast("binary").alias("value"),
+                       "position").write.parquet(path)
+        return path
+
+    def batch_sec(path):
+        t = time.perf_counter()
+        d = decode_wire(spark.read.parquet(path)).filter("error is null")
+        run(C.all_sizes(d.select("instrument", from_epoch_micros(F.col("ts_micros")).alias("timestamp"), "price", "volume",
+                                 F.col("position").alias("sequence_id")), packed=True))
+        return time.perf_counter() - t
+
+    def stream_sec(path):
+        t = time.perf_counter()
+        out, ck = scratch_path(spark, "bench_stream_out"), scratch_path(spark, "bench_stream_ck")
+        for q in SA.start_candle_queries(SA.file_source(spark, path), out, ck):
+            q.awaitTermination()
+        return time.perf_counter() - t
+
+    def routed_sec(path):
+        # decode once into a status-partitioned table, then the per-size
+        # candle queries read typed ticks
+        t = time.perf_counter()
+        table, rck = scratch_path(spark, "bench_routed"), scratch_path(spark, "bench_routed_ck")
+        SA.start_router_query(SA.file_source(spark, path), table, rck).awaitTermination()
+        out, ck = scratch_path(spark, "bench_routed_out"), scratch_path(spark, "bench_routed_ck2")
+        for q in SA.start_candle_queries_on_ticks(SA.routed_valid_ticks(spark, table), out, ck):
+            q.awaitTermination()
+        return time.perf_counter() - t
+
+    src = written(cyc)
     n_replay = spark.read.parquet(src).count()
-    replay_runs = []
-    for _ in range(2):          # first run pays code generation; second is steady state
-        t0 = time.perf_counter()
-        rt = to_ticks(decode_wire(spark.read.parquet(src))).withColumn("sequence_id", F.expr("try_cast(trade_id AS BIGINT)"))
-        run(C.all_sizes(rt))
-        replay_runs.append(time.perf_counter() - t0)
-    replay_batch_sec = replay_runs[-1]
-    t0 = time.perf_counter()
-    out, ck = scratch_path(spark, "bench_stream_out"), scratch_path(spark, "bench_stream_ck")
-    for q in SA.start_candle_queries(SA.file_source(spark, src), out, ck):
-        q.awaitTermination()
-    replay_stream_sec = time.perf_counter() - t0
-    # routed: decode once into a status-partitioned table, then the
-    # per-size candle queries read typed ticks
-    t0 = time.perf_counter()
-    table, rck = scratch_path(spark, "bench_routed"), scratch_path(spark, "bench_routed_ck")
-    SA.start_router_query(SA.file_source(spark, src), table, rck).awaitTermination()
-    out2, ck2 = scratch_path(spark, "bench_routed_out"), scratch_path(spark, "bench_routed_ck2")
-    for q in SA.start_candle_queries_on_ticks(SA.routed_valid_ticks(spark, table), out2, ck2):
-        q.awaitTermination()
-    replay_routed_sec = time.perf_counter() - t0
+    first_sec = batch_sec(src)      # the first run pays code generation; the second is steady state
+    rates = {f"replay_x{replay}_batch": n_replay / batch_sec(src), f"replay_x{replay}_batch_first_run": n_replay / first_sec,
+             f"replay_x{replay}_stream": n_replay / stream_sec(src), f"replay_x{replay}_stream_routed": n_replay / routed_sec(src)}
+    src = written(mix)
+    rates |= {f"mix98_x{replay}_batch": n_replay / batch_sec(src), f"mix98_x{replay}_stream": n_replay / stream_sec(src)}
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     out = {"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(sf.group(1)) if sf else sf_dir,
            "cpus": int(cpus),
-           "ticks_per_sec": {"wire_to_candles": round(n_msgs / wire_sec) if wire_sec > 0 else None,
-                             "messages": n_msgs,
-                             f"replay_x{replay}_batch": round(n_replay / replay_batch_sec),
-                             f"replay_x{replay}_batch_first_run": round(n_replay / replay_runs[0]),
-                             f"replay_x{replay}_stream": round(n_replay / replay_stream_sec),
-                             f"replay_x{replay}_stream_routed": round(n_replay / replay_routed_sec),
-                             "replay_messages": n_replay}}
+           "ticks_per_sec": {k: round(v) for k, v in rates.items()} | {"replay_messages": n_replay}}
     print(json.dumps(out))
 
 
