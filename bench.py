@@ -41,7 +41,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    from ticklake.session import get_spark
+    from ticklake.session import get_spark, remove_scratch
     from ticklake.plans.queries import QUERIES
     from ticklake import sources as S
     from ticklake.functions.timefn import from_epoch_micros
@@ -127,6 +127,7 @@ def main() -> None:
            "cpus": int(cpus),
            "ticks_per_sec": {k: round(v) for k, v in rates.items()} | {"replay_messages": n_replay}}
     print(json.dumps(out))
+    remove_scratch(spark)
 
 
 if __name__ == "__main__":
