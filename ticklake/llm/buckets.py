@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.llm.dedup import possibly_repeated
 from ticklake.session import materialize
 
 #: A unit's key: two hashes, so that no two units are taken for one.
@@ -24,8 +25,11 @@ UNIT = ["unit", "unit2"]
 def units_of(members: DataFrame, bucket: Sequence[str], block: int, node: str = "node") -> DataFrame:
     """Rows of (node, bucket...) to rows of (node, bucket..., block, same,
     unit, unit2), one for each unit of the node.  Buckets of one member give
-    none.  In a unit of two blocks (``same`` is false) only pairs across the
-    blocks are due."""
+    none: a Bloom filter sorts out most of those before any row is shuffled.
+    In a unit of two blocks (``same`` is false) only pairs across the blocks
+    are due."""
+    members = possibly_repeated(members.withColumn("hash", F.xxhash64(*bucket))).filter("maybe").drop("maybe")
+    members = materialize(members, "bucket_members")
     sizes = materialize(members.groupBy(*bucket).count().filter("count > 1"), "bucket_sizes")
     blocks = F.ceil(F.col("count") / block).cast("int")
     met = members.join(sizes, list(bucket)).select(

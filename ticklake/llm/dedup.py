@@ -49,19 +49,17 @@ def positions(hashes: np.ndarray, bits: int, probes: int = PROBES) -> np.ndarray
 
 
 class Bloom:
-    """A Bloom filter over 64-bit hashes."""
+    """A Bloom filter over 64-bit hashes, a byte for each of its bits."""
 
     def __init__(self, bits: int, data: np.ndarray | None = None):
         self.bits = bits
-        self.data = np.zeros(bits // 8, np.uint8) if data is None else data
+        self.flags = np.zeros(bits, np.uint8) if data is None else np.unpackbits(data, bitorder="little")
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = positions(hashes, self.bits)
-        return ((self.data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
+        return self.flags[positions(hashes, self.bits).view(np.int64)].all(axis=1)
 
     def add(self, hashes: np.ndarray) -> None:
-        at = positions(hashes, self.bits).ravel()
-        np.bitwise_or.at(self.data, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+        self.flags[positions(hashes, self.bits).view(np.int64).ravel()] = 1
 
 
 def _hashes(batch: pa.RecordBatch) -> np.ndarray:
@@ -125,23 +123,28 @@ def _look_up(filter_, bits: int):
     return run
 
 
+def possibly_repeated(rows: DataFrame, bits: int = BITS) -> DataFrame:
+    """``rows`` with ``maybe`` in place of ``hash``: false only where no
+    other row has the same hash."""
+    found = rows.sparkSession.sparkContext.broadcast(repeated_filter(rows, bits))
+    rest = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "hash"]
+    return rows.mapInArrow(_look_up(found, bits), ", ".join([*rest, "maybe boolean"]))
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (),
                 bits: int = BITS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``keep_id`` (id of the row
     that stays), ``group_size``, ``kept``, ``text_sha256`` and the columns
     named in ``carry``.  Without ``carry`` texts are read once and never
     shuffled; with it the carried columns of candidates are shuffled."""
-    spark = docs.sparkSession
     digest = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
                          F.sha2(normalised(F.col(f"`{text_col}`")), 256).alias("text_sha256"),
                          *[F.col(f"`{c}`").alias(f"c_{c}") for c in carry])
     if not carry:
         digest = materialize(digest, "digests")
     rows = digest.withColumn("hash", F.xxhash64("text_sha256"))
-    found = spark.sparkContext.broadcast(repeated_filter(rows, bits))
     names = digest.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in digest.schema.fields)
-    checked = rows.mapInArrow(_look_up(found, bits), f"{schema}, maybe boolean")
+    checked = possibly_repeated(rows, bits)
 
     single = checked.filter(~F.col("maybe")).select(
         *names, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
