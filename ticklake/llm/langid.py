@@ -208,7 +208,7 @@ def margins_of(model: Model, text: str) -> np.ndarray:
     return _scaled(counts(text, len(model.weights))) @ model.weights + model.bias
 
 
-def predict(docs: DataFrame, model: Model, lead: float = 0.2, text_col: str = "text",
+def predict(docs: DataFrame, model: Model, lead: float = 0.1, text_col: str = "text",
             carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns in ``carry`` with ``lang_pred``, ``score`` (0 to 1) and
     ``ambiguous`` (its lead over the next language is under ``lead``).

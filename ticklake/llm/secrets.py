@@ -55,7 +55,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(path)
 
 
-def update_ledger(docs: DataFrame, path: str, rules: Sequence[Rule] = RULES, text_col: str = "text") -> int | None:
+def update_ledger(docs: DataFrame, path: str, rules: Sequence[Rule] = RULES, text_col: str = "text") -> None:
     """Scans the unseen pairs of blob and rule version and appends them."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
