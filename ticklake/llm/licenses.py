@@ -1,13 +1,17 @@
 """Operator 4: licence scans by a trained paragraph classifier.
 
 A paragraph is a line of a text; one of more than ``WINDOW`` words is read
-in windows that overlap by half.  Words and word pairs, hashed to sparse
-counts, go to a multinomial logistic regression over the classes *none*,
-*unknown* (speaks of a licence, but of no known one) and the families.  The
-score from which a paragraph counts as a licence is calibrated on ordinary
-paragraphs that training has not seen.  A predicted family is confirmed by
-comparing the paragraph with the family's templates: the share of a
-template's word triples that it holds.  Unconfirmed ones are *unknown*.
+in windows that overlap by half.  Features are sparse counts of words and
+word pairs: those of the fixed licence texts that hold a *telling* word, one
+that few ordinary paragraphs have.  A multinomial logistic regression over
+them knows the classes *none*, *unknown* (speaks of a licence, but of no
+known one) and the families.  The score from which a paragraph counts as a
+licence is calibrated on ordinary paragraphs that training has not seen, and
+lies above the score of a paragraph without any feature; so paragraphs
+without a telling word are *none* and never reach the model.  A predicted
+family is confirmed by comparing the paragraph with the family's templates:
+the share of a template's word triples that it holds.  Unconfirmed ones are
+*unknown*.
 
 Everything runs in the JVM (DataFrame functions and Spark ML).  Scanning is
 a narrow map over whole texts; only findings are shuffled.  Training reads a
@@ -22,10 +26,11 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, NGram
+from pyspark.ml.feature import CountVectorizerModel, NGram
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +38,7 @@ from pyspark.sql import functions as F
 from ticklake.session import materialize
 
 WINDOW = 64
-FEATURES = 1 << 15
+COMMON = 0.01
 SAMPLE_DOCS = 1500
 SAMPLE_WINDOWS = 8000
 CONFIRM = 0.8
@@ -114,17 +119,28 @@ ORDINARY = (
 CLASSES = (NONE, UNKNOWN, *TEMPLATES)
 
 
+def split_words(text: Column) -> Column:
+    """Runs of letters and digits, in lower case; the first or last may be
+    empty."""
+    return F.split(F.lower(text), r"[^\p{L}\p{N}]+")
+
+
 def words(text: Column) -> Column:
-    """Runs of letters and digits, in lower case."""
-    parts = F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " ")
-    return F.filter(parts, lambda w: w != "")
+    return F.filter(split_words(text), lambda w: w != "")
+
 
+def plain_words(text: str) -> list[str]:
+    return "".join(c.lower() if c.isalnum() else " " for c in text).split()
 
-def windows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+
+def windows(docs: DataFrame, text_col: str = "text", telling: list[str] | None = None) -> DataFrame:
     """A row for each window of each line with at least three words: the
-    columns of ``docs`` but the text, ``paragraph``, ``window``, ``words``."""
+    columns of ``docs`` but the text, ``paragraph``, ``window``, ``words``.
+    ``telling``: only lines with one of these words."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     lines = docs.select(*rest, F.posexplode(F.split(F.col(f"`{text_col}`"), "\n")).alias("paragraph", "line"))
+    if telling is not None:
+        lines = lines.filter(F.arrays_overlap(split_words(F.col("line")), F.array(*[F.lit(w) for w in telling]).cast("array<string>")))
     lines = lines.select(*rest, "paragraph", words(F.col("line")).alias("all")).filter(F.size("all") >= 3)
     step = WINDOW // 2
     starts = F.sequence(F.lit(0), F.greatest(F.size("all") - step - 1, F.lit(0)), F.lit(step))
@@ -139,22 +155,20 @@ def _triples(words: Column) -> Column:
 
 def similarity(words: Column, texts: tuple[str, ...]) -> Column:
     """The largest share of a template's word triples that ``words`` hold."""
-    def plain(t: str) -> list[str]:
-        return "".join(c.lower() if c.isalnum() else " " for c in t).split()
-
     have, shares = _triples(words), []
     for t in texts:
-        w = plain(t)
+        w = plain_words(t)
         own = sorted({" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))})
         shares.append(F.size(F.array_intersect(have, F.array(*[F.lit(x) for x in own]))) / F.lit(float(len(own))))
     return F.greatest(*shares) if len(shares) > 1 else shares[0]
 
 
-def _features(df: DataFrame) -> DataFrame:
-    """``words`` to sparse counts of words and word pairs."""
+def _features(df: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """``words`` to sparse counts of the words and word pairs listed."""
     pairs = NGram(n=2, inputCol="words", outputCol="pairs").transform(df)
     both = pairs.withColumn("grams", F.concat("words", "pairs"))
-    return HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="features").transform(both).drop("pairs", "grams")
+    counts = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features")
+    return counts.transform(both).drop("pairs", "grams")
 
 
 def _fixed() -> Column:
@@ -166,9 +180,32 @@ def _fixed() -> Column:
 @dataclass
 class Classifier:
     model: LogisticRegressionModel
+    vocabulary: list[str]
+    telling: list[str]
     threshold: float
 
 
+def telling_words(ordinary: DataFrame) -> list[str]:
+    """Words of the fixed licence texts that at most ``COMMON`` of the
+    ordinary windows have."""
+    texts = [t for group in (*TEMPLATES.values(), OTHER_LICENCES) for t in group]
+    known = sorted({w for t in texts for w in plain_words(t) if len(w) > 1})
+    total = ordinary.count()
+    held = ordinary.select(F.explode(F.array_distinct("words")).alias("w")).filter(F.col("w").isin(known)).groupBy("w").count()
+    common = {r["w"] for r in held.collect() if r["count"] > COMMON * total}
+    return [w for w in known if w not in common]
+
+
+def vocabulary_of(telling: list[str]) -> list[str]:
+    """Words and pairs of the fixed texts that hold a telling word."""
+    found, tell = set(), set(telling)
+    for texts in (*TEMPLATES.values(), OTHER_LICENCES, ORDINARY):
+        for t in texts:
+            w = plain_words(t)
+            found |= {x for x in w if x in tell} | {f"{a} {b}" for a, b in zip(w, w[1:]) if a in tell or b in tell}
+    return sorted(found)
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
           sample_windows: int = SAMPLE_WINDOWS) -> Classifier:
     """Fits and calibrates the classifier."""
@@ -188,15 +225,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
         F.concat("t.words", "near"), F.concat("near", "t.words"))).alias("words"))
     alone = spark.range(20, numPartitions=1).select(F.explode(_fixed()).alias("t")).select("t.label", "t.words")
     learn = ordinary.filter(F.pmod("h", F.lit(4)) != 0).select(F.lit(0.0).alias("label"), "words")
-    rows = alone.unionByName(mixed).unionByName(learn)
+    # a paragraph without any feature is ordinary, whatever the sample holds
+    bare = spark.range(500, numPartitions=1).select(F.lit(0.0).alias("label"), F.array(F.lit("-")).alias("words"))
+    rows = alone.unionByName(mixed).unionByName(learn).unionByName(bare)
     balance = F.when(F.col("label") == 0, 1.0).otherwise(2.0)
-    rows = materialize(_features(rows).select("label", "features", balance.alias("weight")).coalesce(2), "licence_training")
+    telling = telling_words(ordinary)
+    vocabulary = vocabulary_of(telling)
+    rows = materialize(_features(rows, vocabulary).select("label", "features", balance.alias("weight")).coalesce(2), "licence_training")
     fitted = LogisticRegression(family="multinomial", weightCol="weight", regParam=1e-3, maxIter=60, tol=1e-5).fit(rows)
-    # calibration: the score that all but FALSE_ALARMS of unseen ordinary windows stay under
+    # calibration: the score that all but FALSE_ALARMS of unseen ordinary
+    # windows stay under, and one without any feature (the intercepts alone)
     unseen = ordinary.filter(F.pmod("h", F.lit(4)) == 0)
-    scores = fitted.transform(_features(unseen)).select((1 - F.get(vector_to_array("probability"), 0)).alias("p"))
-    worst = scores.agg(F.percentile_approx("p", 1 - FALSE_ALARMS, 10000).alias("q")).first()["q"]
-    return Classifier(fitted, max(0.5, min(0.99, (worst or 0.0) * 1.05)))
+    scores = fitted.transform(_features(unseen, vocabulary)).select((1 - F.get(vector_to_array("probability"), 0)).alias("p"))
+    worst = scores.agg(F.percentile_approx("p", 1 - FALSE_ALARMS, 10000).alias("q")).first()["q"] or 0.0
+    odds = [math.exp(v) for v in fitted.interceptVector]
+    threshold = max(0.5, worst * 1.05, (1 - odds[0] / sum(odds)) * 1.05)
+    return Classifier(fitted, vocabulary, telling, min(0.99, threshold))
 
 
 def find_licences(docs: DataFrame, found: Classifier | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,7 +249,7 @@ def find_licences(docs: DataFrame, found: Classifier | None = None, id_col: str
     ``score`` and ``similarity``."""
     c = found or train(docs, id_col, text_col)
     two = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    scored = c.model.transform(_features(windows(two))).withColumn("p", vector_to_array("probability"))
+    scored = c.model.transform(_features(windows(two, telling=c.telling), c.vocabulary)).withColumn("p", vector_to_array("probability"))
     hits = scored.filter(1 - F.get("p", 0) >= c.threshold).select("doc_id", "paragraph", "window", "words", "p")
     known = F.slice("p", 3, len(TEMPLATES))
     best = F.array_position(known, F.array_max(known)).cast("int")
