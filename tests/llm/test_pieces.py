@@ -27,6 +27,9 @@ def test_encode_and_decode_tables(docs_of):
     # the mark itself decodes to a space; all else comes back as it was
     assert all((r.text or "").replace("▁", " ") == r.decoded for r in rows) and len(rows) == len(EDGE) + 1
     assert P.encode(docs_of([])).count() == 0
+    checked = P.encode_checked(d).collect()
+    assert all(r.round_trip for r in checked) and sorted((r.doc_id, r.ids) for r in checked) == sorted((r.doc_id, r.ids) for r in rows)
+    assert P.encode_checked(docs_of([])).count() == 0
 
 
 def test_protobuf_is_read_as_written():
