@@ -153,14 +153,29 @@ def _triples(words: Column) -> Column:
         F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 3), " ")))
 
 
-def similarity(words: Column, texts: tuple[str, ...]) -> Column:
-    """The largest share of a template's word triples that ``words`` hold."""
-    have, shares = _triples(words), []
-    for t in texts:
-        w = plain_words(t)
-        own = sorted({" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))})
-        shares.append(F.size(F.array_intersect(have, F.array(*[F.lit(x) for x in own]))) / F.lit(float(len(own))))
-    return F.greatest(*shares) if len(shares) > 1 else shares[0]
+def _template_triples() -> Column:
+    """The templates: an array of (family, triples).  A constant, so that
+    comparing with it takes a small expression."""
+    rows = []
+    for k, texts in enumerate(TEMPLATES.values()):
+        for t in texts:
+            w = plain_words(t)
+            own = sorted({" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))})
+            rows.append(F.struct(F.lit(k).alias("family"), F.array(*[F.lit(x) for x in own]).alias("triples")))
+    return F.array(*rows)
+
+
+def with_similarity(df: DataFrame, family: Column | None = None) -> DataFrame:
+    """Adds ``similarity``: the largest share of a template's word triples
+    that ``words`` hold, over the templates of the ``family`` (a number; all
+    without it)."""
+    # explode(array(x)) gives x once and keeps it from being evaluated anew for every template
+    d = df.select("*", F.explode(F.array(_triples(F.col("words")))).alias("__have"))
+    templates = _template_triples()
+    if family is not None:
+        templates = F.filter(templates, lambda t: t["family"] == family)
+    shares = F.transform(templates, lambda t: F.size(F.array_intersect(F.col("__have"), t["triples"])) / F.size(t["triples"]))
+    return d.withColumn("similarity", F.coalesce(F.array_max(shares), F.lit(0.0))).drop("__have")
 
 
 def _features(df: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -214,8 +229,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     total = two.count()
     top = -2.0 ** 63 + 2.0 ** 64 * min(1.0, sample_docs / max(total, 1))
     picked = two.filter(F.xxhash64(F.col("id").cast("string")).cast("double") <= top)
-    every = tuple(t for texts in TEMPLATES.values() for t in texts)
-    ordinary = windows(picked).limit(sample_windows).filter(similarity(F.col("words"), every) < 0.5)
+    ordinary = with_similarity(windows(picked).limit(sample_windows)).filter("similarity < 0.5")
     ordinary = materialize(ordinary.select(F.xxhash64("words").alias("h"), "words"), "ordinary_windows")
     # a licence line may stand beside other text: each fixed text alone, and
     # before and after the first words of some ordinary windows
@@ -253,10 +267,7 @@ def find_licences(docs: DataFrame, found: Classifier | None = None, id_col: str
     hits = scored.filter(1 - F.get("p", 0) >= c.threshold).select("doc_id", "paragraph", "window", "words", "p")
     known = F.slice("p", 3, len(TEMPLATES))
     best = F.array_position(known, F.array_max(known)).cast("int")
-    alike = F.lit(0.0)
-    for i, texts in enumerate(TEMPLATES.values()):
-        alike = F.when(F.col("best") == i + 1, similarity(F.col("words"), texts)).otherwise(alike)
-    hits = hits.select("*", best.alias("best"), (1 - F.get("p", 0)).alias("score")).withColumn("similarity", alike)
+    hits = with_similarity(hits.select("*", best.alias("best"), (1 - F.get("p", 0)).alias("score")), F.col("best") - 1)
     family = F.when(F.col("similarity") >= CONFIRM, F.get(F.array(*[F.lit(f) for f in TEMPLATES]), F.col("best") - 1))
     return hits.select("doc_id", "paragraph", "window", F.coalesce(family, F.lit(UNKNOWN)).alias("family"), "score", "similarity")
 
