@@ -27,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.llm.arrow import bounded
 from ticklake.session import materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
 PROBES = 4
-BITS = 1 << 26
+BITS = 1 << 25
 
 
 def normalised(text: Column) -> Column:
@@ -137,7 +138,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     that stays), ``group_size``, ``kept``, ``text_sha256`` and the columns
     named in ``carry``.  Without ``carry`` texts are read once and never
     shuffled; with it the carried columns of candidates are shuffled."""
-    digest = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
+    digest = bounded(docs).select(F.col(f"`{id_col}`").alias("doc_id"),
                          F.sha2(normalised(F.col(f"`{text_col}`")), 256).alias("text_sha256"),
                          *[F.col(f"`{c}`").alias(f"c_{c}") for c in carry])
     if not carry:

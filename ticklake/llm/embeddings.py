@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.llm.arrow import bounded
 from ticklake.llm.buckets import UNIT, unit_starts, units_of, whole_units
 from ticklake.llm.components import connected_components
 from ticklake.llm.hamming import parts_of
@@ -165,7 +166,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, bits: int = B
                  id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per vector: ``vec_id``, ``n_links``, ``component_id`` and
     ``kept`` (it is the smallest id of its component)."""
-    base = vectors.select(F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{label_col}`").alias("label"), F.col(f"`{vector_col}`").alias("embedding"))
+    base = bounded(vectors).select(F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{label_col}`").alias("label"), F.col(f"`{vector_col}`").alias("embedding"))
     kinds = {f.name: f.dataType.simpleString() for f in base.schema.fields}
     rows = materialize(base.mapInArrow(_read, f"vec_id {kinds['vec_id']}, label {kinds['label']}, vec binary, key binary"), "unit_vectors")
     nodes = rows.filter("key is not null").groupBy("key").agg(

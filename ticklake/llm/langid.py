@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.llm.arrow import bounded
+
 UNKNOWN = "und"
 BUCKETS = 1 << 13
 PER_LANGUAGE = 400
@@ -139,7 +141,7 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fits the bits on the labelled rows.  Bound: about
     ``per_language`` rows of each language, in all at most twice as many;
     ``buckets`` counts a row."""
-    known = rows.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
+    known = bounded(rows).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
                         F.col(f"`{lang_col}`").alias("lang")).filter("lang is not null and text is not null")
     total = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     languages = tuple(sorted(total))
@@ -215,7 +217,7 @@ def predict(docs: DataFrame, model: Model, lead: float = 0.1, text_col: str = "t
     Labels and ids take no part."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = {c: "text" if c == text_col else f"c{i}" for i, c in enumerate(carry)}
-    two = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in at.items() if c != text_col],
+    two = bounded(docs).select(*[F.col(f"`{c}`").alias(name) for c, name in at.items() if c != text_col],
                       F.col(f"`{text_col}`").alias("text"))
     kept = [f"{f.name} {f.dataType.simpleString()}" for f in two.schema.fields if f.name != "text" or text_col in at]
     out = two.mapInArrow(_predict(shared, lead, text_col in at),

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.llm.arrow import bounded
+
 MAX_LEN = 2048
 END_ID = 1
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long"
@@ -154,7 +156,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, max_len: int = MAX_LEN,
     if max_len & (max_len - 1):
         raise ValueError("max_len must be a power of two")
     path = tokenizer or public_path("word_bpe_49k.json")
-    two = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    two = bounded(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     schema = PIECES.format(id=two.schema["doc_id"].dataType.simpleString()) + (", input_ids array<int>" if with_ids else "")
     pieces = two.mapInArrow(_pieces(path, max_len, end_id, with_ids), schema)
     return pieces.select("*", F.monotonically_increasing_id().alias("sequence_id"),

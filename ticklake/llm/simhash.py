@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.llm.arrow import bounded
 from ticklake.llm.components import connected_components
 from ticklake.llm.hamming import Method, bit_sums, near_links, popcount
 from ticklake.session import materialize
@@ -119,7 +120,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     (signed long), ``part`` (a fingerprint that names its group) and
     ``component_id``, the smallest id reachable over links."""
     text = F.col(f"`{text_col}`")
-    two = docs.select(F.col(f"`{id_col}`").alias("doc_id"), version(text).alias("doc"), text.alias("text"))
+    two = bounded(docs).select(F.col(f"`{id_col}`").alias("doc_id"), version(text).alias("doc"), text.alias("text"))
     kind = two.schema["doc_id"].dataType.simpleString()
     marked = materialize(two.mapInArrow(_fingerprints(shingle), f"doc_id {kind}, doc long, fp long"), "fingerprints")
     groups = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint_groups")
