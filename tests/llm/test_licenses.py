@@ -52,3 +52,15 @@ def test_windows_cover_all_words(docs_of):
         rows = L.windows(docs_of([" ".join(f"w{i}" for i in range(n))]).select("doc_id", "text")).collect()
         assert {w for r in rows for w in r.words} == {f"w{i}" for i in range(n)}
         assert all(r.words[0] == f"w{r.window}" for r in rows)
+
+
+def test_wrapped_licences_and_titles(docs_of, found):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation "
+           "files (the \"Software\"), to deal\nin the Software without restriction")
+    gpl = ("it under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n"
+           "(at your option) any later version")
+    texts = [f"Some words of the day\n\n{mit}\n\nand others", gpl, "Words here\nMIT License\nother words", "Apache-2.0",
+             "Released under the MIT License.\nLicensed under the Apache License, Version 2.0\n"
+             "All rights reserved. Unauthorized copying of this file is strictly prohibited"]
+    got = [r.licences for r in L.licences(docs_of(texts), found).orderBy("doc_id").collect()]
+    assert "MIT" in got[0].split(",") and "GPL-3.0" in got[1].split(",") and got[2:] == ["MIT", "Apache-2.0", "Apache-2.0,MIT,unknown"]

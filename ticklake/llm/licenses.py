@@ -1,7 +1,8 @@
 """Operator 4: licence scans by a trained paragraph classifier.
 
-A paragraph is a line of a text; one of more than ``WINDOW`` words is read
-in windows that overlap by half.  Features are sparse counts of words and
+A paragraph ends at a blank line.  Each of its lines is read, and all of them
+joined, as licences may be wrapped; more than ``WINDOW`` words are read in
+windows that overlap by half.  Features are sparse counts of words and
 word pairs: those of the fixed licence texts that hold a *telling* word, one
 that few ordinary paragraphs have.  A multinomial logistic regression over
 them knows the classes *none*, *unknown* (speaks of a licence, but of no
@@ -34,6 +35,7 @@ from pyspark.ml.feature import CountVectorizerModel, NGram
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ticklake.session import materialize
 
@@ -48,6 +50,7 @@ NONE, UNKNOWN = "none", "unknown"
 # How well-known licences name themselves.
 TEMPLATES = {
     "MIT": (
+        "MIT License",
         "Released under the MIT License",
         "Licensed under the MIT License",
         "This project is licensed under the terms of the MIT license",
@@ -56,6 +59,7 @@ TEMPLATES = {
         "SPDX-License-Identifier: MIT",
     ),
     "Apache-2.0": (
+        "Apache-2.0",
         "Licensed under the Apache License, Version 2.0",
         "Released under the Apache License, Version 2.0",
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
@@ -78,6 +82,7 @@ TEMPLATES = {
         "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
     ),
     "BSD": (
+        "BSD License",
         "Released under the BSD License",
         "Licensed under the 3-Clause BSD License",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
@@ -134,18 +139,29 @@ def plain_words(text: str) -> list[str]:
 
 
 def windows(docs: DataFrame, text_col: str = "text", telling: list[str] | None = None) -> DataFrame:
-    """A row for each window of each line with at least three words: the
-    columns of ``docs`` but the text, ``paragraph``, ``window``, ``words``.
-    ``telling``: only lines with one of these words."""
+    """A row for each window of each line, and of the joined lines of each
+    paragraph of several: the columns of ``docs`` but the text,
+    ``paragraph``, ``line`` (number in the paragraph, -1 for the joined
+    lines), ``window``, ``words``.  ``telling``: only windows with one of
+    these words."""
+    def tells(w: Column) -> Column:
+        return F.arrays_overlap(w, F.array(*[F.lit(x) for x in telling]).cast("array<string>")) if telling is not None else F.lit(True)
+
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    lines = docs.select(*rest, F.posexplode(F.split(F.col(f"`{text_col}`"), "\n")).alias("paragraph", "line"))
-    if telling is not None:
-        lines = lines.filter(F.arrays_overlap(split_words(F.col("line")), F.array(*[F.lit(w) for w in telling]).cast("array<string>")))
-    lines = lines.select(*rest, "paragraph", words(F.col("line")).alias("all")).filter(F.size("all") >= 3)
+    blocks = docs.select(*rest, F.posexplode(F.split(F.col(f"`{text_col}`"), r"\n\s*\n")).alias("paragraph", "block"))
+    # explode(array(x)) keeps x from being evaluated anew for every use
+    blocks = blocks.filter(tells(split_words(F.col("block")))).select(
+        *rest, "paragraph", "block", F.explode(F.array(F.split("block", "\n"))).alias("lines"))
+    whole = F.when(F.size("lines") > 1, F.array(F.struct(F.lit(-1).alias("line"), F.col("block").alias("text")))).otherwise(F.array())
+    parts = F.concat(F.transform("lines", lambda x, i: F.struct(i.alias("line"), x.alias("text"))), whole)
+    lines = blocks.select(*rest, "paragraph", F.inline(parts).alias("line", "part"))
+    lines = lines.select(*rest, "paragraph", "line", F.explode(F.array(words(F.col("part")))).alias("all")).filter(F.size("all") >= 1)
+    lines = lines.filter(tells(F.col("all")))
     step = WINDOW // 2
     starts = F.sequence(F.lit(0), F.greatest(F.size("all") - step - 1, F.lit(0)), F.lit(step))
-    cut = lines.select(*rest, "paragraph", "all", F.explode(starts).alias("window"))
-    return cut.select(*rest, "paragraph", "window", F.slice("all", F.col("window") + 1, F.lit(WINDOW)).alias("words"))
+    cut = lines.select(*rest, "paragraph", "line", "all", F.explode(starts).alias("window"))
+    cut = cut.select(*rest, "paragraph", "line", "window", F.slice("all", F.col("window") + 1, F.lit(WINDOW)).alias("words"))
+    return cut.filter(tells(F.col("words")))
 
 
 def _triples(words: Column) -> Column:
@@ -257,19 +273,48 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     return Classifier(fitted, vocabulary, telling, min(0.99, threshold))
 
 
+def _held(df: DataFrame) -> DataFrame:
+    """Adds ``held``: (family, share, of) for each template: the share of its
+    triples that ``words`` hold, and the share of the triples of ``words``
+    that are its."""
+    d = df.select("*", F.explode(F.array(_triples(F.col("words")))).alias("__have"))
+
+    def one(t: Column) -> Column:
+        both = F.size(F.array_intersect(F.col("__have"), t["triples"]))
+        return F.struct(t["family"].alias("family"), (both / F.size(t["triples"])).alias("share"), (both / F.size("__have")).alias("of"))
+    return d.select("*", F.explode(F.array(F.transform(_template_triples(), one))).alias("held")).drop("__have")
+
+
 def find_licences(docs: DataFrame, found: Classifier | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per window that speaks of a licence: ``doc_id``,
-    ``paragraph`` (line number from 0), ``window`` (first word), ``family``,
-    ``score`` and ``similarity``."""
+    """One row per window that speaks of a licence, and family it names:
+    ``doc_id``, ``paragraph`` (number from 0), ``line`` (in the paragraph, -1
+    for its joined lines), ``window`` (first word), ``family``, ``score`` and
+    ``similarity``."""
     c = found or train(docs, id_col, text_col)
     two = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     scored = c.model.transform(_features(windows(two, telling=c.telling), c.vocabulary)).withColumn("p", vector_to_array("probability"))
-    hits = scored.filter(1 - F.get("p", 0) >= c.threshold).select("doc_id", "paragraph", "window", "words", "p")
+    hits = scored.filter(1 - F.get("p", 0) >= c.threshold).select("doc_id", "paragraph", "line", "window", "words", "p")
     known = F.slice("p", 3, len(TEMPLATES))
-    best = F.array_position(known, F.array_max(known)).cast("int")
-    hits = with_similarity(hits.select("*", best.alias("best"), (1 - F.get("p", 0)).alias("score")), F.col("best") - 1)
-    family = F.when(F.col("similarity") >= CONFIRM, F.get(F.array(*[F.lit(f) for f in TEMPLATES]), F.col("best") - 1))
-    return hits.select("doc_id", "paragraph", "window", F.coalesce(family, F.lit(UNKNOWN)).alias("family"), "score", "similarity")
+    best = F.array_position(known, F.array_max(known)).cast("int") - 1
+    hits = _held(hits.select("*", best.alias("best"), (1 - F.get("p", 0)).alias("score")))
+    # the likeliest family, if confirmed, and others with a whole template
+    named = F.filter("held", lambda h: ((h["family"] == F.col("best")) & (h["share"] >= CONFIRM)) | (h["share"] == 1))
+    own = F.filter("held", lambda h: h["family"] == F.col("best"))
+    hits = hits.select("*", named.alias("named"), F.array_max(F.transform(own, lambda h: h["share"])).alias("nearest"))
+    # an unconfirmed line is part of a wrapped licence if most of it is a
+    # template's that the joined lines confirm; unconfirmed joined lines say
+    # nothing that a line or a family of the paragraph has not said
+    here = Window.partitionBy("doc_id", "paragraph")
+    families = F.transform("named", lambda h: h["family"])
+    hits = hits.select("*", F.array_distinct(F.flatten(F.collect_list(F.when(F.col("line") < 0, families)).over(here))).alias("joined"),
+                       F.max((F.col("line") >= 0) | (F.size("named") > 0)).over(here).alias("said"))
+    part = F.exists("held", lambda h: (h["of"] >= 0.5) & F.array_contains("joined", h["family"]))
+    due = (F.size("named") > 0) | F.when(F.col("line") < 0, ~F.col("said")).otherwise(~part)
+    none = F.array(F.struct(F.lit(-1).alias("family"), F.col("nearest").alias("share"), F.lit(0.0).alias("of")))
+    hits = hits.filter(due).select("*", F.inline(F.when(F.size("named") > 0, F.col("named")).otherwise(none)).alias("k", "share", "of"))
+    hits = hits.groupBy("doc_id", "paragraph", "line", "window", "k", "score").agg(F.max("share").alias("similarity"))
+    family = F.when(F.col("k") >= 0, F.get(F.array(*[F.lit(f) for f in TEMPLATES]), F.col("k")))
+    return hits.select("doc_id", "paragraph", "line", "window", F.coalesce(family, F.lit(UNKNOWN)).alias("family"), "score", "similarity")
 
 
 def licences(docs: DataFrame, found: Classifier | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
