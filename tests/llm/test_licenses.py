@@ -64,3 +64,15 @@ def test_wrapped_licences_and_titles(docs_of, found):
              "All rights reserved. Unauthorized copying of this file is strictly prohibited"]
     got = [r.licences for r in L.licences(docs_of(texts), found).orderBy("doc_id").collect()]
     assert "MIT" in got[0].split(",") and "GPL-3.0" in got[1].split(",") and got[2:] == ["MIT", "Apache-2.0", "Apache-2.0,MIT,unknown"]
+
+
+def test_words_and_threshold_come_from_all_windows(docs_of):
+    """Words rare in the sample but common in the table are not telling;
+    licence talk of no known family does not make its words common."""
+    plain = [f"the {i} rivers and {i * 7} hills were seen by us" for i in range(300)]
+    talk = [t for t in L.OTHER_LICENCES for _ in range(8)]
+    common = [f"a mozilla was seen {i} times near the lake" for i in range(40)]
+    d = docs_of(plain + talk + common)
+    c = L.train(d, sample_docs=400, sample_windows=3)
+    assert "mozilla" not in c.telling and {"proprietary", "unauthorized", "vendor"} <= set(c.telling)
+    assert c.threshold <= 0.99 and L.licences(d, c).filter("licences = 'unknown'").count() >= len(talk) * 0.8

@@ -8,17 +8,18 @@ that few ordinary paragraphs have.  A multinomial logistic regression over
 them knows the classes *none*, *unknown* (speaks of a licence, but of no
 known one) and the families.  The score from which a paragraph counts as a
 licence is calibrated on ordinary paragraphs that training has not seen, and
-lies above the score of a paragraph without any feature; so paragraphs
+lies above the score of a paragraph without any feature (words are counted and
+scores calibrated over all windows but those like a fixed licence text); so paragraphs
 without a telling word are *none* and never reach the model.  A predicted
 family is confirmed by comparing the paragraph with the family's templates:
 the share of a template's word triples that it holds.  Unconfirmed ones are
 *unknown*.
 
 Everything runs in the JVM (DataFrame functions and Spark ML).  Scanning is
-a narrow map over whole texts; only findings are shuffled.  Training reads a
-bounded sample: about ``SAMPLE_DOCS`` documents and at most
-``SAMPLE_WINDOWS`` of their windows, by hash of the id, as ordinary text,
-and the fixed templates.
+a narrow map over whole texts; only findings are shuffled.  The model is fitted
+on a bounded sample: about ``SAMPLE_DOCS`` documents and at most
+``SAMPLE_WINDOWS`` of their windows, both by hash, as ordinary text, and the
+fixed templates.
 
 Defined results: null and empty texts hold no licence; every input row gives
 one row, rows that share an id share its findings; null ids are one id; an
@@ -169,11 +170,11 @@ def _triples(words: Column) -> Column:
         F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 3), " ")))
 
 
-def _template_triples() -> Column:
+def _template_triples(texts_of: dict[str, tuple[str, ...]] = TEMPLATES) -> Column:
     """The templates: an array of (family, triples).  A constant, so that
     comparing with it takes a small expression."""
     rows = []
-    for k, texts in enumerate(TEMPLATES.values()):
+    for k, texts in enumerate(texts_of.values()):
         for t in texts:
             w = plain_words(t)
             own = sorted({" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))})
@@ -181,19 +182,6 @@ def _template_triples() -> Column:
     return F.array(*rows)
 
 
-def with_similarity(df: DataFrame, family: Column | None = None) -> DataFrame:
-    """Adds ``similarity``: the largest share of a template's word triples
-    that ``words`` hold, over the templates of the ``family`` (a number; all
-    without it)."""
-    # explode(array(x)) gives x once and keeps it from being evaluated anew for every template
-    d = df.select("*", F.explode(F.array(_triples(F.col("words")))).alias("__have"))
-    templates = _template_triples()
-    if family is not None:
-        templates = F.filter(templates, lambda t: t["family"] == family)
-    shares = F.transform(templates, lambda t: F.size(F.array_intersect(F.col("__have"), t["triples"])) / F.size(t["triples"]))
-    return d.withColumn("similarity", F.coalesce(F.array_max(shares), F.lit(0.0))).drop("__have")
-
-
 def _features(df: DataFrame, vocabulary: list[str]) -> DataFrame:
     """``words`` to sparse counts of the words and word pairs listed."""
     pairs = NGram(n=2, inputCol="words", outputCol="pairs").transform(df)
@@ -216,15 +204,31 @@ class Classifier:
     threshold: float
 
 
-def telling_words(ordinary: DataFrame) -> list[str]:
+def _ordinary(windows: DataFrame) -> DataFrame:
+    """Windows that are not like a fixed licence text, of a known family or
+    of none.  Those without any of their triples need no comparison."""
+    own = sorted({" ".join(w[i:i + 3]) for t in _licence_texts() for w in [plain_words(t)] for i in range(max(1, len(w) - 2))})
+    some = windows.select("*", F.explode(F.array(_triples(F.col("words")))).alias("__have"))
+    templates = _template_triples({**TEMPLATES, UNKNOWN: OTHER_LICENCES})
+    shares = F.transform(templates, lambda t: F.size(F.array_intersect(F.col("__have"), t["triples"])) / F.size(t["triples"]))
+    near = F.when(F.arrays_overlap("__have", F.array(*[F.lit(x) for x in own])), F.array_max(shares)).otherwise(0.0)
+    return some.filter(near < 0.5).drop("__have")
+
+
+def _licence_texts() -> list[str]:
+    return [t for group in (*TEMPLATES.values(), OTHER_LICENCES) for t in group]
+
+
+def telling_words(ordinary: DataFrame) -> tuple[list[str], int]:
     """Words of the fixed licence texts that at most ``COMMON`` of the
-    ordinary windows have."""
-    texts = [t for group in (*TEMPLATES.values(), OTHER_LICENCES) for t in group]
-    known = sorted({w for t in texts for w in plain_words(t) if len(w) > 1})
-    total = ordinary.count()
-    held = ordinary.select(F.explode(F.array_distinct("words")).alias("w")).filter(F.col("w").isin(known)).groupBy("w").count()
-    common = {r["w"] for r in held.collect() if r["count"] > COMMON * total}
-    return [w for w in known if w not in common]
+    ordinary windows have, and the number of these windows."""
+    known = sorted({w for t in _licence_texts() for w in plain_words(t) if len(w) > 1})
+    # "" stands for the window itself
+    own = F.array_intersect("words", F.array(*[F.lit(w) for w in known]))
+    held = ordinary.select(F.explode(F.concat(F.array(F.lit("")), own)).alias("w")).groupBy("w").count()
+    counts = {r["w"]: r["count"] for r in held.collect()}
+    total = counts.get("", 0)
+    return [w for w in known if counts.get(w, 0) <= COMMON * total], total
 
 
 def vocabulary_of(telling: list[str]) -> list[str]:
@@ -245,8 +249,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     total = two.count()
     top = -2.0 ** 63 + 2.0 ** 64 * min(1.0, sample_docs / max(total, 1))
     picked = two.filter(F.xxhash64(F.col("id").cast("string")).cast("double") <= top)
-    ordinary = with_similarity(windows(picked).limit(sample_windows)).filter("similarity < 0.5")
-    ordinary = materialize(ordinary.select(F.xxhash64("words").alias("h"), "words"), "ordinary_windows")
+    ordinary = _ordinary(windows(picked)).select(F.xxhash64("words").alias("h"), "words").orderBy("h").limit(sample_windows)
+    ordinary = materialize(ordinary, "ordinary_windows")
     # a licence line may stand beside other text: each fixed text alone, and
     # before and after the first words of some ordinary windows
     beside = ordinary.filter(F.size("words") >= 8).orderBy("h").limit(30).select(
@@ -259,15 +263,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     bare = spark.range(500, numPartitions=1).select(F.lit(0.0).alias("label"), F.array(F.lit("-")).alias("words"))
     rows = alone.unionByName(mixed).unionByName(learn).unionByName(bare)
     balance = F.when(F.col("label") == 0, 1.0).otherwise(2.0)
-    telling = telling_words(ordinary)
+    telling, n_ordinary = telling_words(_ordinary(windows(two)))
     vocabulary = vocabulary_of(telling)
     rows = materialize(_features(rows, vocabulary).select("label", "features", balance.alias("weight")).coalesce(2), "licence_training")
     fitted = LogisticRegression(family="multinomial", weightCol="weight", regParam=1e-3, maxIter=60, tol=1e-5).fit(rows)
-    # calibration: the score that all but FALSE_ALARMS of unseen ordinary
-    # windows stay under, and one without any feature (the intercepts alone)
-    unseen = ordinary.filter(F.pmod("h", F.lit(4)) == 0)
+    # calibration: the score that all but FALSE_ALARMS of all ordinary windows
+    # stay under that training has not seen, and one without any feature (the
+    # intercepts alone), which is that of windows without a telling word
+    seen = learn.select(F.xxhash64("words").alias("h")).distinct()
+    heard = _ordinary(windows(two, telling=telling)).withColumn("h", F.xxhash64("words"))
+    unseen = heard.join(F.broadcast(seen), "h", "left_anti")  # at most ``sample_windows`` hashes
     scores = fitted.transform(_features(unseen, vocabulary)).select((1 - F.get(vector_to_array("probability"), 0)).alias("p"))
-    worst = scores.agg(F.percentile_approx("p", 1 - FALSE_ALARMS, 10000).alias("q")).first()["q"] or 0.0
+    scores = materialize(scores, "ordinary_scores")
+    n_heard, over = scores.count(), FALSE_ALARMS * n_ordinary
+    worst = 0.0
+    if n_heard > over:
+        worst = scores.agg(F.percentile_approx("p", 1 - over / n_heard, 10000).alias("q")).first()["q"] or 0.0
     odds = [math.exp(v) for v in fitted.interceptVector]
     threshold = max(0.5, worst * 1.05, (1 - odds[0] / sum(odds)) * 1.05)
     return Classifier(fitted, vocabulary, telling, min(0.99, threshold))
