@@ -76,3 +76,13 @@ def test_words_and_threshold_come_from_all_windows(docs_of):
     c = L.train(d, sample_docs=400, sample_windows=3)
     assert "mozilla" not in c.telling and {"proprietary", "unauthorized", "vendor"} <= set(c.telling)
     assert c.threshold <= 0.99 and L.licences(d, c).filter("licences = 'unknown'").count() >= len(talk) * 0.8
+
+
+def test_counts_less_licences_are_counts_of_ordinary_windows(docs_of):
+    known = [t for group in L.TEMPLATES.values() for t in group]
+    half = [" ".join(w[:len(w) // 2 + 2]) for w in map(L.plain_words, known + list(L.OTHER_LICENCES))]
+    d = docs_of(known + half + list(L.ORDINARY) * 5).select("doc_id", "text")
+    ordinary = L._ordinary(L.windows(d)).select("words").collect()
+    words, n = L.telling_words(d)
+    assert n == len(ordinary) and len(ordinary) < d.count()
+    assert all(sum(w in r.words for r in ordinary) <= L.COMMON * n for w in words) and "copy" not in words and "gnu" in words

@@ -204,29 +204,50 @@ class Classifier:
     threshold: float
 
 
-def _ordinary(windows: DataFrame) -> DataFrame:
+def _ordinary(windows: DataFrame, alike: bool = False) -> DataFrame:
     """Windows that are not like a fixed licence text, of a known family or
-    of none.  Those without any of their triples need no comparison."""
+    of none (``alike``: those that are).  Those without any of their triples need no comparison."""
     own = sorted({" ".join(w[i:i + 3]) for t in _licence_texts() for w in [plain_words(t)] for i in range(max(1, len(w) - 2))})
     some = windows.select("*", F.explode(F.array(_triples(F.col("words")))).alias("__have"))
     templates = _template_triples({**TEMPLATES, UNKNOWN: OTHER_LICENCES})
     shares = F.transform(templates, lambda t: F.size(F.array_intersect(F.col("__have"), t["triples"])) / F.size(t["triples"]))
     near = F.when(F.arrays_overlap("__have", F.array(*[F.lit(x) for x in own])), F.array_max(shares)).otherwise(0.0)
-    return some.filter(near < 0.5).drop("__have")
+    return some.filter(near >= 0.5 if alike else near < 0.5).drop("__have")
 
 
 def _licence_texts() -> list[str]:
     return [t for group in (*TEMPLATES.values(), OTHER_LICENCES) for t in group]
 
 
-def telling_words(ordinary: DataFrame) -> tuple[list[str], int]:
+def _anchors(counts: dict[str, int]) -> list[str]:
+    """Words, rare ones first, of which each window like a fixed licence text
+    has one: without them, under half of a text's triples are left."""
+    found: set[str] = set()
+    for t in _licence_texts():
+        w = plain_words(t)
+        triples = {tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))}
+        for x in sorted(set(w), key=lambda x: (len(x) < 2, counts.get(x, 0), x)):
+            if 2 * sum(found.isdisjoint(y) for y in triples) < len(triples):
+                break
+            found.add(x)
+    return sorted(found)
+
+
+def telling_words(docs: DataFrame) -> tuple[list[str], int]:
     """Words of the fixed licence texts that at most ``COMMON`` of the
-    ordinary windows have, and the number of these windows."""
+    ordinary windows have, and the number of these windows: counts of all
+    windows less those of windows like a fixed text."""
     known = sorted({w for t in _licence_texts() for w in plain_words(t) if len(w) > 1})
-    # "" stands for the window itself
-    own = F.array_intersect("words", F.array(*[F.lit(w) for w in known]))
-    held = ordinary.select(F.explode(F.concat(F.array(F.lit("")), own)).alias("w")).groupBy("w").count()
-    counts = {r["w"]: r["count"] for r in held.collect()}
+
+    def count(of: DataFrame) -> dict[str, int]:
+        # "" stands for the window itself
+        own = F.array_intersect("words", F.array(*[F.lit(w) for w in known]))
+        held = of.select(F.explode(F.concat(F.array(F.lit("")), own)).alias("w")).groupBy("w").count()
+        return {r["w"]: r["count"] for r in held.collect()}
+
+    every = count(windows(docs))
+    alike = count(_ordinary(windows(docs, telling=_anchors(every)), alike=True))
+    counts = {w: n - alike.get(w, 0) for w, n in every.items()}
     total = counts.get("", 0)
     return [w for w in known if counts.get(w, 0) <= COMMON * total], total
 
@@ -263,7 +284,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     bare = spark.range(500, numPartitions=1).select(F.lit(0.0).alias("label"), F.array(F.lit("-")).alias("words"))
     rows = alone.unionByName(mixed).unionByName(learn).unionByName(bare)
     balance = F.when(F.col("label") == 0, 1.0).otherwise(2.0)
-    telling, n_ordinary = telling_words(_ordinary(windows(two)))
+    telling, n_ordinary = telling_words(two)
     vocabulary = vocabulary_of(telling)
     rows = materialize(_features(rows, vocabulary).select("label", "features", balance.alias("weight")).coalesce(2), "licence_training")
     fitted = LogisticRegression(family="multinomial", weightCol="weight", regParam=1e-3, maxIter=60, tol=1e-5).fit(rows)
