@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import dedup, embeddings, langid, licenses, linededup, packing, pieces, pii, secrets, simhash
+from ticklake.llm import dedup, embeddings, langid, licenses, linededup, mixing, packing, pieces, pii, secrets, simhash
 from ticklake.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -62,6 +62,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secrets, op2_exact_dedup, op3_packing, op4_licenses, op5_simhash, op6_line_dedup, op7_embeddings, op8_pieces,
-    op9_pii, op10_language)}
+    op9_pii, op10_language, op11_mixing)}
