@@ -107,6 +107,38 @@ SELECT g.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank
 FROM g LEFT JOIN q ON q.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM g.conv_id"""
 
 
+def _phrases() -> str:
+    """Phrases by ``lead`` over the words of a piece."""
+    leads = ", ".join(f"lead(w, {k}) OVER p AS w{k}" for k in range(1, 5))
+    grams = "\nUNION ALL\n".join(
+        f"SELECT lang, [{', '.join(['w', *[f'w{i}' for i in range(1, k)]])}] AS ws, count(*) AS f FROM t "
+        f"WHERE {f'w{k - 1} IS NOT NULL' if k > 1 else 'true'} GROUP BY ALL HAVING count(*) >= 100" for k in range(1, 6))
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS text
+  FROM documents),
+s AS (SELECT doc, lang, unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+i AS (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM s),
+o AS (SELECT lang, piece, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM i),
+t AS (SELECT lang, w, {leads} FROM o WINDOW p AS (PARTITION BY piece ORDER BY pos)),
+n AS (SELECT lang, count(*) AS n FROM o GROUP BY lang),
+g AS ({grams}),
+c AS (SELECT lang, ws, f AS a, unnest(range(1, len(ws))) AS k FROM g WHERE len(ws) > 1),
+u AS (
+  SELECT c.lang, c.ws, a, k, l.f AS l, r.f AS r, n, (CAST(1000 AS HUGEINT) * a * n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM c JOIN g l ON l.lang = c.lang AND l.ws = c.ws[:k] JOIN g r ON r.lang = c.lang AND r.ws = c.ws[k + 1:] JOIN n ON n.lang = c.lang),
+b AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+x AS (
+  SELECT lang, ws[j:j + m - 1] AS ws, max(f) AS longer
+  FROM (SELECT lang, ws, f, m, unnest(range(1, len(ws) - m + 2)) AS j FROM g JOIN (VALUES (2), (3), (4)) AS v(m) ON m < len(ws)) GROUP BY ALL),
+y AS (
+  SELECT b.lang, array_to_string(b.ws, ' ') AS phrase, a, l, r, n, score
+  FROM b LEFT JOIN x ON x.lang = b.lang AND x.ws = b.ws WHERE 100 * coalesce(longer, 0) < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       CAST(score AS BIGINT) AS score
+FROM y QUALIFY rank <= 2000"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_secrets": _secrets(),
     "op2_exact_dedup": """WITH d AS (
@@ -126,4 +158,5 @@ parts AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT p.vec_id, (SELECT count(*) FROM links l WHERE l.a = p.vec_id) AS n_links, p.component_id, p.vec_id = p.component_id AS kept
 FROM parts p""",
     "op12_conversations": _turns(),
+    "op13_phrases": _phrases(),
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import dedup, embeddings, langid, licenses, linededup, mixing, packing, pieces, pii, secrets, simhash, turns
+from ticklake.llm import dedup, embeddings, langid, licenses, linededup, mixing, packing, phrases, pieces, pii, secrets, simhash, turns
 from ticklake.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -70,6 +70,10 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair_conversations(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secrets, op2_exact_dedup, op3_packing, op4_licenses, op5_simhash, op6_line_dedup, op7_embeddings, op8_pieces,
-    op9_pii, op10_language, op11_mixing, op12_conversations)}
+    op9_pii, op10_language, op11_mixing, op12_conversations, op13_phrases)}
