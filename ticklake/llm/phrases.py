@@ -15,11 +15,14 @@ else.  A text longer than a block is cut between words; a block then also
 holds the next four words, whose own phrases are counted in the block they
 belong to.  A length's relation is deleted once the next one is written.
 
+Groups are counted twice: by 64-bit id alone, which is all that is shuffled of
+the many that are rare, then by the pair (prefix, last word) where the id's sum
+has reached ``support``.  The second count is the phrase's.  Two frequent
+phrases with one id stop the job with an error.
+
 The semi-join looks ids up in a Bloom filter of the groups that stay, sized by
 their number up to ``MAX_BITS``.  It only saves work: a place that passes
-by mistake belongs to a group that the exact count of its own length drops.
-Ids are 64-bit hashes; counts are made by the pair (prefix, last word) of
-ids, and two frequent phrases with one id stop the job with an error.
+by mistake belongs to a group that the count of pairs drops.
 
 Scale: words and groups are counted in each block before anything is shuffled;
 every later table holds frequent phrases only, at most n / ``support`` of a
@@ -163,6 +166,8 @@ class Kept:
 #: them, the step from the place before, and how many places are the block's own.
 RELATION = "lang string, own int, phrases binary, phrase binary, words binary, word binary, step binary"
 NUMBER, STEP = np.uint16, np.uint8
+#: Blocks whose places are counted at once.
+ROWS = 256
 
 
 class Blocks:
@@ -228,23 +233,36 @@ def _joined(batch: pa.RecordBatch) -> Iterator[tuple]:
                words, word_codes[at + 1])
 
 
-COUNTS = "lang string, prefix long, word long, n long"
+def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for first in range(0, b.num_rows, ROWS):
+            made = [np.zeros(0, np.int64)]
+            for _, own, _, ids, codes, words, word_codes in _joined(b.slice(first, ROWS)):
+                made.append(extended(ids[codes[:own]], words[word_codes[:own]]))
+            met, n = np.unique(np.concatenate(made), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"id": pa.array(met), "n": pa.array(n)})
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        met: dict[str, list[tuple]] = {}
-        for lang, own, _, ids, codes, words, word_codes in _joined(b):
-            met.setdefault(lang, []).append((ids[codes[:own]], words[word_codes[:own]]))
-        for lang, parts in met.items():
-            prefix, word = (np.concatenate(x) for x in zip(*parts))
-            # a batch's pairs: sorted by both ids, one row for each run
-            order = np.lexsort((word, prefix))
-            prefix, word = prefix[order], word[order]
-            new = np.flatnonzero(np.append(True, (prefix[1:] != prefix[:-1]) | (word[1:] != word[:-1]))[:len(prefix)])
-            yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([lang] * len(new), pa.string()), "prefix": pa.array(prefix[new]),
-                "word": pa.array(word[new]), "n": pa.array(np.diff(np.append(new, len(prefix))))})
+COUNTS = "lang string, id long, prefix long, word long, n long"
+
+
+def _count_pairs(kept, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stays = Kept(kept.value, bits)
+        for b in batches:
+            rows = {"lang": [], "id": [], "prefix": [], "word": [], "n": []}
+            for lang, own, _, ids, codes, words, word_codes in _joined(b):
+                pairs, n = np.unique(codes[:own].astype(np.int64) * len(words) + word_codes[:own], return_counts=True)
+                prefix, word = ids[pairs // max(len(words), 1)], words[pairs % max(len(words), 1)]
+                made = extended(prefix, word)
+                at = np.flatnonzero(stays(made))
+                rows["lang"].append(np.full(len(at), lang, object))
+                for c, v in (("id", made), ("prefix", prefix), ("word", word), ("n", n)):
+                    rows[c].append(v[at])
+            if rows["lang"]:
+                yield pa.RecordBatch.from_pydict({
+                    c: pa.array(np.concatenate(v), pa.string() if c == "lang" else pa.int64()) for c, v in rows.items()})
+    return run
 
 
 def _next_relation(kept, bits: int):
@@ -263,17 +281,10 @@ def _next_relation(kept, bits: int):
     return run
 
 
-def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield b.append_column("id", pa.array(extended(b.column("prefix").to_numpy(), b.column("word").to_numpy())))
-
-
 def _filter(groups: DataFrame) -> tuple[object, int] | None:
     """The broadcast filter of the groups' ids and its size; None if there
     are no groups."""
-    n, different = groups.agg(F.count(F.lit(1)), F.count_distinct("id")).first()
-    if n != different:
-        raise ValueError("two frequent phrases share an id; change the hash seed")
+    n = groups.count()
     if not n:
         return None
     bits = min(max(MIN_BITS, 1 << (16 * n - 1).bit_length()), MAX_BITS)
@@ -281,6 +292,13 @@ def _filter(groups: DataFrame) -> tuple[object, int] | None:
     return groups.sparkSession.sparkContext.broadcast(data), bits
 
 
+def _one_id(groups: DataFrame) -> DataFrame:
+    """``groups``, after a check that no two share an id."""
+    if groups.groupBy("id").count().filter("count > 1").limit(1).count():
+        raise ValueError("two frequent phrases share an id; change the hash seed")
+    return groups
+
+
 def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """A relation, compressed, in the shared checkpoint folder."""
     path = scratch_path(df.sparkSession, name)
@@ -309,23 +327,25 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         "lang", F.xxhash64("lang", "word").alias("id"), "word", F.col("n").alias("f")), "frequent_words")
     found = one.select("lang", "id", F.col("word").alias("phrase"), F.lit(1).alias("words"), "f")
     last, every = found, [found]
-    kept = _filter(one)
+    kept = _filter(_one_id(one))
     if kept:
         relation, path = _written(texts.mapInArrow(_first_relation(*kept, block), RELATION), "places_1")
     for k in range(2, longest + 1):
         if not kept:
             break
-        counts = relation.mapInArrow(_count_pairs, COUNTS).groupBy("lang", "prefix", "word").agg(F.sum("n").alias("f"))
-        groups = counts.filter(F.col("f") >= support).mapInArrow(_with_ids, "lang string, prefix long, word long, f long, id long")
-        groups = materialize(groups, f"frequent_{k}")
+        sums = relation.mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        kept = _filter(materialize(sums.filter(F.col("n") >= support).select("id"), f"ids_{k}"))
+        if not kept:
+            break
+        counts = relation.mapInArrow(_count_pairs(*kept), COUNTS).groupBy("lang", "id", "prefix", "word").agg(F.sum("n").alias("f"))
+        groups = _one_id(materialize(counts.filter(F.col("f") >= support), f"frequent_{k}"))
         spelled = (groups.join(last.select(F.col("id").alias("prefix"), F.col("phrase").alias("head")), "prefix")
                    .join(one.select(F.col("id").alias("word"), F.col("word").alias("tail")), "word"))
         last = materialize(spelled.select("lang", "id", F.concat_ws(" ", "head", "tail").alias("phrase"),
                                           F.lit(k).alias("words"), "f"), f"phrases_{k}")
         every.append(last)
-        kept = _filter(groups)
         old = path  # every reader of it has run
-        if kept and k < longest:
+        if k < longest:
             relation, path = _written(relation.mapInArrow(_next_relation(*kept), RELATION), f"places_{k}")
         _delete(docs, old)
     out = every[0]
