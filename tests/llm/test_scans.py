@@ -1,6 +1,7 @@
 """Operators 1 and 9 against plain Python searches."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,3 +90,19 @@ def test_redact(docs_of):
     got = [r.text for r in redact(d).orderBy("doc_id").collect()]
     assert got == ["é [EMAIL], [IP]!", "none", None, "[PHONE] end", "", "[PHONE]"]
     assert redact(d).columns == d.columns
+
+
+def test_very_many_spans_in_one_text(spark, docs_of):
+    """Work near linear in the spans: 50,000 of them in one text."""
+    n = 50_000
+    docs = docs_of(["".join(f"é10.0.{i % 256}.{i % 199} from user{i}@mail{i % 7}.com\n" for i in range(n // 2)),
+                    "𝒳 token=abcdef%d, " * n % tuple(range(n))])
+    begun = time.monotonic()
+    got = {r["doc_id"]: r for r in pii_digest(find_pii(docs)).collect()}
+    texts = [r["text"] for r in docs.orderBy("doc_id").collect()]
+    assert got[0]["base_sha256"] == brute.pii_row(texts[0])[4] and got[0]["n_ip"] == got[0]["n_email"] == n // 2
+    secret = {r["doc_id"]: r for r in secret_digest(scan_secrets(docs)).collect()}
+    assert secret[1]["base_sha256"] == brute.secret_row(texts[1])[3] and secret[1]["n_assign"] == n
+    clean = redact(docs).orderBy("doc_id").collect()[0]["text"]
+    assert clean == "é[IP] from [EMAIL]\n" * (n // 2)
+    assert time.monotonic() - begun < 90

@@ -27,7 +27,7 @@ by mistake belongs to a group that the count of pairs drops.
 Scale: words and groups are counted in each block before anything is shuffled;
 every later table holds frequent phrases only, at most n / ``support`` of a
 length.  No language is one task: blocks and groups are rows like any other,
-and the final ranking keeps each task's best first.
+and the final ranking of a language reads the best of ``SHARES`` shares.
 
 Defined results: null text is empty and null language ``und``, which is the
 language of that name; repeated rows count as often as they occur; texts
@@ -54,8 +54,9 @@ from ticklake.session import materialize, scratch_path
 SUPPORT = 100
 LONGEST = 5
 TOP = 2000
+SHARES = 16
 #: Bytes of text in a block of a relation (a Parquet reader holds 4,096 rows at once) and of a count.
-BLOCK, COUNT_BLOCK = 1 << 15, 1 << 23
+BLOCK, COUNT_BLOCK = 1 << 15, 1 << 22
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 28
 SPACES, BREAKS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
 ALL = 2 ** 31 - 1
@@ -167,7 +168,7 @@ class Kept:
 RELATION = "lang string, own int, phrases binary, phrase binary, words binary, word binary, step binary"
 NUMBER, STEP = np.uint16, np.uint8
 #: Blocks whose places are counted at once.
-ROWS = 256
+ROWS = 128
 
 
 class Blocks:
@@ -387,6 +388,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """Each language's ``top`` phrases by score."""
     phrases, totals = frequent_phrases(docs, text_col, lang_col, support, longest, block)
     cand = uncovered(materialize(scored(phrases, totals), "scored"))
-    w = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # a share's best first, so that a language's last ranking reads SHARES * top rows at most
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    cand = cand.withColumn("nth", F.row_number().over(Window.partitionBy("lang", share).orderBy(*order))).filter(F.col("nth") <= top)
+    w = Window.partitionBy("lang").orderBy(*order)
     ranked = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.spans import Rule, count_kind, find_spans, joined, only
+from ticklake.llm.spans import BLOCK, Rule, between, chunks, count_kind, find_spans, held, joined, only
 
 BASE = ("email", "ip", "card", "phone")
 
@@ -77,12 +77,11 @@ RULES = (
 )
 
 
-def _score(text: Column, z: Column) -> Column:
+def _score(pieces: Column, z: Column) -> Column:
     """Base score of the kind; more if a context word stands within
     ``REACH`` code points before or after the span."""
-    near = F.lower(F.concat(
-        F.substring(text, F.greatest(z["start"] - REACH + 1, F.lit(1)), F.least(z["start"], F.lit(REACH))), F.lit(" "),
-        F.substring(text, z["end"] + 1, F.lit(REACH))))
+    near = F.lower(F.concat(between(pieces, F.greatest(z["start"] - REACH, F.lit(0)), z["start"]), F.lit(" "),
+                            between(pieces, z["end"], z["end"] + REACH)))
     score = None
     for kind, words in CONTEXT.items():
         one = F.lit(SCORE[kind]) + F.when(near.rlike(r"\b(?:" + "|".join(words) + r")\b"), BONUS).otherwise(0.0)
@@ -96,12 +95,13 @@ def find_pii(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RU
     end, match, score), by kind, then start.  ``min_score`` drops spans
     below it; 0 keeps all confirmed spans."""
     d = find_spans(docs, text_col, rules, out)
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    some = F.when(F.size(out) > 0, chunks(F.col(f"`{text_col}`")))
+    d = held(d, "__text", {"pieces": some})
     scored = F.transform(F.col(out), lambda z: F.struct(
         z["kind"].alias("kind"), z["rank"].alias("rank"), z["start"].alias("start"), z["end"].alias("end"),
-        z["match"].alias("match"), _score(text, z).alias("score")))
+        z["match"].alias("match"), _score(F.col("__text.pieces"), z).alias("score")))
     kept = F.filter(scored, lambda z: z["score"] >= min_score) if min_score > 0 else scored
-    return d.withColumn(out, kept)
+    return d.withColumn(out, kept).drop("__text")
 
 
 def redact(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -112,17 +112,21 @@ def redact(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULE
     text = F.col(f"`{text_col}`")
     ordered = F.array_sort(F.col("__spans"), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"])
                            .otherwise(b["end"] - a["end"]))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    found = held(found, "__text", {"pieces": F.when(F.size("__spans") > 0, chunks(text))})
+    pieces, none = F.col("__text.pieces"), F.array().cast("array<string>")
+    # parts are joined in groups, so that a step copies few of them
+    start = F.struct(F.lit(0).alias("at"), none.alias("done"), none.alias("parts"))
 
     def step(acc: Column, z: Column) -> Column:
-        piece = F.concat(F.substring(text, acc["at"] + 1, z["start"] - acc["at"]),
-                         F.lit("["), F.upper(z["kind"]), F.lit("]"))
+        piece = F.concat(between(pieces, acc["at"], z["start"]), F.lit("["), F.upper(z["kind"]), F.lit("]"))
+        full = F.size(acc["parts"]) >= BLOCK
+        new = z["start"] >= acc["at"]
         return F.struct(F.greatest(acc["at"], z["end"]).alias("at"),
-                        F.when(z["start"] >= acc["at"], F.concat(acc["parts"], F.array(piece)))
-                        .otherwise(acc["parts"]).alias("parts"))
+                        F.when(full, F.concat(acc["done"], F.array(F.array_join(acc["parts"], "")))).otherwise(acc["done"]).alias("done"),
+                        F.concat(F.when(full, none).otherwise(acc["parts"]), F.when(new, F.array(piece)).otherwise(none)).alias("parts"))
 
     clean = F.aggregate(ordered, start, step, lambda acc: F.concat(
-        F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+        F.array_join(acc["done"], ""), F.array_join(acc["parts"], ""), between(pieces, acc["at"], F.length(text))))
     new = F.when(F.size("__spans") > 0, clean).otherwise(text)
     return found.select(*[(new.alias(c) if c == text_col else F.col(f"`{c}`")) for c in docs.columns])
 

@@ -38,18 +38,46 @@ class Rule:
         return f"{self.kind}@{self.version}"
 
 
-def _running_sum(steps: Column) -> Column:
-    """Inclusive running sum of an array of ints.  In blocks, so that the
-    work stays near n^1.5 for a text with very many matches."""
-    def total(a: Column) -> Column:
-        return F.aggregate(a, F.lit(0), lambda acc, x: acc + x)
+def held(df: DataFrame, name: str, values: dict[str, Column]) -> DataFrame:
+    """``df`` and the struct ``name`` of ``values``, worked out once a row.
+    What reads it inside a lambda reads a column: a projection would be
+    written into the lambda and worked out for every element."""
+    return df.select("*", F.explode(F.array(F.struct(*[v.alias(c) for c, v in values.items()]))).alias(name))
 
-    n = F.size(steps)
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")),
-        lambda b: total(F.slice(steps, F.lit(1), b * BLOCK)))
-    return F.transform(steps, lambda _, i: F.get(blocks, F.floor(i / BLOCK).cast("int"))
-                       + total(F.slice(steps, F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK + 1)))
+
+def _total(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0), lambda acc, x: acc + x)
+
+
+def _block_sums(steps: Column) -> Column:
+    """Sums of the steps before each block of ``BLOCK``."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(steps) / BLOCK).cast("int")),
+                         lambda b: _total(F.slice(steps, b * BLOCK + 1, F.lit(BLOCK))))
+    return F.aggregate(blocks, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+
+
+def _running_sum(steps: Column, sums: Column) -> Column:
+    """Inclusive running sum of an array of ints, with its block sums."""
+    return F.transform(steps, lambda _, i: F.get(sums, F.floor(i / BLOCK).cast("int"))
+                       + _total(F.slice(steps, F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK + 1)))
+
+
+#: Code points in a chunk of a text.
+CHUNK = 4096
+
+
+def chunks(text: Column) -> Column:
+    """``text`` in pieces of ``CHUNK`` code points: what is taken out of it
+    at an offset need not be counted from its start."""
+    return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+
+
+def between(pieces: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end`` (exclusive, not before ``start``;
+    beyond the text's end: up to there)."""
+    first = F.floor(start / CHUNK).cast("int")
+    some = F.slice(pieces, first + 1, F.floor(end / CHUNK).cast("int") - first + 1)
+    return F.substring(F.array_join(some, ""), start - first * CHUNK + 1, end - start)
 
 
 def _steps(matches: Column, gaps: Column) -> Column:
@@ -88,7 +116,8 @@ def find_spans(df: DataFrame, text: str, rules: Sequence[Rule], out: str = "span
     d = d.select("*", *[F.when(F.col(f"__g_{r.kind}").isNotNull(),
                                _steps(F.col(f"__m_{r.kind}"), F.col(f"__g_{r.kind}"))).alias(f"__t_{r.kind}")
                         for r in rules])
-    d = d.select("*", *[F.when(F.col(f"__t_{r.kind}").isNotNull(), _running_sum(F.col(f"__t_{r.kind}")))
+    d = held(d, "__sums", {r.kind: F.when(F.col(f"__t_{r.kind}").isNotNull(), _block_sums(F.col(f"__t_{r.kind}"))) for r in rules})
+    d = d.select("*", *[F.when(F.col(f"__t_{r.kind}").isNotNull(), _running_sum(F.col(f"__t_{r.kind}"), F.col("__sums")[r.kind]))
                         .alias(f"__s_{r.kind}") for r in rules])
     each = [_made(r, k, F.col(f"__m_{r.kind}"), F.col(f"__s_{r.kind}")) for k, r in enumerate(rules)]
     return d.select(*[F.col(f"`{c}`") for c in names], F.concat(*each).alias(out))
