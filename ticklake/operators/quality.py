@@ -14,9 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.functions.timefn import millis_between, window_start
+from ticklake.functions.timefn import epoch_micros, millis_between, window_start
 from ticklake.operators.sequence import (
-    lag_across_slices, ordered_position_hot, rolling_previous, slice_by_bounds,
+    SLICE_TARGET_ROWS, lag_across_slices, ordered_position_hot, rolling_previous, sketch_slices, slice_by_bounds,
+    slice_by_sketch,
 )
 from ticklake.schemas import GAP_LEVELS, OUTLIER_THRESHOLD, OUTLIER_WINDOW
 
@@ -24,21 +25,43 @@ FINGERPRINT = ["timestamp", "instrument", "price", "volume", "side"]
 TRADE_ORDER = ["timestamp", "sequence_id"]
 
 
-#: Default slice of an instrument's ticks.  Data with bursts passes bounds
-#: from ``sequence.row_slices`` instead: slices of even row counts.
+#: Coarse range of an instrument's ticks that has a sketch of its own.
 SLICE_SECONDS = 86400
 #: Sequence numbers per slice of a hot group of duplicates.
 SEQUENCE_SLICE = 1 << 20
 
 
-def _sliced(trades: DataFrame, slice_seconds: int, bounds: DataFrame | None) -> DataFrame:
-    """Adds ``_slice``: the time bucket, or the slice by ``bounds``."""
+def slice_ticks(trades: DataFrame, target_rows: int = SLICE_TARGET_ROWS, stored: bool = False) -> DataFrame:
+    """``trades`` with ``_slice``, the start (microseconds) of slices of about
+    ``target_rows`` ticks of an instrument, however they lie in time.
+
+    The source is scanned once: it is written to the shared checkpoint folder
+    (``stored``: it lies in a table already), and a sketch per instrument and
+    day is made from two columns of that copy.  Pass the result to several
+    operators that need slices; each makes its own where it gets none."""
+    from ticklake.session import materialize
+    t = trades if stored else materialize(trades, "ticks")
+    day = window_start(F.col("timestamp"), SLICE_SECONDS)
+    start, at = epoch_micros(day), epoch_micros(F.col("timestamp"))
+    bounds = materialize(sketch_slices(t, ["instrument"], start, at, target_rows), "slice_bounds")
+    if bounds.isEmpty():                # no instrument's day is above the target
+        return t.withColumn("_slice", start)
+    return slice_by_sketch(t, ["instrument"], start, start, at, bounds, "_slice")
+
+
+def _sliced(trades: DataFrame, slice_seconds: int | None, bounds: DataFrame | None) -> DataFrame:
+    """Adds ``_slice``, unless it is there: by ``bounds`` (``sequence.row_slices``),
+    by time buckets of a stated width, else by sketches."""
+    if "_slice" in trades.columns:
+        return trades
     if bounds is not None:
         return slice_by_bounds(trades, ["instrument"], "timestamp", bounds, "_slice")
-    return trades.withColumn("_slice", window_start(F.col("timestamp"), slice_seconds))
+    if slice_seconds is not None:
+        return trades.withColumn("_slice", window_start(F.col("timestamp"), slice_seconds))
+    return slice_ticks(trades)
 
 
-def with_previous_time(trades: DataFrame, slice_seconds: int = SLICE_SECONDS,
+def with_previous_time(trades: DataFrame, slice_seconds: int | None = None,
                        bounds: DataFrame | None = None) -> DataFrame:
     """Adds ``prev_time`` (previous tick of the instrument) and ``gap_ms``
     (whole milliseconds since it, truncated)."""
@@ -49,7 +72,7 @@ def with_previous_time(trades: DataFrame, slice_seconds: int = SLICE_SECONDS,
 
 
 def gaps_by_level(trades: DataFrame, levels: Sequence[tuple[str, float]] = GAP_LEVELS,
-                  slice_seconds: int = SLICE_SECONDS, bounds: DataFrame | None = None) -> DataFrame:
+                  slice_seconds: int | None = None, bounds: DataFrame | None = None) -> DataFrame:
     """One row per (gap, level) with gap_ms strictly above the level.
 
     The previous tick is found once; the levels are a literal array
@@ -68,7 +91,7 @@ def gaps_by_level(trades: DataFrame, levels: Sequence[tuple[str, float]] = GAP_L
                     "threshold_name", "threshold_ms")
 
 
-def gaps(trades: DataFrame, threshold_ms: float, name: str, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+def gaps(trades: DataFrame, threshold_ms: float, name: str, slice_seconds: int | None = None) -> DataFrame:
     """Gaps at one level."""
     return gaps_by_level(trades, [(name, threshold_ms)], slice_seconds)
 
@@ -81,7 +104,7 @@ def gap_counts(gaps_df: DataFrame, level: str = "HFT") -> DataFrame:
 
 
 def gap_level_counts(trades: DataFrame, levels: Sequence[tuple[str, float]] = GAP_LEVELS,
-                     slice_seconds: int = SLICE_SECONDS, bounds: DataFrame | None = None) -> DataFrame:
+                     slice_seconds: int | None = None, bounds: DataFrame | None = None) -> DataFrame:
     """Number of gaps per level in one pass (count_if per level, unpivoted)."""
     g = with_previous_time(trades, slice_seconds, bounds)
     aggs = [F.count_if(F.col("gap_ms") > F.lit(float(t))).alias(f"c{i}") for i, (_, t) in enumerate(levels)]
@@ -93,7 +116,7 @@ def gap_level_counts(trades: DataFrame, levels: Sequence[tuple[str, float]] = GA
 
 
 def outliers(trades: DataFrame, window: int = OUTLIER_WINDOW,
-             threshold: float = OUTLIER_THRESHOLD, slice_seconds: int = SLICE_SECONDS,
+             threshold: float = OUTLIER_THRESHOLD, slice_seconds: int | None = None,
              bounds: DataFrame | None = None) -> DataFrame:
     """Ticks whose price deviates from the mean of the previous ``window``
     prices of the instrument by more than ``threshold`` (a fraction).
@@ -206,7 +229,7 @@ def fingerprint(trades: DataFrame) -> DataFrame:
     return trades.withColumn("fingerprint", F.xxhash64(*FINGERPRINT))
 
 
-def quality_report(trades: DataFrame, slice_seconds: int = SLICE_SECONDS,
+def quality_report(trades: DataFrame, slice_seconds: int | None = None,
                    materialize_steps: bool = True) -> dict[str, DataFrame]:
     """The report's tables: summary, gaps per level, gaps per instrument
     at the finest level, top 10 outliers (text layout is left to callers).
@@ -215,28 +238,30 @@ def quality_report(trades: DataFrame, slice_seconds: int = SLICE_SECONDS,
     ``materialize_steps`` each is computed once and written to the shared
     checkpoint folder (``session.materialize``)."""
     from ticklake.session import materialize
+    t = _sliced(trades, slice_seconds, None)     # written once, read by all
+    trades = t.drop("_slice")
     n = number_duplicates(trades)
-    o = outliers(trades, slice_seconds=slice_seconds)
+    o = outliers(t)
     if materialize_steps:
         n, o = materialize(n, "numbered"), materialize(o, "outliers")
     d = duplicates(n)
     clean = clean_trades(deduplicated(n), o)
     finest = min(GAP_LEVELS, key=lambda lv: lv[1])[0]
     return {"summary": quality_summary(trades, o, d, clean),
-            "gap_levels": gap_level_counts(trades, slice_seconds=slice_seconds),
-            "gaps_by_instrument": gap_counts(gaps_by_level(trades, slice_seconds=slice_seconds), finest),
+            "gap_levels": gap_level_counts(t),
+            "gaps_by_instrument": gap_counts(gaps_by_level(t), finest),
+            "gaps": gaps(t, dict(GAP_LEVELS)[finest], finest),
             "top_outliers": top_outliers(o, 10),
             "outliers": o, "duplicates": d, "clean": clean, "exclusions": exclusions(n, o)}
 
 
-def write_audit_tables(trades: DataFrame, out_root: str, slice_seconds: int = SLICE_SECONDS) -> dict[str, str]:
+def write_audit_tables(trades: DataFrame, out_root: str, slice_seconds: int | None = None) -> dict[str, str]:
     """The audit sink: gaps at the finest level, outliers, duplicates, the
     clean set and every exclusion with its reason, as Parquet tables under
     ``out_root`` (replaced).  Returns the written paths."""
     rep = quality_report(trades, slice_seconds)
-    finest = min(GAP_LEVELS, key=lambda lv: lv[1])
     tables = {
-        "gaps": gaps(trades, finest[1], finest[0], slice_seconds),
+        "gaps": rep["gaps"],
         "outliers": rep["outliers"],
         "duplicates": rep["duplicates"],
         "clean_trades": rep["clean"],

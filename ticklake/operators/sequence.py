@@ -136,6 +136,49 @@ def row_slices(df: DataFrame, keys: Sequence[str], order: str, row_id: Sequence[
     return b.select(f"{_K}.*", "bounds")
 
 
+#: Items of a KLL sketch's lowest level: its rank error is about 0.04%.
+SKETCH_K = 1 << 14
+#: Quantiles that are read from a sketch, in groups that a row searches one after the other.
+SKETCH_GRID, SKETCH_GROUP = 1024, 32
+
+
+def sketch_slices(df: DataFrame, keys: Sequence[str], bucket: Column, order: Column,
+                  target_rows: int = SLICE_TARGET_ROWS) -> DataFrame:
+    """Start values of slices of about ``target_rows`` rows, as rows of
+    (keys..., ``bucket``, ``bounds``): a KLL sketch of ``order`` (a long) per
+    key and bucket (a coarse range of the order).
+
+    Sketches merge, so a hot key and bucket is one sketch a task before
+    anything is shuffled.  Buckets of at most ``target_rows`` rows are whole
+    and have no row here: the table has at most one row per ``target_rows``
+    rows of data.  ``bounds`` are in groups of ``SKETCH_GROUP``.  Up to half of
+    ``SKETCH_GRID`` slices of a key and bucket stay within twice the target; a
+    larger one is cut into ``SKETCH_GRID`` slices.  Rows of one order value
+    stay together."""
+    g = df.groupBy(*keys, bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("__n"), F.kll_sketch_agg_bigint(order, F.lit(SKETCH_K)).alias("__s"))
+    ranks = F.array(*[F.lit(i / SKETCH_GRID) for i in range(1, SKETCH_GRID)])
+    g = g.filter(F.col("__n") > target_rows).withColumn("__q", F.kll_sketch_get_quantile_bigint("__s", ranks))
+    cuts = F.least(F.ceil(F.col("__n") / target_rows), F.lit(SKETCH_GRID)).cast("int")
+    at = F.transform(F.sequence(F.lit(1), cuts - 1), lambda j: F.get(F.col("__q"), F.round(j * SKETCH_GRID / cuts).cast("int") - 1))
+    g = g.withColumn("__b", F.array_distinct(at))
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size("__b") - 1) / SKETCH_GROUP).cast("int")),
+                         lambda i: F.slice("__b", i * SKETCH_GROUP + 1, F.lit(SKETCH_GROUP)))
+    return g.select(*keys, "bucket", groups.alias("bounds"))
+
+
+def slice_by_sketch(df: DataFrame, keys: Sequence[str], bucket: Column, start: Column, order: Column,
+                    bounds: DataFrame, name: str) -> DataFrame:
+    """Adds ``name``: the start of the row's slice (the largest of the key and
+    bucket's ``bounds`` that is not above ``order``; before the first one, and
+    where there are none, ``start``, the bucket's own)."""
+    b = bounds.select(F.struct(*keys, "bucket").alias("__bk"), F.col("bounds").alias("__b"))
+    d = df.withColumn("__o", order).join(b, F.struct(*keys, bucket.alias("bucket")).eqNullSafe(F.col("__bk")), "left")
+    group = F.try_element_at(F.filter("__b", lambda g: F.get(g, 0) <= F.col("__o")), F.lit(-1))
+    bound = F.try_element_at(F.filter(group, lambda x: x <= F.col("__o")), F.lit(-1))
+    return d.withColumn(name, F.coalesce(bound, start)).drop("__bk", "__b", "__o")
+
+
 def slice_by_bounds(df: DataFrame, keys: Sequence[str], order: str, bounds: DataFrame, name: str = "__slice") -> DataFrame:
     """Adds ``name``: how many of the key's ``bounds`` are not above the
     row's order value (non-decreasing along the order; 0 without bounds)."""

@@ -376,6 +376,7 @@ def oracle_sql() -> dict[str, str]:
     q["stream_late_counts"] = w(*BASE, _LATE) + "\nUNION ALL\n".join(
         f"SELECT '{lbl}' AS window_size, CAST(count(*) + 1 AS BIGINT) AS total_ticks, CAST(count_if(NOT keep_{lbl}) AS BIGINT) AS late_ticks FROM lt"
         for lbl, _, _ in _SIZE_ROWS)
+    q["gaps_sliced"], q["outliers_sliced"] = q["gaps_by_level"], q["outliers"]
     q["drift_stored"] = q["drift"]
     q["candle_sink"] = q["candles_from_text"] = q["ohlcv_all_sizes"]
     q["audit_exclusions"] = q["exclusions"]

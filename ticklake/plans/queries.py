@@ -79,6 +79,19 @@ def gap_counts(spark, sf):
     return Q.gap_counts(gaps_by_level(spark, sf), "HFT")
 
 
+#: Ticks of a slice in the two queries that cut these tables' days.
+SLICED_ROWS = 256
+
+
+def gaps_sliced(spark, sf):
+    """Gaps when every busy day of an instrument is cut by its sketch."""
+    return Q.gaps_by_level(Q.slice_ticks(S.trades(spark, sf), SLICED_ROWS))
+
+
+def outliers_sliced(spark, sf):
+    return _round(Q.outliers(Q.slice_ticks(S.trades(spark, sf), SLICED_ROWS)), ["rolling_avg", "deviation_pct"])
+
+
 def gap_level_counts(spark, sf):
     return Q.gap_level_counts(S.trades(spark, sf))
 
@@ -448,6 +461,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_instruments": distinct_instruments,
     "first_messages": first_messages,
     "gaps_by_level": gaps_by_level,
+    "gaps_sliced": gaps_sliced,
+    "outliers_sliced": outliers_sliced,
     "gap_counts": gap_counts,
     "gap_level_counts": gap_level_counts,
     "outliers": outliers,
