@@ -221,6 +221,20 @@ def _late(label: str, size_us: int, wm_ms: int) -> str:
             f"CAST(count_if(us - (us % {size_us}) + {size_us} + {2 * wm_ms * 1000} < hwm) AS DOUBLE) / count(*) AS late_rate FROM hw")
 
 
+# the same log with an instrument's ticks in one partition, tested tick by tick
+_EXACT = """arr AS (
+  SELECT instrument, timestamp, epoch_us(timestamp) AS us, CAST(printf('%.2f', price) AS DOUBLE) AS price, volume,
+         ascii(instrument) % 3 AS part, row_number() OVER (PARTITION BY ascii(instrument) % 3
+           ORDER BY CASE WHEN sequence_id % 25 = 2 THEN timestamp + INTERVAL 1 HOUR ELSE timestamp END, sequence_id) AS pos
+  FROM trades),
+ex AS (SELECT *, max(us) OVER (PARTITION BY part ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS newest FROM arr)"""
+
+
+def _exact_late(seconds: int, wm_ms: int) -> str:
+    size, wm = seconds * 1_000_000, wm_ms * 1000
+    return f"us - us % {size} + {size} + {wm} < newest - {wm}"
+
+
 _STREAM_OK = "CAST(ts_micros AS HUGEINT) * 100000000000000000000 + 1000000000 - sequence_id"
 _VALID = "vt AS (SELECT sequence_id, instrument, make_timestamp(ts_micros) AS ts, ts_micros, price, volume FROM decoded WHERE error IS NULL)"
 
@@ -376,6 +390,15 @@ def oracle_sql() -> dict[str, str]:
     q["stream_late_counts"] = w(*BASE, _LATE) + "\nUNION ALL\n".join(
         f"SELECT '{lbl}' AS window_size, CAST(count(*) + 1 AS BIGINT) AS total_ticks, CAST(count_if(NOT keep_{lbl}) AS BIGINT) AS late_ticks FROM lt"
         for lbl, _, _ in _SIZE_ROWS)
+    q["stream_open_state"] = w(*log, _VALID, f"sc AS ({_stream_candles()})") + (
+        f"SELECT {_CANDLE_COLS} FROM sc, (SELECT max(ts_micros) // 1000 AS newest FROM vt) m WHERE epoch_us(window_end) > (newest - CASE window_size "
+        + " ".join(f"WHEN '{lbl}' THEN {2 * wm}" for lbl, _, wm in _SIZE_ROWS) + " END) * 1000")
+    q["stream_exact"] = w(*BASE, _EXACT) + "\nUNION ALL\n".join(
+        _candles(f"(SELECT * FROM ex WHERE NOT ({_exact_late(s, wm)})) AS on_time_{lbl}", s, lbl, True,
+                 ok="CAST(us AS HUGEINT) * 100000000000000000000 + pos") for lbl, s, wm in _SIZE_ROWS)
+    q["stream_exact_late"] = w(*BASE, _EXACT) + "\nUNION ALL\n".join(
+        f"SELECT instrument, '{lbl}' AS window_size, make_timestamp(us - us % {s * 1_000_000}) AS window_start, us AS ts_micros, "
+        f"pos AS position, price, volume FROM ex WHERE {_exact_late(s, wm)}" for lbl, s, wm in _SIZE_ROWS)
     q["gaps_sliced"], q["outliers_sliced"] = q["gaps_by_level"], q["outliers"]
     q["drift_stored"] = q["drift"]
     q["candle_sink"] = q["candles_from_text"] = q["ohlcv_all_sizes"]

@@ -22,6 +22,7 @@ from ticklake.operators import quality as Q
 from ticklake.operators import storage as ST
 from ticklake.session import materialize, scratch_path
 from ticklake.streaming import aggregator as SA
+from ticklake.streaming import exact as X
 from ticklake.streaming import snapshot as SN
 
 REFERENCE_SIZES = (1, 10, 60)
@@ -381,18 +382,25 @@ def stream_snapshot(spark, sf):
     return SN.read_snapshots(spark, root, _SIZES)
 
 
-def _late_log(spark, sf) -> str:
-    """Three files, one per micro-batch: the on-time ticks, the newest tick
-    again (the watermark now holds), then every 25th tick, late."""
-    src = scratch_path(spark, "late_log")
+def _late_parts(spark, sf) -> list[DataFrame]:
+    """The on-time ticks, the newest tick again (the watermark now holds),
+    then every 25th tick, late."""
     t = S.trades(spark, sf).withColumn("trade_id", F.concat(F.lit("POW-"), "trade_id"))
     late = F.col("sequence_id") % 25 == 2
     newest = t.filter(~late).orderBy(F.desc("timestamp"), F.desc("sequence_id")).limit(1)
-    for k, part in enumerate((t.filter(~late), newest.withColumn("instrument", F.lit("spare")), t.filter(late))):
-        e = encode_wire(part).select(F.col("instrument").cast("binary").alias("key"), F.col("line").cast("binary").alias("value"),
+    return [encode_wire(part).select(F.col("instrument").cast("binary").alias("key"), F.col("line").cast("binary").alias("value"),
                                      F.col("sequence_id").alias("position"))
-        e.coalesce(1).write.mode("append").parquet(src)
-    return src
+            for part in (t.filter(~late), newest.withColumn("instrument", F.lit("spare")), t.filter(late))]
+
+
+def _run_parts(spark, parts, start) -> None:
+    """The parts of a log one after the other: ``start(source folder)`` runs
+    its queries after each from their checkpoints.  A part keeps the files and
+    partitions that it has."""
+    src = scratch_path(spark, "log_parts")
+    for part in parts:
+        part.write.mode("append").parquet(src)
+        _finish(start(src))
 
 
 def _drop_spare(df: DataFrame) -> DataFrame:
@@ -400,17 +408,18 @@ def _drop_spare(df: DataFrame) -> DataFrame:
 
 
 def stream_late_drop(spark, sf):
-    """Candles when a late micro-batch follows: ticks of closed windows are
+    """Candles when late micro-batches follow: ticks of closed windows are
     dropped, those of open windows still count."""
     out, ck = scratch_path(spark, "late_candles"), scratch_path(spark, "late_ckpt")
-    _finish(SA.start_candle_queries(SA.file_source(spark, _late_log(spark, sf), 1), out, ck))
+    _run_parts(spark, _late_parts(spark, sf), lambda src: SA.start_candle_queries(SA.file_source(spark, src), out, ck))
     return _drop_spare(SA.read_upserted(spark, out, _SIZES))
 
 
 def stream_append(spark, sf):
     """Append mode: each closed candle once."""
     out, ck = scratch_path(spark, "append_candles"), scratch_path(spark, "append_ckpt")
-    _finish(SA.start_candle_queries(SA.file_source(spark, _late_log(spark, sf), 1), out, ck, correct_late=False))
+    _run_parts(spark, _late_parts(spark, sf),
+               lambda src: SA.start_candle_queries(SA.file_source(spark, src), out, ck, correct_late=False))
     parts = [spark.read.schema(SA.CANDLE_SCHEMA).parquet(f"{out}/{s}") for s in _SIZES]
     found = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return _drop_spare(found)
@@ -419,12 +428,52 @@ def stream_append(spark, sf):
 def stream_late_counts(spark, sf):
     """Late ticks of the same log, counted before aggregation."""
     out, ck = scratch_path(spark, "late_counts"), scratch_path(spark, "late_counts_ckpt")
-    ticks = SA.valid_ticks(decode_wire(SA.file_source(spark, _late_log(spark, sf), 1)))
-    SA.start_late_counter(ticks, out, ck).awaitTermination()
+    _run_parts(spark, _late_parts(spark, sf), lambda src: [SA.start_late_counter(
+        SA.valid_ticks(decode_wire(SA.file_source(spark, src))), out, ck)])
     return spark.read.parquet(out).groupBy("window_size").agg(
         F.sum("ticks").alias("total_ticks"), F.sum("late_ticks").alias("late_ticks"))
 
 
+def stream_open_state(spark, sf):
+    """Windows still open after the log, read from the stopped queries'
+    checkpoints."""
+    out, ck = scratch_path(spark, "stream_candles"), scratch_path(spark, "stream_ckpt")
+    _finish(SA.start_candle_queries(SA.file_source(spark, _log(spark, sf)), out, ck))
+    return X.open_windows(spark, ck)
+
+
+def _exact(spark, sf) -> tuple[str, str]:
+    """The exact stream over a keyed log with late ticks, in three runs."""
+    a = S.arrivals(spark, sf, keyed=True)
+    ends = a.groupBy("kafka_partition").agg(F.max("offset_in_partition").alias("end"))
+    third = F.floor((F.col("offset_in_partition") - 1) * 3 / F.col("end"))
+    log = encode_wire(a.join(ends, "kafka_partition").withColumn("third", third)).select(
+        F.col("instrument").cast("binary").alias("key"), F.col("line").cast("binary").alias("value"),
+        F.col("offset_in_partition").cast("long").alias("position"), F.col("kafka_partition").cast("int").alias("partition"), "third")
+    log = materialize(log, "keyed_log")
+    out, ck = scratch_path(spark, "exact_candles"), scratch_path(spark, "exact_ckpt")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, X.ROCKSDB)
+    try:
+        _run_parts(spark, [log.filter(F.col("third") == k).drop("third") for k in range(3)],
+                   lambda src: [X.start_exact_query(X.exact_source(spark, src), out, ck)])
+    finally:
+        spark.conf.set(provider, before)
+    return out, ck
+
+
+def stream_exact(spark, sf):
+    """Candles by the per-tick lateness rule: the closed ones, and those open
+    at the log's end from the checkpoint."""
+    return X.all_candles(spark, *_exact(spark, sf))
+
+
+def stream_exact_late(spark, sf):
+    """The side table of ticks that were late for a size."""
+    return X.late_ticks(spark, _exact(spark, sf)[0])
+
+
 def _progress(spark, sf) -> tuple[DataFrame, DataFrame]:
     """A progress table as the listener records it: one report per
     instrument and hour, and the late counts of the same hours."""
@@ -503,6 +552,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_late_drop": stream_late_drop,
     "stream_append": stream_append,
     "stream_late_counts": stream_late_counts,
+    "stream_open_state": stream_open_state,
+    "stream_exact": stream_exact,
+    "stream_exact_late": stream_exact_late,
     "health_metrics": health_metrics,
     "health_alerts": health_alerts,
     "late_rate": late_rate,

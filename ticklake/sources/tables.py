@@ -80,8 +80,10 @@ def trades_rt(spark: SparkSession, sf_dir: str) -> DataFrame:
         "volume", "side", "sequence_id")
 
 
-def arrivals(spark: SparkSession, sf_dir: str, slice_seconds: int = 86400) -> DataFrame:
+def arrivals(spark: SparkSession, sf_dir: str, slice_seconds: int = 86400, keyed: bool = False) -> DataFrame:
     """Trades as read from a 3-partition log: some arrive one hour late.
+    ``keyed``: an instrument is one key, so it lies in one partition (by its
+    first letter); else ticks are dealt out by sequence number.
 
     ``offset_in_partition`` is the 1-based arrival position inside a log
     partition, computed with the skew-proof ``ordered_position`` (a log
@@ -90,7 +92,8 @@ def arrivals(spark: SparkSession, sf_dir: str, slice_seconds: int = 86400) -> Da
     t = trades(spark, sf_dir)
     arrival = F.when(F.col("sequence_id") % 25 == 2,
                      add_interval(F.col("timestamp"), hours=1)).otherwise(F.col("timestamp"))
-    t = t.withColumn("kafka_partition", F.col("sequence_id") % 3).withColumn("_arrival", arrival)
+    partition = (F.ascii("instrument") if keyed else F.col("sequence_id")) % 3
+    t = t.withColumn("kafka_partition", partition).withColumn("_arrival", arrival)
     out = ordered_position(
         t, keys=["kafka_partition"], order=[F.col("_arrival"), F.col("sequence_id")],
         slice_expr=F.window("_arrival", f"{slice_seconds} seconds").start, name="_pos")

@@ -46,6 +46,15 @@ def folders(spark: SparkSession, root: str) -> list[tuple[int, int, int]]:
     return sorted(f for f in found if not any(g[0] > f[0] and g[1] <= f[1] and f[2] <= g[2] for g in found))
 
 
+def complete_batches(spark: SparkSession, root: str) -> list[str]:
+    """Paths of the complete ``batch=N`` folders in ``root``."""
+    fs, path, jvm = _fs(spark, root)
+    if not fs.exists(path):
+        return []
+    found = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("batch=")]
+    return sorted(str(f) for f in found if fs.exists(jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS")))
+
+
 def _newest(spark: SparkSession, root: str, parts: list[tuple[int, int, int]]) -> DataFrame:
     paths = [f"{root}/L{n}-{lo}-{hi}" for n, lo, hi in parts]
     d = spark.read.schema(CANDLE_SCHEMA).parquet(*paths)
