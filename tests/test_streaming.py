@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ticklake import sources as S
 from ticklake.functions.wire import decode_wire
+from ticklake.operators.alerts import health_alerts
 from ticklake.session import scratch_path
 from ticklake.streaming import aggregator as SA
 from ticklake.schemas import WindowConfig
@@ -109,6 +110,46 @@ def test_progress_log_keeps_every_report(spark):
     assert SA._offset_lag({"endOffset": '{"t": {"0": 5, "1": 7}}', "latestOffset": '{"t": {"0": 9, "1": 7}}'}) == 4
 
 
+def _report(query, batch, at, rows, run):
+    return {"query": query, "batch_id": batch, "at": f"2024-01-01T00:00:{at:02d}Z", "input_rows": rows, "processed_rows_per_sec": 1.0,
+            "state_rows": 1, "rows_updated": rows, "source_lag": None, "run": run}
+
+
+def test_progress_is_rolled_up_and_read_once(spark):
+    path = scratch_path(spark, "progress")
+    fs, root, jvm = SA._fs(spark, path)
+
+    def keep(rows):
+        for r in rows:
+            out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{path}/{r['query']}-{r['batch_id']}.json"), True)
+            out.write(bytearray((json.dumps(r) + "\n").encode()))
+            out.close()
+
+    assert SA.read_progress(spark, path).count() == 0 and SA.roll_up_progress(spark, path) == 0
+    keep([_report("a", k, k, 10 + k, "r1") for k in range(5)])
+    assert SA.roll_up_progress(spark, path, fan=6) == 0
+    assert SA.roll_up_progress(spark, path, fan=5) == 5
+    keep([_report("a", 4, 30, 99, "r2"), _report("b", 0, 31, 7, "r2")])      # batch 4 was run again
+    got = {(r.query, r.batch_id): (r.input_rows, r.run) for r in SA.read_progress(spark, path).collect()}
+    assert got == {**{("a", k): (10 + k, "r1") for k in range(4)}, ("a", 4): (99, "r2"), ("b", 0): (7, "r2")}
+    assert SA.roll_up_progress(spark, path, fan=1) == 2
+    assert {(r.query, r.batch_id): (r.input_rows, r.run) for r in SA.read_progress(spark, path).collect()} == got
+
+
+def test_phase_metrics(spark):
+    progress = spark.createDataFrame([tuple({**_report(q, b, b, n, run), "at": datetime(2024, 1, 1)}[c.split()[0]] for c in
+                                            SA.PROGRESS.split(", ")) for q, b, n, run in (
+        ("c1", 0, 100, "x"), ("c2", 0, 100, "y"), ("late", 0, 100, "z"), ("c1", 1, 20, "u"), ("late", 1, 20, "v"), ("other", 0, 5, "w"))], SA.PROGRESS)
+    runs = spark.createDataFrame([("up", "candles", "x"), ("up", "candles", "y"), ("up", "late", "z"), ("again", "candles", "u"),
+                                  ("again", "late", "v")], "phase string, role string, run string")
+    late = spark.createDataFrame([(0, 100, 0), (1, 20, 5), (1, 20, 0)], "batch_id long, ticks long, late_ticks long")
+    produced = spark.createDataFrame([(0, "up", 100), (1, "down", 150), (2, "again", 150)], "phase_no int, phase string, rows long")
+    m = SA.phase_metrics(progress, runs, late, produced)
+    assert {r.phase: (r.input_rows, r.candles_emitted, r.late_share, r.lag) for r in m.collect()} == {
+        "up": (100, 200, 0.0, 0), "down": (0, 0, None, 50), "again": (20, 20, 0.125, 30)}
+    assert {(r.phase, r.alert) for r in health_alerts(m).collect()} == {("down", "no_candles_emitted"), ("again", "high_late_arrivals")}
+
+
 def test_late_tick_dropped_and_restart_continues(spark):
     src, out, ck = scratch_path(spark, "wire"), scratch_path(spark, "out"), scratch_path(spark, "ck")
     cfg = [WindowConfig("1s", 1, 200)]                       # delay = 2 x 200 ms

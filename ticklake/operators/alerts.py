@@ -40,7 +40,8 @@ def drift_alerts(report: DataFrame, thresholds: Sequence[tuple[str, float]] = DR
 
 def health_alerts(metrics: DataFrame) -> DataFrame:
     """Stream-health alerts per metrics row (``health_metrics``: one per time
-    window) with columns ``window_start`` (if there is one), ``ticks_per_sec``, ``candles_emitted``, ``late_share``, ``lag``,
+    window; ``phase_metrics``: one per phase) with columns ``window_start`` or
+    ``phase`` (if there is one), ``ticks_per_sec``, ``candles_emitted``, ``late_share``, ``lag``,
     ``drift_pct`` (any may be null; a null never raises)."""
     checks = [("low_throughput", "ticks_per_sec", HEALTH_MIN_RATE, "lt"),
               ("no_candles_emitted", "candles_emitted", 1.0, "lt"),
@@ -48,4 +49,4 @@ def health_alerts(metrics: DataFrame) -> DataFrame:
               ("high_lag", "lag", float(HEALTH_LAG_WARN), "gt"),
               ("critical_lag", "lag", float(HEALTH_LAG_CRIT), "gt"),
               ("high_drift", "drift_pct", HEALTH_MAX_DRIFT_PCT, "gt")]
-    return _unpivot(metrics, checks, [c for c in ("window_start",) if c in metrics.columns])
+    return _unpivot(metrics, checks, [c for c in ("window_start", "phase") if c in metrics.columns])

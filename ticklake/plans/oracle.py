@@ -281,6 +281,33 @@ health AS (
   GROUP BY p.window_start)"""
 
 
+# a stream on time, stalled, then reading late ticks only
+_LIVE = "ph AS (SELECT *, epoch_us(timestamp) AS us, sequence_id % 25 = 2 AS is_late FROM trades),\nnw AS (SELECT max(us) AS us FROM ph WHERE NOT is_late),\n" + (
+    "up AS (" + " UNION ALL ".join(
+        f"SELECT CASE WHEN is_late THEN 'late' ELSE 'on_time' END AS phase, count(DISTINCT instrument || ':' || ph.us // {s * 1000000}) AS n FROM ph, nw "
+        f"WHERE NOT is_late OR ph.us - ph.us % {s * 1000000} + {s * 1000000} > (nw.us // 1000 - {2 * wm}) * 1000 GROUP BY 1" for _, s, wm in _SIZE_ROWS)
+    + "),\nsh AS (" + " UNION ALL ".join(
+        f"SELECT count_if(ph.us - ph.us % {s * 1000000} + {s * 1000000} + {2000 * wm} <= nw.us) AS n, count(*) AS ticks FROM ph, nw WHERE is_late" for _, s, wm in _SIZE_ROWS)
+    + """),
+live AS (
+  SELECT p.phase, CAST(CASE p.phase WHEN 'stalled' THEN 0 ELSE (SELECT count(*) FROM ph WHERE is_late = (p.phase = 'late')) END AS BIGINT) AS input_rows,
+         CAST(NULL AS DOUBLE) AS ticks_per_sec,
+         CAST(coalesce((SELECT sum(n) FROM up WHERE up.phase = p.phase), 0) AS BIGINT) AS candles_emitted,
+         CASE p.phase WHEN 'on_time' THEN 0.0::DOUBLE WHEN 'late' THEN (SELECT CAST(sum(n) AS DOUBLE) / sum(ticks) FROM sh) END AS late_share,
+         CAST(CASE p.phase WHEN 'stalled' THEN (SELECT count(*) FROM ph WHERE is_late) ELSE 0 END AS BIGINT) AS lag,
+         CAST(NULL AS DOUBLE) AS drift_pct
+  FROM (VALUES ('on_time'), ('stalled'), ('late')) AS p(phase))""")
+
+
+def _alerts(src: str, by: str) -> str:
+    checks = (("low_throughput", "ticks_per_sec", 10.0, True), ("no_candles_emitted", "candles_emitted", 1.0, True),
+              ("high_late_arrivals", "late_share", 0.01, False), ("high_lag", "lag", 10000.0, False),
+              ("critical_lag", "lag", 100000.0, False), ("high_drift", "drift_pct", 0.5, False))
+    rows = " UNION ALL ".join(f"SELECT {by}, '{n}' AS alert, CAST({c} AS DOUBLE) AS value, {t}::DOUBLE AS threshold, {str(b).lower()} AS below FROM {src}"
+                              for n, c, t, b in checks)
+    return f"SELECT {by}, alert, value, threshold FROM ({rows}) WHERE CASE WHEN below THEN value < threshold ELSE value > threshold END"
+
+
 def oracle_sql() -> dict[str, str]:
     w = _with
     q: dict[str, str] = {}
@@ -420,13 +447,7 @@ def oracle_sql() -> dict[str, str]:
     q["partition_assignment"] = w(_MESSAGES) + (
         "SELECT instrument AS key, count(*) AS messages, true AS one_partition FROM messages GROUP BY instrument")
     q["health_metrics"] = w(*BASE, _HEALTH) + "SELECT * FROM health"
-    q["health_alerts"] = w(*BASE, _HEALTH) + (
-        "SELECT window_start, alert, value, threshold FROM ("
-        "SELECT window_start, 'low_throughput' AS alert, ticks_per_sec AS value, 10.0::DOUBLE AS threshold, true AS below FROM health UNION ALL "
-        "SELECT window_start, 'no_candles_emitted', CAST(candles_emitted AS DOUBLE), 1.0, true FROM health UNION ALL "
-        "SELECT window_start, 'high_late_arrivals', late_share, 0.01, false FROM health UNION ALL "
-        "SELECT window_start, 'high_lag', CAST(lag AS DOUBLE), 10000.0, false FROM health UNION ALL "
-        "SELECT window_start, 'critical_lag', CAST(lag AS DOUBLE), 100000.0, false FROM health UNION ALL "
-        "SELECT window_start, 'high_drift', drift_pct, 0.5, false FROM health) "
-        "WHERE CASE WHEN below THEN value < threshold ELSE value > threshold END")
+    q["health_alerts"] = w(*BASE, _HEALTH) + _alerts("health", "window_start")
+    q["health_live"] = w(*BASE, _LIVE) + "SELECT * FROM live"
+    q["health_alerts_live"] = w(*BASE, _LIVE) + _alerts("live", "phase")
     return q

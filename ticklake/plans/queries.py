@@ -493,6 +493,39 @@ def health_metrics(spark, sf):
     return m.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def health_live(spark, sf):
+    """Health of a stream that is run here, as its listener recorded it: on
+    time; stalled (the log grows, nothing reads it); then late ticks only."""
+    src, out, ck = (scratch_path(spark, n) for n in ("health_log", "health_candles", "health_ckpt"))
+    counts, reports = scratch_path(spark, "health_late"), scratch_path(spark, "health_reports")
+    on_time, _, late = _late_parts(spark, sf)
+    runs, produced = [], []
+    log = SA.ProgressLog(spark, reports)
+    spark.streams.addListener(log)
+    try:
+        for no, (phase, part, reads) in enumerate((("on_time", on_time, True), ("stalled", late, False), ("late", None, True))):
+            if part is not None:
+                part.write.mode("append").parquet(src)
+            if reads:
+                source = SA.file_source(spark, src)
+                qs = SA.start_candle_queries(source, out, ck)
+                runs += [(phase, "candles", q.runId) for q in qs]
+                qs.append(SA.start_late_counter(SA.valid_ticks(decode_wire(source)), counts, f"{ck}/late"))
+                runs.append((phase, "late", qs[-1].runId))
+                _finish(qs)
+            produced.append((no, phase, spark.read.parquet(src).count()))
+        log.flush()
+    finally:
+        spark.streams.removeListener(log)
+    late_counts = spark.read.option("basePath", counts).parquet(counts).select(F.col("batch_id").cast("long").alias("batch_id"), "ticks", "late_ticks")
+    return SA.phase_metrics(SA.read_progress(spark, reports), spark.createDataFrame(runs, "phase string, role string, run string"),
+                            late_counts, spark.createDataFrame(produced, "phase_no int, phase string, rows long"))
+
+
+def health_alerts_live(spark, sf):
+    return A.health_alerts(materialize(health_live(spark, sf), "health_live"))
+
+
 def health_alerts(spark, sf):
     return A.health_alerts(health_metrics(spark, sf))
 
@@ -557,6 +590,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_exact_late": stream_exact_late,
     "health_metrics": health_metrics,
     "health_alerts": health_alerts,
+    "health_live": health_live,
+    "health_alerts_live": health_alerts_live,
     "late_rate": late_rate,
     "stream_ohlcv": stream_ohlcv,
     "stream_dead_letters": stream_dead_letters,

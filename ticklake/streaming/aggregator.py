@@ -30,6 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.window import Window
 
 from ticklake.functions.timefn import add_interval, epoch_micros, from_epoch_micros
 from ticklake.functions.wire import decode_wire
@@ -146,7 +147,7 @@ def _offset_lag(src: dict) -> int | None:
 
 
 PROGRESS = ("query string, batch_id long, at timestamp, input_rows long, processed_rows_per_sec double, "
-            "state_rows long, rows_updated long, source_lag long")
+            "state_rows long, rows_updated long, source_lag long, run string")
 
 
 def _progress_row(p: dict) -> dict:
@@ -158,7 +159,7 @@ def _progress_row(p: dict) -> dict:
             "processed_rows_per_sec": float(p.get("processedRowsPerSecond") or 0.0),
             "state_rows": sum(int(s.get("numRowsTotal", 0)) for s in ops),
             "rows_updated": sum(int(s.get("numRowsUpdated", 0)) for s in ops),
-            "source_lag": sum(lags) if lags else None}
+            "source_lag": sum(lags) if lags else None, "run": p.get("runId")}
 
 
 class ProgressLog(StreamingQueryListener):
@@ -183,6 +184,10 @@ class ProgressLog(StreamingQueryListener):
         finally:
             out.close()
 
+    def flush(self, timeout_ms: int = 30_000) -> None:
+        """Waits until the reports of batches that have ended are kept."""
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(timeout_ms)
+
     def onQueryIdle(self, event) -> None:
         pass
 
@@ -191,8 +196,34 @@ class ProgressLog(StreamingQueryListener):
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    """All reports that a ``ProgressLog`` has kept."""
-    return spark.read.schema(PROGRESS).json(path)
+    """All reports that a ``ProgressLog`` has kept, one a query and batch
+    (the newest, if a batch was run again or a roll-up was broken off)."""
+    fs, root, jvm = _fs(spark, path)
+    rolled = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}_rolled")
+    found = [spark.read.schema(PROGRESS).json(path)] if fs.exists(root) else []
+    if fs.exists(rolled):
+        found.append(spark.read.schema(PROGRESS).parquet(rolled.toString()))
+    if not found:
+        return spark.createDataFrame([], PROGRESS)
+    d = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    rest = [c.split()[0] for c in PROGRESS.split(", ") if c.split()[0] not in ("query", "batch_id")]
+    newest = F.max_by(F.struct(*rest), F.struct("at", "input_rows", "run"))
+    return d.groupBy("query", "batch_id").agg(newest.alias("r")).select("query", "batch_id", "r.*").select(
+        *[c.split()[0] for c in PROGRESS.split(", ")])
+
+
+def roll_up_progress(spark: SparkSession, path: str, fan: int = 1000) -> int:
+    """Once ``fan`` small report files lie in ``path``, writes them as one
+    Parquet file beside it and deletes them.  Returns how many went."""
+    fs, root, jvm = _fs(spark, path)
+    files = [s.getPath().toString() for s in fs.listStatus(root)] if fs.exists(root) else []
+    files = [f for f in files if f.endswith(".json")]
+    if len(files) < fan:
+        return 0
+    spark.read.schema(PROGRESS).json(files).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}_rolled")
+    for f in files:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f), False)
+    return len(files)
 
 
 def late_counter(spark: SparkSession, path: str, configs: Sequence[WindowConfig] = WINDOW_CONFIGS):
@@ -223,7 +254,7 @@ def late_counter(spark: SparkSession, path: str, configs: Sequence[WindowConfig]
 
 def start_late_counter(ticks: DataFrame, path: str, ckpt_dir: str, configs: Sequence[WindowConfig] = WINDOW_CONFIGS,
                        available_now: bool = True) -> StreamingQuery:
-    w = (ticks.writeStream.option("checkpointLocation", ckpt_dir)
+    w = (ticks.writeStream.queryName(query_name("late", path)).option("checkpointLocation", ckpt_dir)
          .foreachBatch(late_counter(ticks.sparkSession, path, configs)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start()
@@ -251,6 +282,29 @@ def health_metrics(progress: DataFrame, late: DataFrame | None = None, drift_pct
                       F.lit(drift_pct).cast("double").alias("drift_pct"))
 
 
+def phase_metrics(progress: DataFrame, runs: DataFrame, late: DataFrame, produced: DataFrame) -> DataFrame:
+    """One row per phase of a stream's life, for ``alerts.health_alerts``,
+    from what its listener recorded.
+
+    ``runs``: (phase, role, run) of the queries started in a phase, role
+    'candles' or 'late'; ``late``: (batch_id, ticks, late_ticks) of the late
+    counter; ``produced``: (phase_no, phase, rows) written to the log by the
+    end of each phase.  A phase in which no query ran has no candles; ``lag``
+    is what is written but not read.  Rates of time are left null."""
+    p = progress.join(runs, "run")
+    each = p.filter("role = 'candles'").groupBy("phase", "query").agg(
+        F.sum("input_rows").alias("rows"), F.sum("rows_updated").alias("updated"))
+    read = each.groupBy("phase").agg(F.max("rows").alias("read"), F.sum("updated").alias("updated"))
+    batches = p.filter("role = 'late'").select("phase", "batch_id").distinct()
+    share = batches.join(late, "batch_id").groupBy("phase").agg(
+        F.try_divide(F.sum("late_ticks").cast("double"), F.sum("ticks")).alias("late_share"))
+    d = produced.join(read, "phase", "left").join(share, "phase", "left")
+    so_far = F.sum(F.coalesce("read", F.lit(0))).over(Window.orderBy("phase_no"))     # a row a phase
+    return d.select("phase", F.coalesce("read", F.lit(0)).alias("input_rows"), F.lit(None).cast("double").alias("ticks_per_sec"),
+                    F.coalesce("updated", F.lit(0)).alias("candles_emitted"), "late_share", (F.col("rows") - so_far).alias("lag"),
+                    F.lit(None).cast("double").alias("drift_pct"))
+
+
 def late_rate(arrivals: DataFrame, configs: Sequence[WindowConfig] = WINDOW_CONFIGS,
               offset_slice: int = 1 << 20) -> DataFrame:
     """Share of ticks that arrive too late for their window, per size.
