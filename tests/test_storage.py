@@ -1,5 +1,7 @@
 import os
 
+from pyspark.sql import functions as F
+
 from ticklake import sources as S
 from ticklake.operators import storage as ST
 from ticklake.session import scratch_path
@@ -27,6 +29,12 @@ def test_partitioned_write_read_and_pruning(spark):
     assert ST.read_day(spark, root, 1999, 1, 1).count() == 0
     chk = ST.pruning_check(spark, root, first.year, first.month, first.day).first()
     assert chk.pruned and chk.store_rows == t.count() and chk.day_rows == day.count()
+    assert chk.partitions_read == 1 < chk.partitions_total == len(counts)
+    assert chk.files_read == len(day.inputFiles()) < chk.files_total == len(files)
+    # a filter that cannot prune reads every file: the figures are measured
+    assert ST.measured_count(store.filter(F.dayofmonth("timestamp") == first.day))[1:] == (len(files), len(counts))
+    gone = ST.pruning_check(spark, root, 1999, 1, 1).first()
+    assert (gone.day_rows, gone.files_read, gone.pruned) == (0, 0, False)
     stats = ST.write_stats(spark, root)
     tot = ST.storage_totals(stats).first()
     assert tot.total_rows == t.count() and tot.partitions == len(counts) and tot.total_bytes > 0

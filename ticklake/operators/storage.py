@@ -52,6 +52,13 @@ def _folders(spark: SparkSession, path: str, exists: bool = False):
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def _files(spark: SparkSession, path: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()] if fs.exists(p) else []
+
+
 def partition_counts(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Rows per (year, month, day) in day order."""
     d = add_partition_columns(df, ts) if "year" not in df.columns else df
@@ -103,13 +110,40 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
+def measured_count(df: DataFrame) -> tuple[int, int, int]:
+    """Counts ``df`` and returns its rows, and the files and partitions that
+    the scans of the plan that ran have read (by their metrics)."""
+    one = df.agg(F.count(F.lit(1)).alias("n"))
+    rows = one.collect()[0]["n"]
+    files = partitions = 0
+    todo = [one._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        if name == "FileSourceScanExec":
+            m = node.metrics()
+            files += m.apply("numFiles").value()
+            partitions += m.apply("numPartitions").value() if m.contains("numPartitions") else 0
+    return rows, files, partitions
+
+
 def pruning_check(spark: SparkSession, root: str, year: int, month: int, day: int) -> DataFrame:
-    """One row: rows of the whole store, rows of one day, and whether the
-    plan of a filter on that day prunes partitions."""
+    """One row: rows, files and partitions read by a count of the whole
+    store and by a count of one day (both are run, and say what their scans
+    read), and whether the day's read only what its folder holds."""
     full = read_store(spark, root)
     one = full.filter((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
-    plan = plan_text(one)
-    pruned = "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
-    is_day = (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
-    return full.agg(F.count(F.lit(1)).alias("store_rows"), F.count_if(is_day).alias("day_rows")).select(
-        "*", F.lit(pruned).alias("pruned"), F.lit(f"{year}-{month}-{day}").alias("checked_day"))
+    rows, files, partitions = measured_count(full)
+    day_rows, day_files, day_partitions = measured_count(one)
+    held = [f for f in _files(spark, f"{root.rstrip('/')}/year={year}/month={month}/day={day}") if f.endswith(".parquet")]
+    pruned = day_partitions == 1 and day_files == len(held) and (partitions == 1 or day_files < files)
+    return spark.createDataFrame(
+        [(rows, day_rows, files, day_files, partitions, day_partitions, pruned, f"{year}-{month}-{day}")],
+        "store_rows long, day_rows long, files_total long, files_read long, partitions_total long, partitions_read long, "
+        "pruned boolean, checked_day string")

@@ -438,7 +438,8 @@ def oracle_sql() -> dict[str, str]:
         "SELECT count(DISTINCT CAST(timestamp AS DATE)) AS partitions, count(*) AS total_rows, true AS has_ratio FROM clean")
     q["pruning_check"] = w(*_QBASE, _FIRST_DAY) + (
         "SELECT count(*) AS store_rows, CAST(count_if(year(timestamp) = f.year AND month(timestamp) = f.month "
-        "AND day(timestamp) = f.day) AS BIGINT) AS day_rows, true AS pruned, "
+        "AND day(timestamp) = f.day) AS BIGINT) AS day_rows, count(DISTINCT CAST(timestamp AS DATE)) AS partitions_total, "
+        "CAST(1 AS BIGINT) AS partitions_read, true AS fewer_files, true AS pruned, "
         "any_value(f.year || '-' || f.month || '-' || f.day) AS checked_day FROM clean, first_day f")
     q["fingerprint_groups"] = w(*dq[:3]) + (
         "SELECT min(sequence_id) AS first_sequence, count(*) AS copies FROM trades_dup "

@@ -256,8 +256,11 @@ def store_totals(spark, sf):
 
 
 def pruning_check(spark, sf):
+    """Both counts run; files differ by run, so their relation is given."""
     root = _store(spark, sf)
-    return ST.pruning_check(spark, root, *ST.first_day(spark, root))
+    c = ST.pruning_check(spark, root, *ST.first_day(spark, root))
+    fewer = (F.col("files_read") < F.col("files_total")) | (F.col("partitions_total") == 1)
+    return c.select("store_rows", "day_rows", "partitions_total", "partitions_read", fewer.alias("fewer_files"), "pruned", "checked_day")
 
 
 def candle_sink(spark, sf):
