@@ -1,7 +1,11 @@
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
 from tests.conftest import ts
-from ticklake.functions.wire import decode_wire, encode_wire, parse_wire, partition_of, status_counts, to_ticks
+from ticklake.functions.wire import (
+    INSTRUMENTS, check_instruments, decode_wire, encode_wire, parse_wire, partition_of, status_counts, to_ticks,
+)
 from ticklake.schemas import FUTURE_CUTOFF_MICROS
 
 
@@ -76,3 +80,21 @@ def test_dead_letter_json_records(spark):
     df = spark.createDataFrame([(b"abc",), (b"1,X,100,1.0,1.0,BUY,T",), (b"2,X,100,-1,1.0,BUY,T",)], "value binary")
     recs = sorted(json.loads(r.json)["error"] for r in dead_letter_json(decode_wire(df)).collect())
     assert recs == ["negative_price", "parse_error"]
+
+
+def test_unknown_instruments(spark):
+    """Off unless asked for; by time; rows that overlap double nothing."""
+    day = 86_400_000_000
+    wire = spark.createDataFrame([(f"{i},{inst},{ts},{price},1.0,BUY,T".encode(),) for i, (inst, ts, price) in enumerate(
+        [("A", day, 1.0), ("A", 5 * day, 1.0), ("A", 9 * day - 1, 1.0), ("A", 9 * day, 1.0), ("B", 0, 1.0), ("C", day, 1.0), ("C", day, -1.0),
+         ("D", 0, 1.0)])] + [(b"9,,1,1.0,1.0,BUY,T",)], "value binary")
+    t = lambda d: datetime(1970, 1, 1) + timedelta(days=d)
+    known = spark.createDataFrame([("A", t(0), t(2)), ("A", t(1), t(2)), ("A", t(8), t(9)), ("B", None, None), ("D", t(1), None),
+                                   (None, None, None)], INSTRUMENTS)
+    d = decode_wire(wire)
+    got = check_instruments(d, known)
+    assert got.columns == d.columns and d.filter("error = 'unknown_instrument'").count() == 0
+    assert {r.msg_id: r.error for r in got.collect()} == {
+        "0": None, "1": "unknown_instrument", "2": None, "3": "unknown_instrument", "4": None, "5": "unknown_instrument",
+        "6": "negative_price", "7": "unknown_instrument", "9": "unknown_instrument"}
+    assert check_instruments(d, known.limit(0)).filter("error is null").count() == 0

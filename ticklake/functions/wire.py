@@ -99,6 +99,29 @@ def decode_wire(df: DataFrame, value_col: str = "value",
         .filter(~F.col("skipped")).drop("skipped")
 
 
+#: An instrument reference table: when an instrument is traded (``valid_to``
+#: exclusive; null: no limit).  An instrument may have several rows.
+INSTRUMENTS = "instrument string, valid_from timestamp_ntz, valid_to timestamp_ntz"
+
+
+def check_instruments(decoded: DataFrame, instruments: DataFrame) -> DataFrame:
+    """``decoded`` with ``unknown_instrument`` as the error of otherwise valid
+    messages whose instrument is not in the table at their time.  Off by
+    default: it is a rule of its own.
+
+    The table is brought to one row an instrument, so no message is doubled by
+    rows that overlap, and joined by instrument; Spark broadcasts it where its
+    size allows.  In a stream it is read anew by every micro-batch, so changes
+    take effect."""
+    limits = instruments.filter(F.col("instrument").isNotNull()).groupBy(F.col("instrument").alias("__known")).agg(
+        F.collect_list(F.struct(epoch_micros(F.col("valid_from")).alias("lo"), epoch_micros(F.col("valid_to")).alias("hi"))).alias("__limits"))
+    d = decoded.join(limits, F.col("instrument") == F.col("__known"), "left")
+    ts = F.col("ts_micros")
+    traded = F.exists("__limits", lambda x: F.coalesce(ts >= x["lo"], F.lit(True)) & F.coalesce(ts < x["hi"], F.lit(True)))
+    error = F.when(F.col("error").isNull() & ~F.coalesce(traded, F.lit(False)), "unknown_instrument").otherwise(F.col("error"))
+    return d.select(*[(error.alias(c) if c == "error" else F.col(f"`{c}`")) for c in decoded.columns])
+
+
 def status_counts(wire: DataFrame, value_col: str = "value") -> DataFrame:
     """Messages per status: valid, skipped, or the dead-letter reason."""
     s = parse_wire(wire, value_col)

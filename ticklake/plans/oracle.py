@@ -281,6 +281,14 @@ health AS (
   GROUP BY p.window_start)"""
 
 
+_KNOWN = """known AS (
+  SELECT instrument, min(epoch_us(timestamp)) AS lo,
+         CASE WHEN ascii(instrument) % 2 = 0 THEN min(epoch_us(timestamp)) + (max(epoch_us(timestamp)) - min(epoch_us(timestamp))) // 2 END AS hi
+  FROM trades GROUP BY instrument),
+judged AS (
+  SELECT raw, CASE WHEN error IS NULL AND NOT EXISTS (SELECT 1 FROM known k WHERE k.instrument = d.instrument
+    AND d.ts_micros >= k.lo AND (k.hi IS NULL OR d.ts_micros < k.hi)) THEN 'unknown_instrument' ELSE error END AS error
+  FROM decoded d)"""
 # a stream on time, stalled, then reading late ticks only
 _LIVE = "ph AS (SELECT *, epoch_us(timestamp) AS us, sequence_id % 25 = 2 AS is_late FROM trades),\nnw AS (SELECT max(us) AS us FROM ph WHERE NOT is_late),\n" + (
     "up AS (" + " UNION ALL ".join(
@@ -426,6 +434,8 @@ def oracle_sql() -> dict[str, str]:
     q["stream_exact_late"] = w(*BASE, _EXACT) + "\nUNION ALL\n".join(
         f"SELECT instrument, '{lbl}' AS window_size, make_timestamp(us - us % {s * 1_000_000}) AS window_start, us AS ts_micros, "
         f"pos AS position, price, volume FROM ex WHERE {_exact_late(s, wm)}" for lbl, s, wm in _SIZE_ROWS)
+    q["dead_letters_known"] = w(_MESSAGES, _TRADES, _MESSAGES_BAD, _WIRE, _KNOWN) + "SELECT raw, error FROM judged WHERE error IS NOT NULL"
+    q["stream_dead_letters_known"] = w(_MESSAGES, _TRADES, _MESSAGES_BAD, _LOG, _KNOWN) + "SELECT raw, error FROM judged WHERE error IS NOT NULL"
     q["gaps_sliced"], q["outliers_sliced"] = q["gaps_by_level"], q["outliers"]
     q["drift_stored"] = q["drift"]
     q["candle_sink"] = q["candles_from_text"] = q["ohlcv_all_sizes"]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake import sources as S
-from ticklake.functions.wire import decode_wire, encode_wire, kafka_records, status_counts, to_ticks
+from ticklake.functions.wire import check_instruments, decode_wire, encode_wire, kafka_records, status_counts, to_ticks
 from ticklake.operators import alerts as A
 from ticklake.operators import candles as C
 from ticklake.operators import drift as D
@@ -167,6 +167,12 @@ def dead_letters(spark, sf):
     return _decoded(spark, sf).filter(F.col("error").isNotNull()).select("raw", "error")
 
 
+def dead_letters_known(spark, sf):
+    """Dead letters when the instrument must be listed at the time."""
+    known = materialize(S.instruments(spark, sf), "instruments")
+    return check_instruments(_decoded(spark, sf), known).filter(F.col("error").isNotNull()).select("raw", "error")
+
+
 def tick_status_counts(spark, sf):
     return status_counts(S.wire_lines(spark, sf))
 
@@ -378,6 +384,14 @@ def stream_dead_letters(spark, sf):
     return spark.read.schema("raw string, error string").json(out)
 
 
+def stream_dead_letters_known(spark, sf):
+    """The same rule in the stream, which joins the same table."""
+    known = materialize(S.instruments(spark, sf), "instruments")
+    out, ck = scratch_path(spark, "stream_dlq"), scratch_path(spark, "stream_dlq_ckpt")
+    SA.start_dead_letter_query(SA.file_source(spark, _log(spark, sf)), out, ck, instruments=known).awaitTermination()
+    return spark.read.schema("raw string, error string").json(out)
+
+
 def stream_snapshot(spark, sf):
     """The live snapshot after the whole log."""
     root, ck = scratch_path(spark, "snapshot"), scratch_path(spark, "snapshot_ckpt")
@@ -561,6 +575,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wire_decode": wire_decode,
     "valid_ticks": valid_ticks,
     "dead_letters": dead_letters,
+    "dead_letters_known": dead_letters_known,
+    "stream_dead_letters_known": stream_dead_letters_known,
     "tick_status_counts": tick_status_counts,
     "msg_type_counts": msg_type_counts,
     "drift": drift,

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.functions.timefn import add_interval
+from ticklake.functions.timefn import add_interval, epoch_micros, from_epoch_micros
 from ticklake.functions.wire import encode_wire
 from ticklake.schemas import MESSAGES, TRADES
 from ticklake.operators.sequence import ordered_position
@@ -100,6 +100,16 @@ def arrivals(spark: SparkSession, sf_dir: str, slice_seconds: int = 86400, keyed
     return out.withColumn("offset_in_partition", F.col("_pos") + 1).drop("_pos", "_arrival")
 
 
+def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reference table of the instruments: each is listed at its first
+    trade; those with an even first letter go halfway through their trades'
+    time."""
+    us = epoch_micros(F.col("timestamp"))
+    t = trades(spark, sf_dir).groupBy("instrument").agg(F.min(us).alias("lo"), F.max(us).alias("hi"))
+    half = F.when(F.ascii("instrument") % 2 == 0, F.col("lo") + F.floor((F.col("hi") - F.col("lo")) / 2))
+    return t.select("instrument", from_epoch_micros(F.col("lo")).alias("valid_from"), from_epoch_micros(half).alias("valid_to"))
+
+
 def _faulty_line(residue: Column) -> Column:
     """The encoded line with a fault by residue: number forms that only the
     JVM reads (12, 13), non-finite numbers (14, 15)."""

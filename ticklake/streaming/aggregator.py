@@ -33,7 +33,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.window import Window
 
 from ticklake.functions.timefn import add_interval, epoch_micros, from_epoch_micros
-from ticklake.functions.wire import decode_wire
+from ticklake.functions.wire import check_instruments, decode_wire
 from ticklake.operators.candles import packed_order_key
 from ticklake.operators.sequence import running_max_across_slices
 from ticklake.schemas import WINDOW_CONFIGS, WIRE, WindowConfig
@@ -94,11 +94,12 @@ def query_name(size: str, out_root: str) -> str:
 def start_candle_queries(source: DataFrame, out_root: str, ckpt_root: str,
                          configs: Sequence[WindowConfig] = WINDOW_CONFIGS,
                          available_now: bool = True, processing_time: str | None = None,
-                         correct_late: bool = True) -> list[StreamingQuery]:
+                         correct_late: bool = True, instruments: DataFrame | None = None) -> list[StreamingQuery]:
     """One query per window size.  ``correct_late=True`` (update mode +
     upsert) re-emits a candle when late-but-allowed data arrives; False
-    emits each candle once, when the watermark closes it (append mode)."""
-    ticks = valid_ticks(decode_wire(source))
+    emits each candle once, when the watermark closes it (append mode).
+    ``instruments``: a table of the known ones (``wire.check_instruments``)."""
+    ticks = valid_ticks(_decoded(source, instruments))
     qs = []
     for cfg in configs:
         c = candle_stream(ticks, cfg)
@@ -112,10 +113,15 @@ def start_candle_queries(source: DataFrame, out_root: str, ckpt_root: str,
     return qs
 
 
-def start_dead_letter_query(source: DataFrame, out_dir: str, ckpt_dir: str,
-                            available_now: bool = True) -> StreamingQuery:
+def _decoded(source: DataFrame, instruments: DataFrame | None) -> DataFrame:
+    d = decode_wire(source)
+    return d if instruments is None else check_instruments(d, instruments)
+
+
+def start_dead_letter_query(source: DataFrame, out_dir: str, ckpt_dir: str, available_now: bool = True,
+                            instruments: DataFrame | None = None) -> StreamingQuery:
     """Rejected messages as JSON lines {raw, error}, appended per batch."""
-    dlq = decode_wire(source).filter(F.col("error").isNotNull()).select("raw", "error")
+    dlq = _decoded(source, instruments).filter(F.col("error").isNotNull()).select("raw", "error")
     w = (dlq.writeStream.format("json").option("path", out_dir)
             .option("checkpointLocation", ckpt_dir).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
