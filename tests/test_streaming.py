@@ -47,22 +47,49 @@ def test_query_names_are_stable():
     assert SA.query_name("1s", "/x/out") == SA.query_name("1s", "/x/out") == "candles_1s_" + f"{zlib.crc32(b'/x/out'):08x}"
 
 
-def test_folders_stay_few_and_half_written_ones_are_not_read(spark):
+def _candle(base, i):
+    ws = F.timestamp_add("SECOND", F.lit(i % 7), F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz"))
+    return base.select("instrument", "window_size", ws.alias("window_start"), F.timestamp_add("SECOND", F.lit(1), ws).alias("window_end"),
+                       *[F.lit(float(i)).alias(c) for c in ("open", "high", "low", "close", "volume")],
+                       F.lit(i).cast("long").alias("trade_count"), F.lit(True).alias("is_realtime"))
+
+
+def test_readers_lose_nothing_while_folders_are_merged(spark):
+    """Frames made before a merge read the same rows during and after it."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from ticklake.streaming import upserts as U
     root = scratch_path(spark, "ups")
     base = spark.createDataFrame([("X", "1s")], "instrument string, window_size string")
-    write = U.batch_writer(f"{root}/1s", fan=4)
+    for i in range(8):
+        _candle(base, i).write.parquet(f"{root}/1s/L0-{i}-{i}")
+    held = U.read_upserted(spark, root, ["1s"])              # not read yet
+    rows = lambda df: sorted((r.window_start.second, r.close) for r in df.collect())
+    want = sorted((i % 7, float(i)) for i in range(1, 8))
+    with ThreadPoolExecutor(2) as pool:
+        merge = pool.submit(U.compact, spark, f"{root}/1s", 4)
+        reads = [rows(held)]
+        while not merge.done():
+            reads += [rows(held), rows(U.read_upserted(spark, root, ["1s"]))]
+        merge.result()
+    assert all(r == want for r in reads) and rows(held) == want
+    assert U.folders(spark, f"{root}/1s") == [(1, 0, 7)]
+    assert U.sweep(spark, f"{root}/1s") == 0 and U.sweep(spark, f"{root}/1s", retain_seconds=0) == 8
+    assert rows(U.read_upserted(spark, root, ["1s"])) == want
+
 
-    def batch(i):
-        ws = F.timestamp_add("SECOND", F.lit(i % 7), F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz"))
-        return base.select("instrument", "window_size", ws.alias("window_start"), F.timestamp_add("SECOND", F.lit(1), ws).alias("window_end"),
-                           *[F.lit(float(i)).alias(c) for c in ("open", "high", "low", "close", "volume")],
-                           F.lit(i).cast("long").alias("trade_count"), F.lit(True).alias("is_realtime"))
+def test_folders_stay_few_and_half_written_ones_are_not_read(spark):
+    from ticklake.streaming import upserts as U
+    root = scratch_path(spark, "ups")
+    base = spark.createDataFrame([("X", "1s")], "instrument string, window_size string")
+    write = U.batch_writer(f"{root}/1s", fan=4, retain_seconds=0)
+    batch = lambda i: _candle(base, i)
     most = 0
     for i in range(50):
         write(batch(i), i)
         most = max(most, len(U.folders(spark, f"{root}/1s")))
     assert most <= 12
+    assert len(U._complete(spark, f"{root}/1s")) <= 12
     write(batch(49), 49)                                   # a replayed batch
     batch(6).withColumn("close", F.lit(-1.0)).write.parquet(f"{root}/1s/L0-99-99")
     os.remove(f"{(root[5:] if root.startswith('file:') else root)}/1s/L0-99-99/_SUCCESS")
@@ -85,9 +112,9 @@ def test_late_ticks_are_counted_one_by_one(spark):
 def test_health_takes_the_newest_lag_of_every_query(spark):
     rows = [("slow", 3, datetime(2024, 1, 1, 0, 1), 10, 0.0, 0, 0, 200_000), ("fast", 90, datetime(2024, 1, 1, 0, 2), 10, 0.0, 0, 5, 5),
             ("slow", 2, datetime(2024, 1, 1, 0, 0), 10, 0.0, 0, 0, 1), ("none", 99, datetime(2024, 1, 1, 0, 2), 0, 0.0, 0, 0, None)]
+    rows = [(*r, "run") for r in rows]
     m = SA.health_metrics(spark.createDataFrame(rows, SA.PROGRESS)).first()
     assert m.lag == 200_005 and m.ticks_per_sec == 30 / 300 and m.candles_emitted == 5
-    from ticklake.operators.alerts import health_alerts
     assert {r.alert for r in health_alerts(SA.health_metrics(spark.createDataFrame(rows, SA.PROGRESS), drift_pct=0.9)).collect()} == {
         "low_throughput", "high_lag", "critical_lag", "high_drift"}
 

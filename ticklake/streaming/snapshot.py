@@ -7,10 +7,13 @@ folder ``<root>/v=<batch_id>``; readers take the highest complete version.
 A replayed batch rewrites the same version, so the sink is idempotent.
 The snapshot is bounded by the history and the instruments with open
 candles, so the merge stays small no matter how long the stream runs.
+A version that a newer one has replaced stays for ``RETAIN_SECONDS``, so that
+a frame that a viewer holds can still be read.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ticklake.operators.candles import newest_per_size
 from ticklake.schemas import CANDLE_COLUMNS, SNAPSHOT_HISTORY, WINDOW_CONFIGS
+from ticklake.streaming.upserts import RETAIN_SECONDS
 
 _KEY = ["instrument", "window_size", "window_start"]
 
@@ -61,15 +65,20 @@ def merge_snapshot(previous: DataFrame | None, updates: DataFrame, history: int,
 
 
 def snapshot_writer(spark: SparkSession, root: str, history: int = SNAPSHOT_HISTORY,
-                    sizes: Sequence[str] = tuple(c.name for c in WINDOW_CONFIGS), keep: int = 3):
+                    sizes: Sequence[str] = tuple(c.name for c in WINDOW_CONFIGS), keep: int = 3,
+                    retain_seconds: float = RETAIN_SECONDS):
     """A ``foreachBatch`` function maintaining the versioned snapshot."""
     def write(batch: DataFrame, batch_id: int) -> None:
         prev = read_snapshot(spark, root, before=batch_id)
         snap = merge_snapshot(prev, batch, history, sizes)
         snap.write.mode("overwrite").parquet(f"{root}/v={batch_id}")
         fs, _, jvm = _jvm_fs(spark, root)
-        for old in _versions(spark, root)[:-keep]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/v={old}"), True)
+        until = time.time() * 1000 - retain_seconds * 1000
+        versions = _versions(spark, root)
+        # a version's successor says since when nobody finds it any more
+        for old, new in zip(versions[:-keep], versions[1:]):
+            if fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v={new}/_SUCCESS")).getModificationTime() <= until:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/v={old}"), True)
     return write
 
 
