@@ -75,3 +75,13 @@ def test_source_is_read_once(burst):
 def test_equal_days_need_no_bounds(spark):
     empty = Q.slice_ticks(spark.createDataFrame([], TRADE_SCHEMA))
     assert empty.count() == 0 and "_slice" in empty.columns
+
+
+def test_observed_summary_equals_the_counted_one(burst, spark):
+    t = burst[0].unionByName(burst[0].limit(700)).unionByName(burst[0].limit(5).withColumn("trade_id", F.lit(None).cast("string")))
+    for df in (t, t.limit(0)):
+        p = Q.profile(df)
+        n, o = Q.number_duplicates(df), Q.outliers(df)
+        clean = Q.clean_trades(Q.deduplicated(n), o)
+        assert p["summary"].collect() == Q.quality_summary(df, o, Q.duplicates(n), clean).collect()
+        same(p["clean"], clean.select(*df.columns))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ticklake.functions.timefn import epoch_micros, millis_between, window_start
@@ -215,11 +215,46 @@ def quality_summary(trades: DataFrame, outliers_df: DataFrame, dups: DataFrame,
               F.coalesce(F.sum("o"), F.lit(0)).cast("long").alias("outlier_count"),
               F.coalesce(F.sum("d"), F.lit(0)).cast("long").alias("duplicate_count"),
               F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("clean_count"))
+    return _with_shares(a)
+
+
+def _with_shares(counts: DataFrame) -> DataFrame:
     pct = lambda col: F.try_divide(F.col(col) * 100.0, F.col("total_trades"))
-    return a.select("*", pct("outlier_count").alias("outlier_pct"),
-                    pct("duplicate_count").alias("duplicate_pct"),
-                    pct("clean_count").alias("clean_pct"),
-                    (F.lit(100.0) - pct("outlier_count") - pct("duplicate_count")).alias("clean_pct_reference"))
+    return counts.select("*", pct("outlier_count").alias("outlier_pct"),
+                         pct("duplicate_count").alias("duplicate_pct"),
+                         pct("clean_count").alias("clean_pct"),
+                         (F.lit(100.0) - pct("outlier_count") - pct("duplicate_count")).alias("clean_pct_reference"))
+
+
+SUMMARY = ("total_trades long, first_timestamp timestamp_ntz, last_timestamp timestamp_ntz, instrument_count long, "
+           "outlier_count long, duplicate_count long, clean_count long")
+
+
+def profile(trades: DataFrame, slice_seconds: int | None = None) -> dict[str, DataFrame]:
+    """``ticks`` (with slices), ``outliers``, ``numbered`` ticks, the ``clean``
+    set and the one-row ``summary``: the first three are written once, and the
+    summary's figures are observed while they are, so it costs no scan.  The
+    source is scanned once.
+
+    The distinct instruments are observed as a set, which the driver merges:
+    one entry an instrument."""
+    from ticklake.session import materialize
+    seen, found, kept = Observation(), Observation(), Observation()
+    n = F.count(F.lit(1)).alias("n")
+    ticks = materialize(trades.observe(seen, n, F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
+                                       F.size(F.collect_set("instrument")).alias("instruments")), "ticks")
+    sliced = slice_ticks(ticks, stored=True) if slice_seconds is None else _sliced(ticks, slice_seconds, None)
+    o = materialize(outliers(sliced).observe(found, n), "outliers")
+    fat = o.select("trade_id").filter(F.col("trade_id").isNotNull()).distinct().withColumn("fat_finger", F.lit(True))
+    marked = number_duplicates(ticks).join(fat, "trade_id", "left")
+    clean = (F.col("row_num") == 1) & F.col("trade_id").isNotNull() & F.col("fat_finger").isNull()
+    marked = materialize(marked.observe(kept, F.count_if(F.col("row_num") > 1).alias("duplicates"), F.count_if(clean).alias("clean")),
+                         "numbered")
+    row = (seen.get["n"], seen.get["first"], seen.get["last"], seen.get["instruments"], found.get["n"],
+           kept.get["duplicates"], kept.get["clean"])
+    numbered = marked.drop("fat_finger").select(*trades.columns, "row_num")
+    return {"ticks": sliced, "outliers": o, "numbered": numbered, "clean": marked.filter(clean).select(*trades.columns),
+            "summary": _with_shares(trades.sparkSession.createDataFrame([row], SUMMARY))}
 
 
 def fingerprint(trades: DataFrame) -> DataFrame:
@@ -229,30 +264,22 @@ def fingerprint(trades: DataFrame) -> DataFrame:
     return trades.withColumn("fingerprint", F.xxhash64(*FINGERPRINT))
 
 
-def quality_report(trades: DataFrame, slice_seconds: int | None = None,
-                   materialize_steps: bool = True) -> dict[str, DataFrame]:
+def quality_report(trades: DataFrame, slice_seconds: int | None = None) -> dict[str, DataFrame]:
     """The report's tables: summary, gaps per level, gaps per instrument
     at the finest level, top 10 outliers (text layout is left to callers).
 
-    The numbered ticks and the outliers feed several outputs; with
-    ``materialize_steps`` each is computed once and written to the shared
-    checkpoint folder (``session.materialize``)."""
-    from ticklake.session import materialize
-    t = _sliced(trades, slice_seconds, None)     # written once, read by all
-    trades = t.drop("_slice")
-    n = number_duplicates(trades)
-    o = outliers(t)
-    if materialize_steps:
-        n, o = materialize(n, "numbered"), materialize(o, "outliers")
-    d = duplicates(n)
-    clean = clean_trades(deduplicated(n), o)
+    The ticks, the numbered ticks and the outliers feed several outputs: each
+    is computed once and written to the shared checkpoint folder
+    (``profile``)."""
+    p = profile(trades, slice_seconds)
+    t, n, o = p["ticks"], p["numbered"], p["outliers"]
     finest = min(GAP_LEVELS, key=lambda lv: lv[1])[0]
-    return {"summary": quality_summary(trades, o, d, clean),
+    return {"summary": p["summary"],
             "gap_levels": gap_level_counts(t),
             "gaps_by_instrument": gap_counts(gaps_by_level(t), finest),
             "gaps": gaps(t, dict(GAP_LEVELS)[finest], finest),
             "top_outliers": top_outliers(o, 10),
-            "outliers": o, "duplicates": d, "clean": clean, "exclusions": exclusions(n, o)}
+            "outliers": o, "duplicates": duplicates(n), "clean": p["clean"], "exclusions": exclusions(n, o)}
 
 
 def write_audit_tables(trades: DataFrame, out_root: str, slice_seconds: int | None = None) -> dict[str, str]:

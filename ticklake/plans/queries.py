@@ -122,8 +122,9 @@ def deduplicated(spark, sf):
 
 
 def _clean(spark, sf):
-    n = _numbered(spark, sf)
-    return Q.clean_trades(Q.deduplicated(n), _outliers_raw(spark, sf, S.trades_dup))
+    """The clean set: the ticks are written once, for both exclusions."""
+    t = Q.slice_ticks(S.trades_dup(spark, sf))
+    return Q.clean_trades(Q.deduplicated(Q.number_duplicates(t.drop("_slice"))), Q.outliers(t))
 
 
 def clean_trades(spark, sf):
@@ -131,16 +132,14 @@ def clean_trades(spark, sf):
 
 
 def exclusions(spark, sf):
-    # the numbered ticks feed three branches: computed once
-    return Q.exclusions(materialize(_numbered(spark, sf), "numbered"),
-                        _outliers_raw(spark, sf, S.trades_dup))
+    # the ticks feed both exclusions, the numbered ones three branches: each computed once
+    t = Q.slice_ticks(S.trades_dup(spark, sf))
+    return Q.exclusions(materialize(Q.number_duplicates(t.drop("_slice")), "numbered"), Q.outliers(t))
 
 
 def quality_summary(spark, sf):
-    t = S.trades_dup(spark, sf)
-    n = materialize(Q.number_duplicates(t), "numbered")
-    o = materialize(Q.outliers(t), "outliers")
-    q = Q.quality_summary(t, o, Q.duplicates(n), Q.clean_trades(Q.deduplicated(n), o))
+    """Observed while the profile's tables are written."""
+    q = Q.profile(S.trades_dup(spark, sf))["summary"]
     return _round(q, ["outlier_pct", "duplicate_pct", "clean_pct", "clean_pct_reference"], 9)
 
 
