@@ -51,10 +51,15 @@ def test_counts_are_those_of_the_whole_text():
 
 
 def test_slices_add_up(monkeypatch):
-    text = "".join(chr(97 + i * i % 26) for i in range(5000))
-    whole = langid.counts(text)
-    monkeypatch.setattr(langid, "SLICE", 1000)
-    assert abs(langid.counts(text) - whole).sum() <= 5 * 8
+    """Wherever a text is cut: in words, in runs of others, before a final
+    sigma, at one code point."""
+    texts = ["".join(chr(97 + i * i % 26) for i in range(5000)), "Der Hund, -- 12 die   Katze! é " * 60, "  12 ab", "ab  ", "a", " a ", "ΟΔΟΣ ΟΔΟΣ. " * 40,
+             "x" + " " * 300 + "y", "..." * 50 + "İß ﬁ" * 30]
+    whole = [langid.counts(t) for t in texts]
+    for size in (1, 2, 3, 7, 100):
+        monkeypatch.setattr(langid, "SLICE", size)
+        for t, w in zip(texts, whole):
+            assert (langid.counts(t) == w).all(), (size, t[:20])
 
 
 def test_undetermined_and_odd_tables(spark, docs_of, model):

@@ -9,8 +9,8 @@ whose best two codewords are close are flagged as ambiguous.
 Training reads a bounded sample: at most ``per_language`` documents of each
 language, those of the smallest hash of their id, each turned into n-gram
 counts by Spark tasks; the driver receives those counts only and fits the
-bits.  Prediction is a narrow map over whole texts in slices of bounded
-length whose counts add up.
+bits.  Prediction is a narrow map over whole texts, read in slices of bounded
+length whose counts add up to those of the uncut text.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
 0; with no training rows everything is ``und``; a null id is held out or not
@@ -74,8 +74,9 @@ def letter_table() -> np.ndarray:
 
 
 def letters(text: str) -> np.ndarray:
-    """Code points in lower case; each run of others becomes one space."""
-    a = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
+    """Code points of a text in lower case; each run of others than letters
+    becomes one space."""
+    a = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     a = np.where(letter_table()[a], a, SPACE)
     keep = np.ones(len(a), bool)
     keep[1:] = (a[1:] != SPACE) | (a[:-1] != SPACE)
@@ -87,28 +88,31 @@ def _mix(x: np.ndarray, buckets: int) -> np.ndarray:
     return ((x >> np.uint64(40)) & np.uint64(buckets - 1)).astype(np.int64)
 
 
-def grams(text: str, buckets: int = BUCKETS) -> np.ndarray:
-    """Buckets of the n-grams of letters, repeats included."""
-    a = letters(text)
-    if len(a) == 0:
-        return np.zeros(0, np.int64)
-    a = np.concatenate([[np.uint64(SPACE)], a, [np.uint64(SPACE)]])
-    two = (a[:-1] << np.uint64(21)) | a[1:]
+def _grams_ending_in(new: np.ndarray, seen: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of the n-grams that end in ``new``; ``seen``: the one or two
+    code points before it."""
+    a, k = np.concatenate([seen, new]), len(seen)
+    two = (a[k - 1:-1] << np.uint64(21)) | a[k:]
     three = (a[:-2] << np.uint64(42)) | (a[1:-1] << np.uint64(21)) | a[2:]
-    one = a[a != SPACE]
+    one = new[new != SPACE]
     return _mix(np.concatenate([one, two | np.uint64(1 << 63), three]), buckets)
 
 
-def slices(text: str) -> Iterator[str]:
-    for at in range(0, len(text), SLICE):
-        yield text[at:at + SLICE]
-
-
 def counts(text: str, buckets: int = BUCKETS) -> np.ndarray:
-    """Counts of the n-grams of the whole text."""
+    """Counts of the n-grams of the whole text, read in slices of bounded
+    length.  A slice starts from the two code points before it, so the
+    slices' counts add up to those of the uncut text."""
     total = np.zeros(buckets)
-    for part in slices(text):
-        total += np.bincount(grams(part, buckets), minlength=buckets)
+    low, seen = text.lower(), np.array([SPACE], np.uint64)
+    for at in range(0, len(low), SLICE):
+        new = letters(low[at:at + SLICE])
+        if at and seen[-1] == SPACE and new[0] == SPACE:  # a run of others goes on
+            new = new[1:]
+        if at + SLICE >= len(low):
+            new = np.append(new, np.uint64(SPACE))
+        if len(new):
+            total += np.bincount(_grams_ending_in(new, seen, buckets), minlength=buckets)
+            seen = np.concatenate([seen, new])[-2:]
     return total
 
 
